@@ -265,15 +265,13 @@ def clean_category_dataframe(
 ) -> DataFrame:
     """One row per category key, first in source order; nothing is patched."""
     require_columns(df, fixed.CATEGORY_COLUMNS, "product_category")
-    if order_by is None:
-        df, order_by = df.withColumn(_SOURCE_ORDER, F.monotonically_increasing_id()), [_SOURCE_ORDER]
     key, english = fixed.CATEGORY_COLUMNS
     shaped = df.select(
         sanitize_category_name(key).alias(key),
         text.title_letters(F.coalesce(text.as_text(english), F.lit(""))).alias(english),
-        *order_by,
+        (F.struct(*order_by) if order_by else F.monotonically_increasing_id()).alias(_SOURCE_ORDER),
     )
-    return first_per_key(shaped, [key], order_by).select(*fixed.CATEGORY_COLUMNS)
+    return first_per_key(shaped, [key], [_SOURCE_ORDER]).select(*fixed.CATEGORY_COLUMNS)
 
 
 def clean_category_translation(df: DataFrame) -> DataFrame:
