@@ -73,46 +73,45 @@ TABLES: dict[str, str] = {}
 
 # ------------------------------------------------------------------ raw inputs
 TABLES["raw_customers"] = f"""
-SELECT CASE WHEN o_orderkey % 499 = 0 THEN NULL ELSE md5(CAST(o_orderkey AS VARCHAR)) END AS customer_id,
-       CASE WHEN o_orderkey % 503 = 0 THEN NULL ELSE md5('u' || c_custkey) END AS customer_unique_id,
+SELECT CASE WHEN o_orderkey % 499 = 0 THEN NULL ELSE rpad(CAST(o_orderkey AS VARCHAR), 32, 'a') END AS customer_id,
+       CASE WHEN o_orderkey % 503 = 0 THEN NULL ELSE rpad(CAST(c_custkey AS VARCHAR), 32, 'b') END AS customer_unique_id,
        {_zip('c_custkey')} AS customer_zip_code_prefix,
        CASE WHEN o_orderkey % 509 = 0 THEN NULL ELSE '  ' || n_name || ' ' END AS customer_city,
        {_state('c_nationkey', 'c_custkey')} AS customer_state
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
 
 TABLES["raw_sellers"] = f"""
-SELECT md5('s' || s_suppkey) AS seller_id, {_zip('s_suppkey')} AS seller_zip_code_prefix,
+SELECT rpad(CAST(s_suppkey AS VARCHAR), 32, 'd') AS seller_id, {_zip('s_suppkey')} AS seller_zip_code_prefix,
        '  ' || n_name || ' ' AS seller_city, {_state('s_nationkey', 's_suppkey')} AS seller_state
 FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
 
 TABLES["raw_orders"] = f"""
-SELECT md5(CAST(k AS VARCHAR)) AS order_id,
-       CASE WHEN k % 521 = 0 THEN NULL ELSE md5(CAST(k AS VARCHAR)) END AS customer_id,
+SELECT rpad(CAST(k AS VARCHAR), 32, 'a') AS order_id,
+       CASE WHEN k % 521 = 0 THEN NULL ELSE rpad(CAST(k AS VARCHAR), 32, 'a') END AS customer_id,
        CASE WHEN k % 701 = 0 THEN 'deliverd' WHEN k % 53 = 0 THEN 'Unavailable'
             WHEN s = 'F' THEN '  Delivered ' WHEN s = 'O' THEN 'SHIPPED' ELSE 'canceled' END AS order_status,
-       strftime(b, '{CLOCK}') AS order_purchase_timestamp,
+       b AS order_purchase_timestamp,
        CASE WHEN k % 13 = 0 THEN NULL WHEN k % 401 = 0 THEN 'not a date'
             WHEN k % 307 = 0 THEN strftime(b - INTERVAL 1 HOUR, '{CLOCK}')
             ELSE strftime(b + to_hours(k % 48), '{CLOCK}') END AS order_approved_at,
-       CASE WHEN k % 311 = 0 THEN strftime(b - INTERVAL 1 DAY, '{CLOCK}') WHEN s = 'P' THEN NULL
-            ELSE strftime(b + INTERVAL 2 DAY, '{CLOCK}') END AS order_delivered_carrier_date,
-       CASE WHEN s = 'F' THEN strftime(b + to_days(CAST(3 + k % 20 AS INTEGER)), '{CLOCK}') END
+       CASE WHEN k % 311 = 0 THEN b - INTERVAL 1 DAY WHEN s = 'P' THEN NULL
+            ELSE b + INTERVAL 2 DAY END AS order_delivered_carrier_date,
+       CASE WHEN s = 'F' THEN b + to_days(CAST(3 + k % 20 AS INTEGER)) END
             AS order_delivered_customer_date,
-       strftime(d + INTERVAL 12 DAY, '{CLOCK}') AS order_estimated_delivery_date
+       d + INTERVAL 12 DAY AS order_estimated_delivery_date
 FROM (SELECT o_orderkey AS k, o_orderstatus AS s, CAST(o_orderdate AS TIMESTAMP) AS d,
              CAST(o_orderdate AS TIMESTAMP) + to_hours(o_orderkey % 24) AS b FROM orders)"""
 
 TABLES["raw_order_items"] = f"""
 SELECT CASE WHEN l_orderkey % 613 = 0 AND l_linenumber = 1 THEN NULL
-            WHEN l_orderkey % 7 = 0 THEN ' ' || md5(CAST(l_orderkey AS VARCHAR)) || ' '
-            ELSE md5(CAST(l_orderkey AS VARCHAR)) END AS order_id,
-       l_linenumber AS order_item_id, md5('p' || l_partkey) AS product_id,
-       md5('s' || l_suppkey) AS seller_id,
-       strftime(CAST(l_shipdate AS TIMESTAMP), '{CLOCK}') AS shipping_limit_date,
+            WHEN l_orderkey % 7 = 0 THEN ' ' || rpad(CAST(l_orderkey AS VARCHAR), 32, 'a') || ' '
+            ELSE rpad(CAST(l_orderkey AS VARCHAR), 32, 'a') END AS order_id,
+       l_linenumber AS order_item_id, rpad(CAST(l_partkey AS VARCHAR), 32, 'c') AS product_id,
+       rpad(CAST(l_suppkey AS VARCHAR), 32, 'd') AS seller_id,
+       CAST(l_shipdate AS TIMESTAMP) AS shipping_limit_date,
        CASE WHEN l_orderkey % 617 = 0 THEN -l_extendedprice ELSE l_extendedprice END AS price,
        CASE WHEN l_orderkey % 619 = 0 THEN CAST(-1.0 AS DOUBLE)
-            ELSE CAST(CAST(CAST(l_extendedprice AS DECIMAL(14,2)) * CAST(l_tax AS DECIMAL(4,2))
-                 AS DECIMAL(18,2)) AS DOUBLE) END AS freight_value
+            ELSE l_quantity * CAST(0.25 AS DOUBLE) END AS freight_value
 FROM lineitem"""
 
 TABLES["raw_order_payments"] = f"""
@@ -129,7 +128,7 @@ SELECT CASE WHEN c = 0 AND k % 109 = 0 THEN NULL WHEN c = 0 AND k % 113 = 0 THEN
             WHEN k % 101 = 0 THEN '-5.0' WHEN k % 103 = 0 THEN '0.0'
             ELSE CAST(CAST(v AS DECIMAL(18,2)) AS VARCHAR) END AS payment_value,
        k * 4 + c AS source_row
-FROM (SELECT o_orderkey AS k, md5(CAST(o_orderkey AS VARCHAR)) AS id, o_totalprice AS v,
+FROM (SELECT o_orderkey AS k, rpad(CAST(o_orderkey AS VARCHAR), 32, 'a') AS id, o_totalprice AS v,
              o_orderpriority AS p, {_copies('o_orderkey % 3 = 0', 'o_orderkey % 7 = 0')} AS c
       FROM orders)"""
 
@@ -146,7 +145,7 @@ SELECT CASE WHEN k % 149 = 0 THEN upper(id) WHEN k % 151 = 0 THEN '   '
             ELSE CAST(z * 50 + CASE WHEN c = 2 THEN 1 ELSE 0 END AS VARCHAR) END AS product_weight_g,
        CASE WHEN k % 173 = 0 THEN '0' ELSE CAST(z + 5 AS VARCHAR) END AS product_length_cm,
        CAST(z + 2 AS VARCHAR) AS product_height_cm, CAST(z + 3 AS VARCHAR) AS product_width_cm
-FROM (SELECT p_partkey AS k, md5('p' || p_partkey) AS id, p_name AS n, p_size AS z,
+FROM (SELECT p_partkey AS k, rpad(CAST(p_partkey AS VARCHAR), 32, 'c') AS id, p_name AS n, p_size AS z,
              {_copies('p_partkey % 11 = 0', 'p_partkey % 13 = 0')} AS c FROM part)"""
 
 TABLES["raw_category_translation"] = """
@@ -156,9 +155,9 @@ SELECT CASE WHEN p_name = 'old anvil' THEN NULL ELSE replace(p_name, ' ', '_') E
 FROM (SELECT DISTINCT p_name FROM part) WHERE p_name NOT IN ('small ring', 'red widget')"""
 
 TABLES["raw_order_reviews"] = f"""
-SELECT CASE WHEN k % 197 = 0 THEN '  ' ELSE ' ' || md5('r' || k) END AS review_id,
-       CASE WHEN k % 331 = 0 THEN md5('missing' || k)
-            ELSE md5(CAST((k // 2) * 3 AS VARCHAR)) END AS order_id,
+SELECT CASE WHEN k % 197 = 0 THEN '  ' ELSE ' ' || rpad(CAST(k AS VARCHAR), 32, 'e') END AS review_id,
+       CASE WHEN k % 331 = 0 THEN rpad(CAST(k AS VARCHAR), 32, 'f')
+            ELSE rpad(CAST((k // 2) * 3 AS VARCHAR), 32, 'a') END AS order_id,
        CASE WHEN k % 211 = 0 THEN 'x' WHEN k % 227 = 0 THEN '0'
             ELSE CAST(CAST(1 + floor(value / 25) AS BIGINT) AS VARCHAR) END AS review_score,
        CASE WHEN k % 5 = 0 THEN NULL WHEN k % 7 = 0 THEN '   ' ELSE ' ' || event_type END

@@ -12,10 +12,17 @@ def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+INFINITY = float("inf")
+
+
 def not_finite(value: Column | str) -> Column:
-    """TRUE for NaN and both infinities, NULL for NULL."""
-    number = _column(value).cast("double")
-    return F.isnan(number) | (F.abs(number) == F.lit(float("inf")))
+    """TRUE for NaN and both infinities, NULL for NULL (Spark sorts NaN highest)."""
+    return F.abs(_column(value).cast("double")) >= INFINITY
+
+
+def below_infinity(value: Column | str) -> Column:
+    """TRUE for numbers that are neither NaN nor +infinity; a plain, pushable range."""
+    return _column(value) < INFINITY
 
 
 def is_true(condition: Column) -> Column:

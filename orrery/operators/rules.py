@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -284,10 +286,8 @@ class RuleSet:
     # -- row level
     def accept(self, df: DataFrame) -> DataFrame:
         """Rows that break no row rule; a plain filter, nothing is shuffled."""
-        for rule in self._of(RowRule):
-            if rule.severity == ERROR:
-                df = df.where(rule.holds())
-        return df
+        conditions = [rule.holds() for rule in self._of(RowRule) if rule.severity == ERROR]
+        return df.where(reduce(and_, conditions))
 
     def annotate(self, df: DataFrame, severity: str = ERROR) -> DataFrame:
         """Add `broken_rules`: (column_name, rule, invalid_value) of each broken rule.

@@ -175,6 +175,8 @@ def build_dim_product_gold(
     """Every product, keyed, with its English category and its baseline price.
 
     Keys are given to the narrow product rows before anything is joined.
+    `key_options` go to `dense_key`; pass `size_from` where counting `products` means
+    computing them.
     """
     measures = ["product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"]
     columns = ["product_id", "product_category_name", *measures]

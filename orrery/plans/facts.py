@@ -60,6 +60,58 @@ def clean_fact_orders_gold(df: DataFrame) -> DataFrame:
     )
 
 
+def _clean_order_rows(orders: DataFrame) -> DataFrame:
+    """The columns of the order fact that come from the order itself."""
+    return clean_fact_orders_gold(orders).select(
+        "order_id",
+        "customer_id",
+        F.to_date("order_purchase_timestamp").alias("date"),
+        measures.days_late(
+            "order_delivered_customer_date", "order_estimated_delivery_date"
+        ).alias("delivery_delay_days"),
+    )
+
+
+def _with_order_keys(
+    rows: DataFrame,
+    customers: DataFrame,
+    dim_customer: DataFrame,
+    dim_date: DataFrame,
+    customer_ids_unique: bool,
+) -> DataFrame:
+    people = customers.select("customer_id", "customer_unique_id")
+    if not customer_ids_unique:
+        people = customer_people(people)
+    persons = people.join(
+        dim_customer.select("customer_unique_id", "customer_key", "first_order_date"),
+        "customer_unique_id",
+    ).select("customer_id", "customer_key", "first_order_date")
+    is_new = measures.is_true(F.col("date") == F.col("first_order_date"))
+    return (
+        rows.join(persons, "customer_id", "left")
+        .join(dim_date.select("date", "date_key"), "date", "left")
+        .withColumn("is_new_at_order", is_new)
+    )
+
+
+def build_order_keys(
+    orders: DataFrame,
+    customers: DataFrame,
+    dim_customer: DataFrame,
+    dim_date: DataFrame,
+    customer_ids_unique: bool = False,
+) -> DataFrame:
+    """order_id, date_key, customer_key: all that the other facts need of an order.
+
+    The item and review facts take this in place of the order fact where the latter
+    has not been written yet; items and payments are not touched for it.
+    """
+    keyed = _with_order_keys(
+        _clean_order_rows(orders), customers, dim_customer, dim_date, customer_ids_unique
+    )
+    return keyed.select("order_id", "date_key", "customer_key")
+
+
 def build_fact_orders_gold(
     orders: DataFrame,
     items: DataFrame,
@@ -74,14 +126,6 @@ def build_fact_orders_gold(
     Items and payments are folded per order before they are joined, and the three
     order_id-keyed frames share one partitioning.
     """
-    people = customers.select("customer_id", "customer_unique_id")
-    if not customer_ids_unique:
-        people = customer_people(people)
-    persons = people.join(
-        dim_customer.select("customer_unique_id", "customer_key", "first_order_date"),
-        "customer_unique_id",
-    ).select("customer_id", "customer_key", "first_order_date")
-
     per_item_order = items.groupBy("order_id").agg(
         F.sum(casting.to_money("price")).cast("double").alias("order_value"),
         F.count(F.lit(1)).alias("item_count"),
@@ -89,25 +133,15 @@ def build_fact_orders_gold(
     per_payment_order = payments.groupBy("order_id").agg(
         F.sum(casting.to_money("payment_value")).cast("double").alias("payment_value_total")
     )
-    purchase_day = F.to_date("order_purchase_timestamp")
-    slim = clean_fact_orders_gold(orders).select(
-        "order_id",
-        "customer_id",
-        purchase_day.alias("date"),
-        measures.days_late(
-            "order_delivered_customer_date", "order_estimated_delivery_date"
-        ).alias("delivery_delay_days"),
-    )
-    is_new = measures.is_true(F.col("date") == F.col("first_order_date"))
-    return (
-        slim.join(per_item_order, "order_id", "left")
+    measured = (
+        _clean_order_rows(orders)
+        .join(per_item_order, "order_id", "left")
         .join(per_payment_order, "order_id", "left")
-        .join(persons, "customer_id", "left")
-        .join(dim_date.select("date", "date_key"), "date", "left")
         .fillna({"order_value": 0.0, "item_count": 0, "payment_value_total": 0.0})
-        .withColumn("is_new_at_order", is_new)
-        .select(*fixed.FACT_ORDER_COLUMNS)
     )
+    return _with_order_keys(
+        measured, customers, dim_customer, dim_date, customer_ids_unique
+    ).select(*fixed.FACT_ORDER_COLUMNS)
 
 
 # ---------------------------------------------------------------- order items
@@ -125,7 +159,7 @@ def item_acceptance(reject_blank: bool = False) -> RuleSet:
             must("item number is positive", "order_item_id", col("order_item_id") > 0),
             must("shipping limit is present", "shipping_limit_date",
                  col("shipping_limit_date").isNotNull()),
-            *(must(f"{c} is an accepted amount", c, ok & ~measures.not_finite(c))
+            *(must(f"{c} is an accepted amount", c, ok & measures.below_infinity(c))
               for c, ok in amounts.items()),
         ],
     )

@@ -18,7 +18,7 @@ from orrery import fixed
 from orrery.operators import quality_log, reconcile
 from orrery.operators.rules import RuleSet
 from orrery.plans import checks, dims, facts, silver
-from orrery.session import shared_folder
+from orrery.session import shared_folder, tune
 from orrery.sources import files, inventory, trade
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,7 +35,7 @@ def _wall_clock(df: DataFrame) -> DataFrame:
 
 def _result(build: Query) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return _wall_clock(build(spark, folder))
+        return _wall_clock(build(tune(spark), folder))
 
     return query
 
@@ -91,9 +91,11 @@ class Silver:
         )
 
     def dim_product(self, **options) -> DataFrame:
+        products = self.products()
+        accepted, _ = checks.product_rules().split(products)
         return dims.build_dim_product_gold(
-            self.accepted_products(), self.translation(), self.items(), self.orders(),
-            STUDY_YEAR, **options,
+            accepted, self.translation(), self.items(), self.orders(), STUDY_YEAR,
+            size_from=products, **options,
         )
 
     def dim_seller(self) -> DataFrame:
@@ -105,8 +107,14 @@ class Silver:
             self.dim_customer(), self.dim_date(), customer_ids_unique=True,
         )
 
+    def order_keys(self) -> DataFrame:
+        return facts.build_order_keys(
+            self.orders(), self.customers(), self.dim_customer(), self.dim_date(),
+            customer_ids_unique=True,
+        )
+
     def item_parts(self) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-        return self.items(), self.fact_order(), self.dim_product(), self.dim_seller()
+        return self.items(), self.order_keys(), self.dim_product(), self.dim_seller()
 
     def fact_order_item(self) -> DataFrame:
         return facts.build_fact_order_item_gold(
@@ -114,8 +122,9 @@ class Silver:
         )
 
     def fact_review(self) -> DataFrame:
+        # Uniqueness is counted by rule_counts_fact_review.
         return facts.build_fact_review_gold(
-            self.reviews(), self.fact_order(), orphans=facts.DROP
+            self.reviews(), self.order_keys(), orphans=facts.DROP, unique_key=None
         )
 
 
@@ -175,7 +184,7 @@ def _item_counts(s: Silver) -> DataFrame:
 
 
 def _review_fact_counts(s: Silver) -> DataFrame:
-    orders = s.fact_order()
+    orders = s.order_keys()
     fact = facts.build_fact_review_gold(s.reviews(), orders, facts.KEEP, unique_key=None)
     return _counted(checks.fact_review_rules(orders), fact)
 
@@ -345,7 +354,7 @@ def all_queries() -> dict[str, Query]:
             lambda t: facts.clean_fact_review_gold(t.raw("order_reviews"))
         ),
         "fact_review": s(Silver.fact_review),
-        "orphan_reviews": s(lambda t: facts.orphan_reviews(t.reviews(), t.fact_order())),
+        "orphan_reviews": s(lambda t: facts.orphan_reviews(t.reviews(), t.order_keys())),
         # rules, counted
         "rule_counts_customers": _counts(_shaped("customers"), checks.customer_rules),
         "rule_counts_sellers": _counts(_shaped("sellers"), checks.seller_rules),
