@@ -100,7 +100,13 @@ def clean_order_items(df: DataFrame) -> DataFrame:
 _SOURCE_ORDER = "__source_order"
 
 
-def shape_payments(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def _source_order(order_by: Sequence[str] | None) -> Column:
+    """Where a row stands in its source: by the given columns, or as Spark reads it."""
+    position = F.struct(*order_by) if order_by else F.monotonically_increasing_id()
+    return position.alias(_SOURCE_ORDER)
+
+
+def shape_payments(df: DataFrame, *extra: Column) -> DataFrame:
     installments = casting.to_int("payment_installments")
     one_off_card = (text.lowered("payment_type") == "credit_card") & (installments == 0)
     shaped = {
@@ -110,7 +116,7 @@ def shape_payments(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         "payment_installments": F.when(one_off_card, F.lit(1)).otherwise(installments),
         "payment_value": casting.to_double("payment_value"),
     }
-    return df.select(*(column.alias(name) for name, column in shaped.items()), *keep)
+    return df.select(*(column.alias(name) for name, column in shaped.items()), *extra)
 
 
 def payment_acceptance(drop_not_defined: bool = False) -> RuleSet:
@@ -144,12 +150,9 @@ def clean_order_payments(
     file scan but not after a shuffle.
     """
     df = require_columns(standard_headers(df), fixed.PAYMENT_COLUMNS, "order_payments")
-    if order_by is None:
-        df = df.withColumn(_SOURCE_ORDER, F.monotonically_increasing_id())
-        order_by = [_SOURCE_ORDER]
-    shaped = shape_payments(df, keep=order_by)
+    shaped = shape_payments(df, _source_order(order_by))
     accepted = payment_acceptance(drop_not_defined).accept(shaped)
-    survivors = first_per_key(accepted, ["order_id", "payment_sequential"], order_by)
+    survivors = first_per_key(accepted, ["order_id", "payment_sequential"], [_SOURCE_ORDER])
     return survivors.select(*fixed.PAYMENT_COLUMNS)
 
 
@@ -269,7 +272,7 @@ def clean_category_dataframe(
     shaped = df.select(
         sanitize_category_name(key).alias(key),
         text.title_letters(F.coalesce(text.as_text(english), F.lit(""))).alias(english),
-        (F.struct(*order_by) if order_by else F.monotonically_increasing_id()).alias(_SOURCE_ORDER),
+        _source_order(order_by),
     )
     return first_per_key(shaped, [key], [_SOURCE_ORDER]).select(*fixed.CATEGORY_COLUMNS)
 
