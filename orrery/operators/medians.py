@@ -37,13 +37,18 @@ def median_per_key(
         .agg(F.count(F.lit(1)).alias(_COUNT))
     )
 
-    different = values.agg(F.approx_count_distinct(value)).first()[0]
+    # A row count is answered from file footers, so the values are only looked at
+    # when there are more rows than may be kept.
+    rows = values.count()
+    different = rows
+    if rows > values_in_memory:
+        different = values.agg(F.approx_count_distinct(value)).first()[0]
     if different <= values_in_memory:
         return folded.groupBy(key).agg(
             F.percentile(value, F.lit(0.5), F.col(_COUNT)).alias(name)
         )
     wanted = min(MAX_BUCKETS, 1 + 4 * different // values_in_memory)
-    buckets = RangeBuckets(values, [value], wanted, values.count())
+    buckets = RangeBuckets(values, [value], wanted, rows)
     return _median_by_ranges(folded, key, value, name, buckets)
 
 
