@@ -496,9 +496,9 @@ def _null_rules(text: str, *columns: str) -> dict[str, str]:
 def _party_counts(name: str, ids: tuple[str, ...]) -> str:
     table, state, zip_code = f"shaped_{name}s", f"{name}_state", f"{name}_zip_code_prefix"
     rules = {
-        **_null_rules("Null value found in critical field: {}", *ids, f"{name}_city", state),
+        **_null_rules("Null in required column {}", *ids, f"{name}_city", state),
         f"Invalid {state}": f"{state} NOT IN ({STATE_LIST})",
-        "Invalid ZIP code prefix": f"{zip_code} NOT BETWEEN 1000 AND 99999",
+        "Invalid zip code": f"{zip_code} NOT BETWEEN 1000 AND 99999",
     }
     return _counts(table, rules, {f"Duplicate {name}_id": _repeated(table, f"{name}_id")})
 
@@ -516,15 +516,15 @@ _ORDER_RULES = {
             "order_purchase_timestamp",
         ).items()
     },
-    "Invalid order_status detected": ("order_status", f"order_status NOT IN ({STATUSES})"),
+    "Invalid order_status": ("order_status", f"order_status NOT IN ({STATUSES})"),
     **{
-        f"{c} occurs before order_purchase_timestamp": (c, f"{c} < order_purchase_timestamp")
+        f"{c} before the purchase": (c, f"{c} < order_purchase_timestamp")
         for c in ("order_approved_at", "order_delivered_carrier_date")
     },
 }
 STATEMENTS["rule_counts_orders"] = _counts(
     "clean_orders", {n: bad for n, (_, bad) in _ORDER_RULES.items()},
-    {"Duplicate order_id values detected": _repeated("clean_orders", "order_id")},
+    {"Duplicate order_id": _repeated("clean_orders", "order_id")},
 )
 _ITEM_RULES = {
     **{
@@ -534,11 +534,11 @@ _ITEM_RULES = {
             "shipping_limit_date",
         ).items()
     },
-    "Invalid order_item_id detected": ("order_item_id", "order_item_id <= 0"),
-    "Invalid price detected": ("price", "price IS NULL OR price <= 0"),
-    "Invalid freight_value detected": ("freight_value", "freight_value IS NULL OR freight_value < 0"),
+    "Invalid order_item_id": ("order_item_id", "order_item_id <= 0"),
+    "Invalid price": ("price", "price IS NULL OR price <= 0"),
+    "Invalid freight_value": ("freight_value", "freight_value IS NULL OR freight_value < 0"),
 }
-_PAIR = "Duplicate order_id and order_item_id combination detected"
+_PAIR = "Duplicate (order_id, order_item_id)"
 STATEMENTS["rule_counts_order_items"] = _counts(
     "clean_order_items", {n: bad for n, (_, bad) in _ITEM_RULES.items()},
     {_PAIR: _repeated("clean_order_items", "order_id", "order_item_id")},
@@ -614,15 +614,15 @@ STATEMENTS["rule_counts_category_names"] = _counts(
 STATEMENTS["rule_counts_dim_customer"] = _counts(
     "dim_customer",
     {
-        **_null_rules("Null critical field in Gold: {}", "customer_key", "customer_unique_id",
+        **_null_rules("Null critical field: {}", "customer_key", "customer_unique_id",
                       "first_order_date", "state", "city"),
-        "Invalid state in Gold": f"state NOT IN ({STATE_LIST})",
-        "city is not normalized in Gold": "city <> lower(trim(city))",
-        "Invalid first_order_date in Gold": "first_order_date IS NULL",
-        "Gold contains future first_order_date": "first_order_date > now()::TIMESTAMP",
+        "Invalid state": f"state NOT IN ({STATE_LIST})",
+        "city is not normalized": "city <> lower(trim(city))",
+        "Invalid first_order_date": "first_order_date IS NULL",
+        "first_order_date in the future": "first_order_date > now()::TIMESTAMP",
     },
     {
-        f"Duplicate {c} in Gold customer dimension": _repeated("dim_customer", c)
+        f"Duplicate {c}": _repeated("dim_customer", c)
         for c in ("customer_key", "customer_unique_id")
     },
 )
@@ -637,10 +637,10 @@ STATEMENTS["rule_counts_dim_date"] = _counts(
         "Invalid date format": "NOT regexp_full_match(CAST(date AS VARCHAR), '\\d{4}-\\d{2}-\\d{2}')",
         "Invalid date value": "TRY_CAST(CAST(date AS VARCHAR) AS DATE) IS NULL",
         # The table above is built by the same definitions, so nothing can differ.
-        **{f"Inconsistent {c} for calendar_date": "false" for c in _DATE_COLUMNS if c != "date"},
+        **{f"Inconsistent {c}": "false" for c in _DATE_COLUMNS if c != "date"},
     },
     {
-        **{f"Duplicate {c} values detected": _repeated("dim_date", c) for c in ("date_key", "date")},
+        **{f"Duplicate {c}": _repeated("dim_date", c) for c in ("date_key", "date")},
         "Calendar has missing days":
             "SELECT abs(date_diff('day', min(date), max(date)) + 1 - count(*)) FROM dim_date",
         **{
@@ -676,44 +676,44 @@ STATEMENTS["rule_counts_dim_product"] = _counts(
 STATEMENTS["rule_counts_dim_seller"] = _counts(
     "dim_seller",
     {
-        **_null_rules("Null critical field in gold_dim_seller: {}", "seller_key", "seller_id",
+        **_null_rules("Null critical field: {}", "seller_key", "seller_id",
                       "seller_state", "seller_city"),
-        "Invalid seller_state detected": f"seller_state NOT IN ({STATE_LIST})",
+        "Invalid seller_state": f"seller_state NOT IN ({STATE_LIST})",
         "seller_city is not normalized": "seller_city <> lower(trim(seller_city))",
     },
     {
-        f"Duplicate {c} detected in gold_dim_seller": _repeated("dim_seller", c)
+        f"Duplicate {c}": _repeated("dim_seller", c)
         for c in ("seller_key", "seller_id")
     },
 )
 STATEMENTS["rule_counts_fact_order"] = _counts(
     "fact_order",
     {
-        **_null_rules("Null critical field in gold_fact_orders: {}", "order_id", "date_key",
+        **_null_rules("Null critical field: {}", "order_id", "date_key",
                       "customer_key", "is_new_at_order"),
         **{
-            f"Invalid {c} detected in gold_fact_orders": f"{c} IS NULL OR {c} < 0"
+            f"Invalid {c}": f"{c} IS NULL OR {c} < 0"
             for c in ("order_value", "item_count", "payment_value_total")
         },
     },
-    {"Duplicate order_id detected in gold_fact_orders": _repeated("fact_order", "order_id")},
+    {"Duplicate order_id": _repeated("fact_order", "order_id")},
 )
 STATEMENTS["rule_counts_fact_order_item"] = _counts(
     "all_fact_order_item",
     {
-        **_null_rules("Null critical field in gold_fact_order_item: {}", "order_item_id", "order_id",
+        **_null_rules("Null critical field: {}", "order_item_id", "order_id",
                       "date_key", "customer_key", "product_key", "seller_key", "price",
                       "freight_value"),
         "order_item_id must be positive": "order_item_id <= 0",
-        "Invalid price detected in gold_fact_order_item": "price <= 0",
-        "Invalid freight_value detected in gold_fact_order_item": "freight_value < 0",
-        "Invalid price_vs_baseline_pct detected":
+        "Invalid price": "price <= 0",
+        "Invalid freight_value": "freight_value < 0",
+        "Invalid price_vs_baseline_pct":
             "isnan(price_vs_baseline_pct) OR isinf(price_vs_baseline_pct)",
     },
     {
-        "Duplicate (order_id, order_item_id) pair detected":
+        "Duplicate (order_id, order_item_id)":
             _repeated("all_fact_order_item", "order_id", "order_item_id"),
-        "Orphan FK detected in gold_fact_order_item":
+        "Orphan order, date or customer key":
             "SELECT count(*) FROM all_fact_order_item f WHERE NOT EXISTS (SELECT 1 FROM fact_order o "
             "WHERE o.order_id = f.order_id AND o.date_key = f.date_key "
             "AND o.customer_key = f.customer_key)",
@@ -722,14 +722,14 @@ STATEMENTS["rule_counts_fact_order_item"] = _counts(
 STATEMENTS["rule_counts_fact_review"] = _counts(
     "all_fact_review",
     {
-        **_null_rules("Null critical field in gold_fact_review: {}", "review_id", "order_id",
+        **_null_rules("Null critical field: {}", "review_id", "order_id",
                       "order_date_key", "review_score"),
-        "Invalid review_score detected in gold_fact_review": "review_score NOT BETWEEN 1 AND 5",
+        "Invalid review_score": "review_score NOT BETWEEN 1 AND 5",
     },
     {
-        "Duplicate review_id detected in gold_fact_review":
+        "Duplicate review_id":
             _repeated("all_fact_review", "review_id"),
-        "Orphan FK detected in gold_fact_review (order_id/date_key mismatch)":
+        "Orphan order or date key":
             "SELECT count(*) FROM all_fact_review f WHERE NOT EXISTS (SELECT 1 FROM fact_order o "
             "WHERE o.order_id = f.order_id AND o.date_key = f.order_date_key)",
     },
@@ -756,7 +756,7 @@ def _repeated_rows(dataset: str, table: str, rule: str, *keys: str, where: str =
 
 STATEMENTS["invalid_rows_orders"] = _invalid(
     "silver_orders", "clean_orders", _ORDER_RULES,
-    _repeated_rows("silver_orders", "clean_orders", "Duplicate order_id values detected", "order_id"),
+    _repeated_rows("silver_orders", "clean_orders", "Duplicate order_id", "order_id"),
 )
 STATEMENTS["invalid_rows_order_items"] = _invalid(
     "silver_order_items", "clean_order_items", _ITEM_RULES,

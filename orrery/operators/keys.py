@@ -22,12 +22,14 @@ def dense_key(
     name: str,
     tie_breakers: Sequence[str] = (),
     size_from: DataFrame | None = None,
+    max_rows: int | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Add `name`: the position of the row in the order of its natural key.
 
-    `size_from` is a cheap frame with the same key columns and at least as many
-    rows (the source table); it is counted and sampled instead of `df`.
+    `max_rows` is an upper bound that the caller knows, for instance the row count of
+    a source file.  `size_from` is a cheap frame with the same key columns and at
+    least as many rows; it is counted and sampled instead of `df`.
 
     A table known to be small is numbered in one task.  A larger one is cut into
     range buckets; rows are numbered inside their bucket, and the only thing that
@@ -35,7 +37,7 @@ def dense_key(
     """
     order = [natural_key, *tie_breakers]
     sizing = (df if size_from is None else size_from).select(*order)
-    rows = sizing.count()
+    rows = sizing.count() if max_rows is None else max_rows
     key_type = "int" if rows <= INT_MAX else "bigint"
 
     if rows <= rows_per_bucket:

@@ -23,7 +23,8 @@ def first_per_key(
     All remaining columns follow as tie-breakers, so the survivor does not depend
     on partitioning or on a retried task.
     """
-    tie_breakers = [F.col(name) for name in df.columns if name not in keys]
+    settled = {*keys, *(o for o in order if isinstance(o, str))}
+    tie_breakers = [F.col(name) for name in df.columns if name not in settled]
     window = Window.partitionBy(*keys).orderBy(*order, *tie_breakers or [F.lit(1)])
     return (
         df.withColumn(_RANK, F.row_number().over(window))

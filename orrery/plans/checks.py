@@ -60,10 +60,10 @@ def _party_rules(dataset: str, prefix: str, ids: Iterable[str]) -> RuleSet:
         dataset,
         (*ids, zip_code, city, state),
         [
-            *not_null([*ids, city, state], "Null value found in critical field: {}"),
+            *not_null([*ids, city, state], "Null in required column {}"),
             one_of(state, fixed.STATE_CODES, f"Invalid {state}"),
             UniqueRule(f"Duplicate {prefix}_id", (f"{prefix}_id",)),
-            outside(zip_code, *fixed.ZIP_RANGE, "Invalid ZIP code prefix"),
+            outside(zip_code, *fixed.ZIP_RANGE, "Invalid zip code"),
         ],
     )
 
@@ -90,7 +90,7 @@ def order_rules() -> RuleSet:
     required = ["order_id", "customer_id", "order_status", "order_purchase_timestamp"]
 
     def too_early(column: str) -> RowRule:
-        return RowRule(f"{column} occurs before order_purchase_timestamp", column,
+        return RowRule(f"{column} before the purchase", column,
                        F.col(column) < purchase)
 
     return RuleSet(
@@ -98,8 +98,8 @@ def order_rules() -> RuleSet:
         fixed.ORDER_COLUMNS,
         [
             *not_null(required, "{} contains null values"),
-            UniqueRule("Duplicate order_id values detected", ("order_id",)),
-            one_of("order_status", fixed.ORDER_STATUSES, "Invalid order_status detected"),
+            UniqueRule("Duplicate order_id", ("order_id",)),
+            one_of("order_status", fixed.ORDER_STATUSES, "Invalid order_status"),
             too_early("order_approved_at"),
             too_early("order_delivered_carrier_date"),
         ],
@@ -114,12 +114,12 @@ def order_item_rules() -> RuleSet:
         fixed.ITEM_COLUMNS,
         [
             *not_null(ids, "{} contains null values"),
-            UniqueRule("Duplicate order_id and order_item_id combination detected",
+            UniqueRule("Duplicate (order_id, order_item_id)",
                        ("order_id", "order_item_id")),
-            RowRule("Invalid order_item_id detected", "order_item_id",
+            RowRule("Invalid order_item_id", "order_item_id",
                     F.col("order_item_id") <= 0),
-            RowRule("Invalid price detected", "price", price.isNull() | (price <= 0)),
-            RowRule("Invalid freight_value detected", "freight_value",
+            RowRule("Invalid price", "price", price.isNull() | (price <= 0)),
+            RowRule("Invalid freight_value", "freight_value",
                     freight.isNull() | (freight < 0)),
             *not_null(["shipping_limit_date"], "{} contains null values"),
         ],
@@ -345,13 +345,13 @@ def dim_customer_rules() -> RuleSet:
         "gold_dim_customer",
         fixed.DIM_CUSTOMER_COLUMNS,
         [
-            *not_null(fixed.DIM_CUSTOMER_COLUMNS, "Null critical field in Gold: {}"),
-            *(UniqueRule(f"Duplicate {c} in Gold customer dimension", (c,))
+            *not_null(fixed.DIM_CUSTOMER_COLUMNS, "Null critical field: {}"),
+            *(UniqueRule(f"Duplicate {c}", (c,))
               for c in ("customer_key", "customer_unique_id")),
-            one_of("state", fixed.STATE_CODES, "Invalid state in Gold"),
-            RowRule("city is not normalized in Gold", "city", city != text.lowered(city)),
-            RowRule("Invalid first_order_date in Gold", "first_order_date", first.isNull()),
-            RowRule("Gold contains future first_order_date", "first_order_date",
+            one_of("state", fixed.STATE_CODES, "Invalid state"),
+            RowRule("city is not normalized", "city", city != text.lowered(city)),
+            RowRule("Invalid first_order_date", "first_order_date", first.isNull()),
+            RowRule("first_order_date in the future", "first_order_date",
                     first > F.current_timestamp()),
         ],
     )
@@ -384,10 +384,10 @@ def dim_date_rules(study_year: int = fixed.STUDY_YEAR) -> RuleSet:
         fixed.DIM_DATE_COLUMNS,
         [
             *not_null(fixed.DIM_DATE_COLUMNS, "{} contains null values"),
-            *(UniqueRule(f"Duplicate {c} values detected", (c,)) for c in ("date_key", "date")),
+            *(UniqueRule(f"Duplicate {c}", (c,)) for c in ("date_key", "date")),
             RowRule("Invalid date format", "date", ~as_text.rlike(fixed.ISO_DATE)),
             RowRule("Invalid date value", "date", day.isNull()),
-            *(RowRule(f"Inconsistent {c} for calendar_date", c, F.col(c) != expected[c])
+            *(RowRule(f"Inconsistent {c}", c, F.col(c) != expected[c])
               for c in derived),
             TableRule("Calendar has missing days", F.abs(gap)),
             *(
@@ -466,10 +466,10 @@ def dim_seller_rules() -> RuleSet:
         "gold_dim_seller",
         fixed.DIM_SELLER_COLUMNS,
         [
-            *(UniqueRule(f"Duplicate {c} detected in gold_dim_seller", (c,))
+            *(UniqueRule(f"Duplicate {c}", (c,))
               for c in ("seller_key", "seller_id")),
-            *not_null(fixed.DIM_SELLER_COLUMNS, "Null critical field in gold_dim_seller: {}"),
-            one_of("seller_state", fixed.STATE_CODES, "Invalid seller_state detected"),
+            *not_null(fixed.DIM_SELLER_COLUMNS, "Null critical field: {}"),
+            one_of("seller_state", fixed.STATE_CODES, "Invalid seller_state"),
             RowRule("seller_city is not normalized", "seller_city", city != text.lowered(city)),
         ],
     )
@@ -494,9 +494,9 @@ def fact_order_rules() -> RuleSet:
         "gold_fact_order",
         fixed.FACT_ORDER_COLUMNS,
         [
-            *not_null(required, "Null critical field in gold_fact_orders: {}"),
-            UniqueRule("Duplicate order_id detected in gold_fact_orders", ("order_id",)),
-            *(RowRule(f"Invalid {c} detected in gold_fact_orders", c, bad_amount(c))
+            *not_null(required, "Null critical field: {}"),
+            UniqueRule("Duplicate order_id", ("order_id",)),
+            *(RowRule(f"Invalid {c}", c, bad_amount(c))
               for c in amounts),
         ],
         types={"is_new_at_order": "boolean"},
@@ -517,18 +517,18 @@ def fact_order_item_rules(fact_orders: DataFrame | None = None) -> RuleSet:
     required = [c for c in fixed.FACT_ITEM_COLUMNS if c != "price_vs_baseline_pct"]
     pair = ("order_id", "order_item_id")
     rules = [
-        *not_null(required, "Null critical field in gold_fact_order_item: {}"),
-        UniqueRule("Duplicate (order_id, order_item_id) pair detected", pair),
+        *not_null(required, "Null critical field: {}"),
+        UniqueRule("Duplicate (order_id, order_item_id)", pair),
         RowRule("order_item_id must be positive", "order_item_id", F.col("order_item_id") <= 0),
-        RowRule("Invalid price detected in gold_fact_order_item", "price",
+        RowRule("Invalid price", "price",
                 measures.not_finite(price) | (price <= 0)),
-        RowRule("Invalid freight_value detected in gold_fact_order_item", "freight_value",
+        RowRule("Invalid freight_value", "freight_value",
                 measures.not_finite(freight) | (freight < 0)),
-        RowRule("Invalid price_vs_baseline_pct detected", "price_vs_baseline_pct",
+        RowRule("Invalid price_vs_baseline_pct", "price_vs_baseline_pct",
                 measures.not_finite(percent)),
     ]
     if fact_orders is not None:
-        rules.append(ReferenceRule("Orphan FK detected in gold_fact_order_item",
+        rules.append(ReferenceRule("Orphan order, date or customer key",
                                    ("order_id", "date_key", "customer_key"), fact_orders))
     return RuleSet("gold_fact_order_item", fixed.FACT_ITEM_COLUMNS, rules)
 
@@ -544,15 +544,15 @@ validate_order_item_gold = validate_fact_order_item_gold
 
 def fact_review_rules(fact_orders: DataFrame | None = None) -> RuleSet:
     rules = [
-        *not_null(fixed.FACT_REVIEW_COLUMNS, "Null critical field in gold_fact_review: {}"),
+        *not_null(fixed.FACT_REVIEW_COLUMNS, "Null critical field: {}"),
         outside("review_score", *fixed.SCORE_RANGE,
-                "Invalid review_score detected in gold_fact_review"),
-        UniqueRule("Duplicate review_id detected in gold_fact_review", ("review_id",)),
+                "Invalid review_score"),
+        UniqueRule("Duplicate review_id", ("review_id",)),
     ]
     if fact_orders is not None:
         parent = fact_orders.select("order_id", F.col("date_key").alias("order_date_key"))
         rules.append(
-            ReferenceRule("Orphan FK detected in gold_fact_review (order_id/date_key mismatch)",
+            ReferenceRule("Orphan order or date key",
                           ("order_id", "order_date_key"), parent)
         )
     return RuleSet("gold_fact_review", fixed.FACT_REVIEW_COLUMNS, rules)

@@ -88,7 +88,7 @@ def build_dim_customer(
     """One keyed row per person, described by the person's lowest customer_id.
 
     `customer_ids_unique` saves an exchange where the Silver rules have already
-    shown that customer_id is unique.
+    shown that customer_id is unique; `key_options` go to `dense_key`.
     """
     known = customers.where(F.col("customer_unique_id").isNotNull())
     people = known.select("customer_id", "customer_unique_id")
@@ -113,7 +113,10 @@ def build_dim_customer(
     )
     representative = first_per_key(described, ["customer_unique_id"], ["customer_id"])
     keyed = dense_key(
-        representative, "customer_unique_id", "customer_key", size_from=known, **key_options
+        representative,
+        "customer_unique_id",
+        "customer_key",
+        **{"size_from": known, **key_options},
     )
     return keyed.join(first_orders, "customer_unique_id", "left").select(
         *fixed.DIM_CUSTOMER_COLUMNS

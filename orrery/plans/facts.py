@@ -234,7 +234,7 @@ def build_fact_order_item_gold(
     resolved = resolve_item_keys(items, fact_orders, dim_product, dim_seller, fact_orders_unique)
     settled = _settle_orphans(
         resolved, ITEM_KEYS, orphans,
-        "Order-item fact contains an orphan order, product, or seller",
+        "Order items without a known order, customer, product or seller",
     )
     below = measures.percent_below("price", "baseline_price_med")
     return settled.withColumn("price_vs_baseline_pct", below).select(*fixed.FACT_ITEM_COLUMNS)
@@ -313,9 +313,9 @@ def build_fact_review_gold(
     if unique_key:
         rule = UniqueRule("unique review", tuple(unique_key))
         if not rule.repeated(_review_rows(reviews)).isEmpty():
-            raise ValueError(f"{', '.join(unique_key)} must uniquely identify a review")
+            raise ValueError(f"{', '.join(unique_key)} must be unique in the review fact")
     settled = _settle_orphans(
         _review_keys(reviews, fact_orders), ["order_date_key"], orphans,
-        "Review fact contains an order_id not present in gold_fact_order",
+        "Reviews without a known order",
     )
     return settled.select(*fixed.FACT_REVIEW_COLUMNS)

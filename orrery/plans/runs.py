@@ -145,7 +145,7 @@ def run_fact_order_item(spark: SparkSession, fmt: str = "parquet") -> DataFrame:
         orphans=facts.KEEP,
     )
     check = _no_missing_keys(
-        "Order-item fact contains an orphan order, product, or seller", *facts.ITEM_KEYS
+        "Order items without a known order, customer, product or seller", *facts.ITEM_KEYS
     )
     return publish_table(built, GOLD["fact_order_item"], check, fmt)
 

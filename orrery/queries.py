@@ -47,6 +47,10 @@ class Silver:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
+    def rows(self, table: str) -> int:
+        """Row count of a trade table, from the file footers."""
+        return trade.trade_table(self.spark, self.folder, table).count()
+
     def raw(self, name: str) -> DataFrame:
         return getattr(trade, f"raw_{name}")(self.spark, self.folder)
 
@@ -81,8 +85,10 @@ class Silver:
 
     # -- gold
     def dim_customer(self, **options) -> DataFrame:
+        # customer_id is made from the order key, so it is unique.
         return dims.build_dim_customer(
-            self.customers(), self.orders(), customer_ids_unique=True, **options
+            self.customers(), self.orders(), customer_ids_unique=True,
+            **{"max_rows": self.rows("orders"), **options},
         )
 
     def dim_date(self) -> DataFrame:
@@ -91,15 +97,14 @@ class Silver:
         )
 
     def dim_product(self, **options) -> DataFrame:
-        products = self.products()
-        accepted, _ = checks.product_rules().split(products)
+        # A part gives three product rows at most.
         return dims.build_dim_product_gold(
-            accepted, self.translation(), self.items(), self.orders(), STUDY_YEAR,
-            size_from=products, **options,
+            self.accepted_products(), self.translation(), self.items(), self.orders(),
+            STUDY_YEAR, **{"max_rows": 3 * self.rows("part"), **options},
         )
 
     def dim_seller(self) -> DataFrame:
-        return dims.clean_dim_seller_gold(self.sellers())
+        return dims.clean_dim_seller_gold(self.sellers(), max_rows=self.rows("supplier"))
 
     def fact_order(self) -> DataFrame:
         return facts.build_fact_orders_gold(
