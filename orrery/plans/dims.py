@@ -90,37 +90,39 @@ def build_dim_customer(
     `customer_ids_unique` saves an exchange where the Silver rules have already
     shown that customer_id is unique; `key_options` go to `dense_key`.
     """
-    known = customers.where(F.col("customer_unique_id").isNotNull())
-    people = known.select("customer_id", "customer_unique_id")
+    people = customers.select(
+        "customer_id", "customer_unique_id", "customer_state", "customer_city"
+    )
     if not customer_ids_unique:
-        people = customer_people(people)
+        people = first_per_key(people, ["customer_id"])
+    known = people.where(F.col("customer_unique_id").isNotNull())
 
     # Fold orders to one day per customer_id before the join: a customer with a
     # third of all orders is one row per task here.
     first_by_id = orders.groupBy("customer_id").agg(
         F.min(casting.to_day("order_purchase_timestamp")).alias("first_order_date")
     )
-    first_orders = (
-        people.join(first_by_id, "customer_id")
-        .groupBy("customer_unique_id")
-        .agg(F.min("first_order_date").alias("first_order_date"))
-    )
-    described = known.select(
-        "customer_unique_id",
+    # One grouping finds the first order and the lowest customer_id of each person.
+    described = F.struct(
         "customer_id",
         text.uppered("customer_state").alias("state"),
         text.lowered("customer_city").alias("city"),
     )
-    representative = first_per_key(described, ["customer_unique_id"], ["customer_id"])
-    keyed = dense_key(
-        representative,
+    persons = (
+        known.join(first_by_id, "customer_id", "left")
+        .groupBy("customer_unique_id")
+        .agg(
+            F.min("first_order_date").alias("first_order_date"),
+            F.min(described).alias("lowest"),
+        )
+        .select("customer_unique_id", "first_order_date", "lowest.state", "lowest.city")
+    )
+    return dense_key(
+        persons,
         "customer_unique_id",
         "customer_key",
         **{"size_from": known, **key_options},
-    )
-    return keyed.join(first_orders, "customer_unique_id", "left").select(
-        *fixed.DIM_CUSTOMER_COLUMNS
-    )
+    ).select(*fixed.DIM_CUSTOMER_COLUMNS)
 
 
 # ------------------------------------------------------------------- products
