@@ -13,10 +13,15 @@ def _smallest(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
 
 
-def _state(edges: DataFrame):
-    """What tells two edge tables apart; one row."""
-    mixed = F.xxhash64("u", "v")
-    return edges.agg(F.count("*").alias("n"), F.bit_xor(mixed).alias("x"), F.sum(mixed.cast("decimal(38,0)")).alias("s")).first()
+def _downward(pairs: DataFrame) -> DataFrame:
+    """Different pairs from the larger to the smaller node, written."""
+    return settled(pairs.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge down at most, and none if another node's edge ends at it."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("low")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("low")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("low").alias("low")).where("up + low > 1").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -27,16 +32,11 @@ def components(edges: DataFrame) -> DataFrame:
     a round is a minimum per node joined back to the edges, so a hub is an ordinary skewed join key.
     Self-loops, repeated edges and an empty table are allowed.
     """
-    edges = settled(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    state = _state(edges)
-    while state["n"]:
+    edges = _downward(edges)
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(_smallest(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        at = low.join(_smallest(low), "u")
-        small = at.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(at.select("u", F.col("m").alias("v")))
-        edges = settled(small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-        before, state = state, _state(edges)
-        if before == state:
-            break
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+        low = both.join(_smallest(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        at = low.where("u <> v")
+        at = at.join(_smallest(at), "u")
+        edges = _downward(at.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(at.select("u", F.col("m").alias("v"))))
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -175,8 +175,8 @@ def join_tries(vals: np.ndarray, nodes: tuple[np.ndarray, ...], top_bit: int, bu
 
 
 def _tries_of(rows: dict[str, np.ndarray], budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links found in complete tries; rows come sorted by trie, then value."""
-    vals = rows["val"].view(np.uint64)
+    """Links (fingerprint, smallest fingerprint of its group) of complete tries; rows come sorted by trie, then value."""
+    vals, fps = rows["val"].view(np.uint64), rows["fp"]
     names = ("turn", "block", "a", "b")
     new = np.concatenate([[True], np.any([rows[n][1:] != rows[n][:-1] for n in names], axis=0)])
     start = np.flatnonzero(new)
@@ -184,9 +184,13 @@ def _tries_of(rows: dict[str, np.ndarray], budget: int) -> tuple[np.ndarray, np.
     left, right = [], []
 
     def keep(lo: int, label: np.ndarray) -> None:
-        moved = np.flatnonzero(label != np.arange(len(label)))
-        left.append(moved + lo)
-        right.append(label[moved] + lo)
+        # Every task names a group by its smallest fingerprint, so that tasks agree where they can.
+        own = fps[lo : lo + len(label)]
+        least = own.copy()
+        np.minimum.at(least, label, own)
+        moved = least[label] != own
+        left.append(own[moved])
+        right.append(least[label][moved])
 
     levels = rows["levels"][start]
     whole = levels == 0
@@ -231,7 +235,7 @@ def links(fps: DataFrame, budget: int = BUDGET, per_trie: int = PER_TRIE) -> Dat
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(part: dict[str, np.ndarray]) -> pa.RecordBatch:
             u, v = _tries_of(part, budget)
-            return pa.RecordBatch.from_arrays([pa.array(part["fp"][u]), pa.array(part["fp"][v])], ["u", "v"])
+            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
         held: list[dict[str, np.ndarray]] = []
         n = 0
