@@ -6,14 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orrery.llm import simhash
+import corpus_pipeline
+from orrery.llm import bpe, chat, decontaminate, extraction, ngram_lm, quality, secrets, sharding, simhash, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_spaced_seeds": decontaminate.op1,
+        "op2_quality_sketches": quality.op2,
+        "op3_secret_entropy": secrets.op3,
+        "op4_stratified_shards": sharding.op4,
+        "op5_backoff_scores": ngram_lm.op5,
+        "op6_chunked_bpe": bpe.op6,
+        "op7_url_trees": url_filter.op7,
+        "op8_chat_grammar": chat.op8,
+        "op9_site_templates": extraction.op9,
         "op10_simhash_trie": simhash.op10,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_stratified_shards": sharding.OP4_SQL,
+        "op8_chat_grammar": chat.OP8_SQL,
+    }
