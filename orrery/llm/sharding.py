@@ -89,15 +89,15 @@ def op4(spark, sf_dir: str) -> DataFrame:
 #: The table of CRC-32 is built from its polynomial; the checksum then folds the bytes of the text.
 OP4_SQL = f"""
 WITH step AS (
-  SELECT i, list_reduce(range(8), (c, k) -> CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) AS v
+  SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) AS v
   FROM (SELECT unnest(range(256))::BIGINT AS i)
 ), crc AS (SELECT list(v ORDER BY i) AS t FROM step),
 docs AS (
   SELECT doc_id, source, hex(encode(coalesce(text, ''))) AS h FROM documents
 ), base AS (
   SELECT doc_id, source, (length(h) // 2 + 16)::BIGINT AS size,
-    xor(4294967295, list_reduce(list_transform(range(length(h) // 2), i -> ('0x' || substr(h, (2 * i + 1)::BIGINT, 2))::BIGINT),
-      (c, b) -> xor(c // 256, t[(xor(c % 256, b) + 1)::BIGINT]), 4294967295))::BIGINT AS text_crc32
+    xor(4294967295, list_reduce(list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, (2 * i + 1)::BIGINT, 2))::BIGINT),
+      lambda c, b: xor(c // 256, t[(xor(c % 256, b) + 1)::BIGINT]), 4294967295))::BIGINT AS text_crc32
   FROM docs, crc
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5('{SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(source, '') || ':' || size || ':' || text_crc32), doc_id NULLS FIRST, size, text_crc32) - 1 AS r,
