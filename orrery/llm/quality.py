@@ -21,10 +21,10 @@ REACH = 6
 ENOUGH = 50
 #: Measures (integers), the side that is bad, and the least distance between quartiles.
 MEASURES = {
-    "symbol_share": ("high", 100),
-    "dup_line_share": ("high", 500),
-    "repeat_share": ("high", 400),
-    "word_length": ("both", 40),
+    "symbol_share": ("high", 80),
+    "dup_line_share": ("high", 1000),
+    "repeat_share": ("high", 800),
+    "word_length": ("both", 50),
 }
 
 
@@ -183,3 +183,45 @@ def op2(spark, sf_dir: str) -> DataFrame:
     found = with_verdict(narrow, limits_of(narrow, "measures", "lang", "source"), "measures", "verdict", "lang", "source")
     m = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return found.select("doc_id", *[F.col(f"measures.{c}").alias(c) for c in m], F.col("verdict.base_failed").alias("base_failed"), F.col("verdict.kept").alias("kept"), F.array_join("verdict.failed", ",").alias("failed"))
+
+
+def _op2_sql() -> str:
+    rows = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, {m} AS x FROM m WHERE NOT base_failed" for m in MEASURES)
+    gaps = "CASE measure " + " ".join(f"WHEN '{m}' THEN {d}" for m, (_, d) in MEASURES.items()) + " END"
+    level = lambda by: f"""
+      SELECT {by}measure, docs, q1 - {REACH} * greatest(q3 - q1, {gaps}) AS low, q3 + {REACH} * greatest(q3 - q1, {gaps}) AS high FROM (
+        SELECT {by}measure, max(docs) AS docs, min(least_x) FILTER (upto * 4 >= docs) AS q1, min(least_x) FILTER (upto * 4 >= docs * 3) AS q3 FROM (
+          SELECT {by}measure, bucket, CASE WHEN bucket < 64 THEN bucket ELSE (bucket % 32 + 32) << (bucket // 32 - 1)::INT END AS least_x,
+            sum(n) OVER (PARTITION BY {by}measure ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {by}measure) AS docs
+          FROM (SELECT {by}measure, bucket, count(*) AS n FROM s GROUP BY ALL)
+        ) GROUP BY {by}measure
+      )"""
+    over = {m: f"m.{m} > f.high" + (f" OR m.{m} < f.low" if side == "both" else "") for m, (side, _) in MEASURES.items()}
+    beyond = " ".join(f"WHEN '{m}' THEN {c}" for m, c in over.items())
+    order = "CASE f.measure " + " ".join(f"WHEN '{m}' THEN {k}" for k, m in enumerate(MEASURES)) + " END"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+g AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, a, b, c) AS n FROM (SELECT rid, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM w))),
+r AS (SELECT rid, count(DISTINCT p) AS n_repeat_words FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM g WHERE n > 1) GROUP BY rid),
+b AS (SELECT rid, doc_id, lang, source, len(w)::BIGINT AS n_words, length(regexp_replace(w.t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+  length(regexp_replace(w.t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines) AS n_lines,
+  coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words FROM d JOIN w USING (rid) LEFT JOIN r USING (rid)),
+m AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
+  n_symbols * 10000 // greatest(word_chars, 1) AS symbol_share, n_dup_lines * 10000 // greatest(n_lines, 1) AS dup_line_share,
+  n_repeat_words * 10000 // greatest(n_words, 1) AS repeat_share, word_chars * 100 // greatest(n_words, 1) AS word_length FROM b),
+s AS (SELECT lang, source, measure, CASE WHEN x < 64 THEN x ELSE (length(bin(x)) - 6) * 32 + (x >> (length(bin(x)) - 6)::INT) END AS bucket FROM ({rows})),
+own AS ({level("lang, source, ")}), of_lang AS ({level("lang, ")}), of_all AS ({level("")}),
+f AS (SELECT own.lang, own.source, own.measure,
+  CASE WHEN own.docs >= {ENOUGH} THEN own.low WHEN l.docs >= {ENOUGH} THEN l.low ELSE a.low END AS low,
+  CASE WHEN own.docs >= {ENOUGH} THEN own.high WHEN l.docs >= {ENOUGH} THEN l.high ELSE a.high END AS high
+  FROM own JOIN of_lang l ON own.lang IS NOT DISTINCT FROM l.lang AND own.measure = l.measure JOIN of_all a ON own.measure = a.measure),
+v AS (SELECT m.rid, string_agg(f.measure, ',' ORDER BY {order}) AS failed FROM m JOIN f ON m.lang IS NOT DISTINCT FROM f.lang AND m.source IS NOT DISTINCT FROM f.source
+  WHERE NOT base_failed AND CASE f.measure {beyond} END GROUP BY m.rid)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND v.failed IS NULL AS kept, coalesce(v.failed, '') AS failed
+FROM m LEFT JOIN v USING (rid)
+"""
+
+
+OP2_SQL = _op2_sql()
