@@ -28,6 +28,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_quality_sketches": quality.OP2_SQL,
+        "op3_secret_entropy": secrets.OP3_SQL,
         "op4_stratified_shards": sharding.OP4_SQL,
         "op8_chat_grammar": chat.OP8_SQL,
     }

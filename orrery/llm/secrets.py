@@ -159,3 +159,33 @@ def op3(spark, sf_dir: str) -> DataFrame:
     found = scanned(table(spark, sf_dir, "documents").select("doc_id", "text"))
     n = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", *[n(k) for k in BASE], F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
+def _op3_sql() -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+
+    def found(pattern: str, group: int, least: int) -> str:
+        p = quoted(pattern)
+        return f"""
+  SELECT rid, list_sum(list_transform(gaps[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[: i - 1], lambda x: length(x))), 0) AS s, hits[i] AS v
+  FROM (SELECT rid, string_split_regex(t, {p}) AS gaps, regexp_extract_all(t, {p}) AS hits, regexp_extract_all(t, {p}, {group}) AS checked, unnest(range(1, len(regexp_extract_all(t, {p})) + 1)) AS i FROM d)
+  WHERE length(checked[i]) >= {least}"""
+
+    base = " UNION ALL ".join(f"SELECT rid, s, {k} AS rank, s + length(v) AS e, '{kind}' AS kind FROM ({found(p, g, n)})" for k, (kind, (p, n, g)) in enumerate(BASE.items()))
+    known = quoted("|".join(f"(?:{a})" for a in ALLOWED))
+    more = []
+    for k, (kind, (_, one, window, bits)) in enumerate(CLASSES.items(), len(BASE)):
+        hits = f"list_filter(range(1, length(v) - {window} + 2), lambda i: list_entropy(string_split(substr(v, i, {window}), '')) >= {bits} - 1e-5)"
+        more.append(f"SELECT rid, s + h[1] - 1 AS s, {k} AS rank, s + h[-1] + {window - 1} AS e, '{kind}' AS kind FROM (SELECT rid, s, {hits} AS h FROM ({found(f'{one}{{{window},}}', 0, window)}) WHERE NOT regexp_full_match(v, {known})) WHERE len(h) > 0")
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+base AS ({base}), mixed AS ({' UNION ALL '.join(more)}),
+spans AS (SELECT * FROM base UNION ALL SELECT * FROM mixed m WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = m.rid AND b.s <= m.s AND b.e >= m.e)),
+b AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e) AS joined FROM base GROUP BY rid),
+a AS (SELECT rid, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e) AS joined FROM spans GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(b.joined, '')) AS base_sha256, coalesce(a.joined, '') AS spans
+FROM d LEFT JOIN b USING (rid) LEFT JOIN a USING (rid)
+"""
+
+
+OP3_SQL = _op3_sql()
