@@ -145,4 +145,17 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", back
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
-    return scored(table(spark, sf_dir, "documents"))
+    found = scored(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_seen", F.round("score", 4).alias("score"), F.round("mean_score", 6).alias("mean_score"))
+
+
+OP5_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+k AS (SELECT rid, i, w[i] AS x, CASE WHEN i > 1 THEN w[i - 1] END AS before FROM (SELECT rid, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+c AS (SELECT *, count(*) OVER () AS total, count(*) OVER (PARTITION BY rid) AS own, count(*) OVER (PARTITION BY x) - count(*) OVER (PARTITION BY x, rid) AS one,
+  count(before) OVER (PARTITION BY before, x) - count(before) OVER (PARTITION BY before, x, rid) AS two FROM k),
+s AS (SELECT rid, two > 0 AS seen, CASE WHEN two > 0 THEN ln(two / lag(one) OVER (PARTITION BY rid ORDER BY i))
+  ELSE ln(CASE WHEN i > 1 THEN {BACKOFF}::DOUBLE ELSE 1 END * greatest(one, {BACKOFF}::DOUBLE) / greatest(total - own, 1)) END AS score FROM c)
+SELECT doc_id, len(w)::BIGINT AS n_words, count_if(seen)::BIGINT AS n_seen, round(coalesce(sum(score), 0), 4) AS score, round(avg(score), 6) AS mean_score
+FROM d LEFT JOIN s USING (rid) GROUP BY rid, doc_id, w
+"""

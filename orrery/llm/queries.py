@@ -31,5 +31,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_quality_sketches": quality.OP2_SQL,
         "op3_secret_entropy": secrets.OP3_SQL,
         "op4_stratified_shards": sharding.OP4_SQL,
+        "op5_backoff_scores": ngram_lm.OP5_SQL,
         "op8_chat_grammar": chat.OP8_SQL,
     }
