@@ -24,8 +24,8 @@ from orrery.llm.common import table
 from orrery.llm.quality import words_of
 
 BACKOFF = 0.4
-WORDS_PER_BLOCK = 400_000
-NGRAMS_PER_BUCKET = 2_000_000
+WORDS_PER_BLOCK = 200_000
+NGRAMS_PER_BUCKET = 4_000_000
 
 
 class _Hashes(dict):
@@ -64,6 +64,24 @@ def _unpacked(data: bytes) -> np.ndarray:
     return counts
 
 
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending hashes as differences of six bytes; larger ones as all ones, with their values at the end."""
+    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
+    escape = np.uint64((1 << 48) - 1)
+    large = steps >= escape
+    short = np.where(large, escape, steps).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    return np.int64(len(keys)).tobytes() + short.tobytes() + steps[large].tobytes()
+
+
+def _unpacked_keys(data: bytes) -> np.ndarray:
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    steps = np.zeros((n, 8), np.uint8)
+    steps[:, :6] = np.frombuffer(data, np.uint8, 6 * n, 8).reshape(n, 6)
+    steps = steps.view("<u8").ravel()
+    steps[steps == (1 << 48) - 1] = np.frombuffer(data, "<u8", -1, 8 + 6 * n)
+    return np.cumsum(steps, dtype=np.uint64)
+
+
 def _folded(texts: list[str | None], known: dict) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """(hashes of the words of each text, n-grams of the block in ascending order, their counts)."""
     words = [words_hashed(t, known) for t in texts]
@@ -114,12 +132,12 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", back
         edges = [*first.tolist(), len(keys)]
         part = lambda a, put: pa.array([put(a[x:y]) for x, y in zip(edges, edges[1:], strict=False)], pa.binary())
         block = pa.array([t.column("block")[0].as_py()] * len(names), pa.int64())
-        return pa.table({"block": block, "bucket": pa.array(names.astype(np.int64)), "keys": part(keys, np.ndarray.tobytes), "counts": part(counts, _packed)})
+        return pa.table({"block": block, "bucket": pa.array(names.astype(np.int64)), "keys": part(keys, _packed_keys), "counts": part(counts, _packed)})
 
     asked = dealt.groupBy("block").applyInArrow(ask, "block long, bucket long, keys binary, counts binary")
 
     def answer(t: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x, np.uint64) for x in t.column("keys").to_pylist()]
+        keys = [_unpacked_keys(x) for x in t.column("keys").to_pylist()]
         counts = np.concatenate([_unpacked(x) for x in t.column("counts").to_pylist()])
         _, back = np.unique(np.concatenate(keys), return_inverse=True)
         totals = np.bincount(back, counts).astype(np.int64)[back]

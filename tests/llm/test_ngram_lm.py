@@ -51,6 +51,13 @@ def test_packing_keeps_counts():
         assert ngram_lm._unpacked(ngram_lm._packed(np.array(counts, np.int64))).tolist() == counts
 
 
+def test_packing_keeps_keys():
+    rng = np.random.default_rng(3)
+    for keys in ([], [0], [5, 2**64 - 1], [2**48 - 1, 2**49], rng.integers(0, 2**63, 1000).tolist()):
+        keys = np.unique(np.array(keys, np.uint64))
+        assert (ngram_lm._unpacked_keys(ngram_lm._packed_keys(keys)) == keys).all()
+
+
 def test_edge_cases(docs, none):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     got = ngram_lm.scored(docs).collect()
