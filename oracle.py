@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 
+from orrery.sources.spoiled import NUMBER, SPOILS
+
 STATES = (
     "['AC','AL','AM','AP','BA','CE','DF','ES','GO','MA','MG','MS','MT','PA',"
     "'PB','PE','PI','PR','RJ','RN','RO','RR','RS','SC','SE','SP','TO']"
@@ -237,21 +239,20 @@ SELECT DISTINCT nullif(trim(product_id), '') AS product_id,
 FROM raw_products"""
 
 _PRODUCT_RULES = {
-    "product_id is null": ("product_id", "product_id IS NULL"),
-    "product_id not 32-char lowercase hex":
-        ("product_id", "NOT regexp_full_match(product_id, '[0-9a-f]{32}')"),
-    "product_category_name not normalised": (
+    "product_id.missing": ("product_id", "product_id IS NULL"),
+    "product_id.not_hex": ("product_id", "NOT regexp_full_match(product_id, '[0-9a-f]{32}')"),
+    "product_category_name.untidy": (
         "product_category_name",
         "product_category_name IS NOT NULL AND product_category_name IS DISTINCT FROM "
         f"regexp_replace(lower({_KEY}), '[_\\-]+', ' ', 'g')",
     ),
-    "product_weight_g negative": ("product_weight_g", "product_weight_g < 0"),
+    "product_weight_g.negative": ("product_weight_g", "product_weight_g < 0"),
     **{
-        f"{c} not positive": (c, f"{c} <= 0")
+        f"{c}.not_positive": (c, f"{c} <= 0")
         for c in ("product_name_length", "product_description_length", "product_length_cm",
                   "product_height_cm", "product_width_cm")
     },
-    "product_photos_qty < 1": ("product_photos_qty", "product_photos_qty < 1"),
+    "product_photos_qty.below_one": ("product_photos_qty", "product_photos_qty < 1"),
 }
 TABLES["accepted_products"] = f"""
 SELECT * EXCLUDE (n) FROM (
@@ -316,7 +317,7 @@ WHERE rn = 1"""
 
 TABLES["payment_totals"] = """
 SELECT order_id, count(*) AS payment_record_count,
-       CAST(sum(CAST(payment_value AS DECIMAL(18,2))) AS DOUBLE) AS order_payment_total
+       CAST(sum(CAST(payment_value AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS order_payment_total
 FROM clean_payments GROUP BY order_id"""
 
 # ------------------------------------------------------------------------ gold
@@ -348,6 +349,10 @@ FROM (SELECT product_id, list(price ORDER BY price) AS prices
       GROUP BY product_id)"""
 TABLES["baseline_price_by_ranges"] = "SELECT * FROM baseline_price"
 
+TABLES["baseline_price_repeated_values"] = TABLES["baseline_price"].replace(
+    "list(price ORDER BY price)", "list(whole ORDER BY whole)"
+).replace("FROM clean_order_items i", "FROM (SELECT *, CAST(round(CAST(CAST(price AS VARCHAR) AS DECIMAL(30,12)) / 100) AS DOUBLE) * 100 AS whole FROM clean_order_items) i")
+
 TABLES["dim_customer"] = """
 SELECT CAST(row_number() OVER (ORDER BY p.customer_unique_id) AS INTEGER) AS customer_key,
        p.customer_unique_id, f.first_order_date, p.customer_state AS state, p.customer_city AS city
@@ -416,7 +421,7 @@ SELECT o.order_id, d.date_key, c.customer_key, coalesce(i.order_value, 0.0) AS o
 FROM clean_fact_orders o
 LEFT JOIN (SELECT order_id, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS order_value,
                   count(*) AS item_count FROM clean_order_items GROUP BY 1) i ON o.order_id = i.order_id
-LEFT JOIN (SELECT order_id, order_payment_total AS payment_value_total FROM payment_totals) p
+LEFT JOIN (SELECT order_id, CAST(order_payment_total AS DOUBLE) AS payment_value_total FROM payment_totals) p
   ON o.order_id = p.order_id
 LEFT JOIN (SELECT customer_id, customer_key, first_order_date
            FROM clean_customers JOIN dim_customer USING (customer_unique_id)) c
@@ -465,275 +470,373 @@ SELECT review_id, order_id, review_score FROM all_fact_review WHERE order_date_k
 
 
 # ----------------------------------------------------------------- rule counts
-def _counts(table: str, rules: dict[str, str], extra: dict[str, str] | None = None,
-            warnings: tuple[str, ...] = ()) -> str:
-    """`rules`: name -> bad-row condition; `extra`: name -> scalar query."""
-    parts = []
-    for name, bad in rules.items():
-        parts.append((name, f"SELECT count(*) FILTER (WHERE {bad}) FROM {table}"))
-    for name, query in (extra or {}).items():
-        parts.append((name, query))
+# A row rule is (column to blame, bad-row condition); a table rule two scalar queries,
+# the number of bad rows and an example.
+RowRules = dict[str, tuple[str, str]]
+TableRules = dict[str, tuple[str, str]]
+_AMOUNTS = {
+    "price", "freight_value", "payment_value", "baseline_price_med", "order_value",
+    "payment_value_total", "price_vs_baseline_pct",
+}
+
+
+def _shown(column: str) -> str:
+    text = f"CAST({column} AS VARCHAR)"
+    if column not in _AMOUNTS:
+        return text
+    return (
+        f"CASE WHEN isnan({column}) THEN 'NaN' WHEN isinf({column}) THEN "
+        f"CASE WHEN {column} > 0 THEN 'Infinity' ELSE '-Infinity' END ELSE {text} END"
+    )
+
+
+def _counts(table: str, rows: RowRules, extra: TableRules, warnings: tuple[str, ...] = ()) -> str:
+    parts = [("row_count", "info", f"SELECT count(*) AS n, CAST(NULL AS VARCHAR) AS e FROM {table}")]
+    for name, (column, bad) in rows.items():
+        query = f"SELECT count(*) AS n, min({_shown(column)}) AS e FROM {table} WHERE {bad}"
+        parts.append((name, "warning" if name in warnings else "error", query))
+    for name, (count, example) in extra.items():
+        parts.append((name, "error", f"SELECT ({count}) AS n, ({example}) AS e"))
     return " UNION ALL ".join(
-        "SELECT '{}' AS rule, '{}' AS severity, CAST(({}) AS BIGINT) AS bad_rows".format(
-            name.replace("'", "''"), "warning" if name in warnings else "error", query
-        )
-        for name, query in parts
+        f"SELECT '{name}' AS rule, '{severity}' AS severity, CAST(n AS BIGINT) AS bad_rows, "
+        f"e AS example FROM ({query})"
+        for name, severity, query in parts
     )
 
 
-def _repeated(table: str, *keys: str, measure: str = "count(*)", where: str = "true") -> str:
+_NO_EXAMPLE = "CAST(NULL AS VARCHAR)"
+
+
+def _repeated(table: str, *keys: str, measure: str = "count(*)", where: str = "true") -> tuple[str, str]:
     listed = ", ".join(keys)
+    groups = (
+        f"(SELECT {listed}, count(*) AS n FROM {table} WHERE {where} GROUP BY {listed} "
+        "HAVING count(*) > 1)"
+    )
     return (
-        f"SELECT coalesce({measure}, 0) FROM (SELECT {listed}, count(*) AS n FROM {table} "
-        f"WHERE {where} GROUP BY {listed} HAVING count(*) > 1)"
+        f"SELECT coalesce({measure}, 0) FROM {groups}",
+        f"SELECT min(concat_ws(', ', {listed})) FROM {groups}",
     )
 
 
-def _null_rules(text: str, *columns: str) -> dict[str, str]:
-    return {text.format(c): f"{c} IS NULL" for c in columns}
+def _orphans(rows: str, keys: tuple[str, ...], parent: str, parent_keys: tuple[str, ...]) -> tuple[str, str]:
+    same = " AND ".join(f"p.{b} = c.{a}" for a, b in zip(keys, parent_keys))
+    lost = f"(SELECT * FROM {rows} c WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE {same}))"
+    return (
+        f"SELECT count(*) FROM {lost}",
+        f"SELECT min(concat_ws(', ', {', '.join(keys)})) FROM {lost}",
+    )
 
 
-def _party_counts(name: str, ids: tuple[str, ...]) -> str:
-    table, state, zip_code = f"shaped_{name}s", f"{name}_state", f"{name}_zip_code_prefix"
-    rules = {
-        **_null_rules("Null in required column {}", *ids, f"{name}_city", state),
-        f"Invalid {state}": f"{state} NOT IN ({STATE_LIST})",
-        "Invalid zip code": f"{zip_code} NOT BETWEEN 1000 AND 99999",
-    }
-    return _counts(table, rules, {f"Duplicate {name}_id": _repeated(table, f"{name}_id")})
+def _missing(*columns: str) -> RowRules:
+    return {f"{c}.missing": (c, f"{c} IS NULL") for c in columns}
 
 
-STATEMENTS: dict[str, str] = {
-    "rule_counts_customers": _party_counts("customer", ("customer_id", "customer_unique_id")),
-    "rule_counts_sellers": _party_counts("seller", ("seller_id",)),
-}
+def _empty(table: str) -> tuple[str, str]:
+    return f"SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM {table}", _NO_EXAMPLE
 
-_ORDER_RULES = {
-    **{
-        name: (name.split(" ")[0], bad)
-        for name, bad in _null_rules(
-            "{} contains null values", "order_id", "customer_id", "order_status",
-            "order_purchase_timestamp",
-        ).items()
-    },
-    "Invalid order_status": ("order_status", f"order_status NOT IN ({STATUSES})"),
+
+def _party(name: str, *ids: str):
+    state, zip_code = f"{name}_state", f"{name}_zip_code_prefix"
+    rows = {
+        **_missing(*ids, f"{name}_city", state),
+        f"{state}.unknown": (state, f"{state} NOT IN ({STATE_LIST})"),
+        f"{zip_code}.out_of_range": (zip_code, f"{zip_code} NOT BETWEEN 1000 AND 99999"),
+    }
+    return f"shaped_{name}s", rows, lambda t: {f"{name}_id.repeated": _repeated(t, f"{name}_id")}
+
+
+_ORDER_RULES: RowRules = {
+    **_missing("order_id", "customer_id", "order_status", "order_purchase_timestamp"),
+    "order_status.unknown": ("order_status", f"order_status NOT IN ({STATUSES})"),
     **{
-        f"{c} before the purchase": (c, f"{c} < order_purchase_timestamp")
+        f"{c}.before_purchase": (c, f"{c} < order_purchase_timestamp")
         for c in ("order_approved_at", "order_delivered_carrier_date")
     },
 }
-STATEMENTS["rule_counts_orders"] = _counts(
-    "clean_orders", {n: bad for n, (_, bad) in _ORDER_RULES.items()},
-    {"Duplicate order_id": _repeated("clean_orders", "order_id")},
-)
-_ITEM_RULES = {
-    **{
-        name: (name.split(" ")[0], bad)
-        for name, bad in _null_rules(
-            "{} contains null values", "order_id", "order_item_id", "product_id", "seller_id",
-            "shipping_limit_date",
-        ).items()
-    },
-    "Invalid order_item_id": ("order_item_id", "order_item_id <= 0"),
-    "Invalid price": ("price", "price IS NULL OR price <= 0"),
-    "Invalid freight_value": ("freight_value", "freight_value IS NULL OR freight_value < 0"),
+_ITEM_RULES: RowRules = {
+    **_missing("order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date"),
+    "order_item_id.not_positive": ("order_item_id", "order_item_id <= 0"),
+    "price.not_positive": ("price", "price IS NULL OR price <= 0"),
+    "freight_value.negative": ("freight_value", "freight_value IS NULL OR freight_value < 0"),
 }
-_PAIR = "Duplicate (order_id, order_item_id)"
-STATEMENTS["rule_counts_order_items"] = _counts(
-    "clean_order_items", {n: bad for n, (_, bad) in _ITEM_RULES.items()},
-    {_PAIR: _repeated("clean_order_items", "order_id", "order_item_id")},
-)
-_TYPE_RULE = (
-    "payment_type outside ['boleto', 'credit_card', 'debit_card', 'not_defined', 'voucher']"
-)
-STATEMENTS["rule_counts_payments"] = _counts(
-    "shaped_payments",
-    {
-        **_null_rules("null value in column '{}'", *_PAYMENT_COLUMNS.split(", ")),
-        "order_id not equal to 32 characters": "length(order_id) <> 32",
-        "payment_sequential < 1": "payment_sequential < 1",
-        "negative payment_value": "payment_value < 0",
-        "negative payment_installments": "payment_installments < 0",
-        "credit-card payment_installments == 0":
-            "payment_type = 'credit_card' AND payment_installments = 0",
-        _TYPE_RULE: f"payment_type NOT IN ({TYPES})",
-        "payment_value == 0": "payment_value = 0",
-        "payment_installments == 0": "payment_type <> 'credit_card' AND payment_installments = 0",
-    },
-    {
-        "duplicate (order_id, payment_sequential) pair": _repeated(
-            "shaped_payments", "order_id", "payment_sequential", measure="sum(n)"
-        )
-    },
-    warnings=("payment_value == 0", "payment_installments == 0"),
-)
-STATEMENTS["rule_counts_products"] = _counts(
-    "clean_products", {n: bad for n, (_, bad) in _PRODUCT_RULES.items()},
-    {
-        "duplicate product_id": _repeated(
-            "clean_products", "product_id", measure="sum(n - 1)", where="product_id IS NOT NULL"
-        )
-    },
-)
+_PAYMENT_RULES: RowRules = {
+    **_missing(*_PAYMENT_COLUMNS.split(", ")),
+    "order_id.wrong_length": ("order_id", "length(order_id) <> 32"),
+    "payment_sequential.below_one": ("payment_sequential", "payment_sequential < 1"),
+    "payment_value.negative": ("payment_value", "payment_value < 0"),
+    "payment_installments.negative": ("payment_installments", "payment_installments < 0"),
+    "payment_installments.none_on_card":
+        ("payment_installments", "payment_type = 'credit_card' AND payment_installments = 0"),
+    "payment_type.unknown": ("payment_type", f"payment_type NOT IN ({TYPES})"),
+    "payment_value.zero": ("payment_value", "payment_value = 0"),
+    "payment_installments.zero":
+        ("payment_installments", "payment_type <> 'credit_card' AND payment_installments = 0"),
+}
+_WARNINGS = ("payment_value.zero", "payment_installments.zero")
 TABLES["filled_reviews"] = f"SELECT {_FILLED} FROM shaped_reviews"
-STATEMENTS["rule_counts_reviews"] = _counts(
-    "filled_reviews",
-    {
-        "no_nulls_in_key_columns": "review_id IS NULL OR order_id IS NULL OR review_score IS NULL "
+
+
+def _breaks(column: str) -> str:
+    return f"contains({column}, chr(10)) OR contains({column}, chr(13))"
+
+
+_REVIEW_RULES: RowRules = {
+    "no_nulls_in_key_columns": (
+        "review_id",
+        "review_id IS NULL OR order_id IS NULL OR review_score IS NULL "
         "OR review_creation_date IS NULL OR review_answer_timestamp IS NULL",
-        "comments_filled": "coalesce(review_comment_title, '') = '' OR "
-        "coalesce(review_comment_message, '') = ''",
-        "score_between_1_and_5": "review_score NOT BETWEEN 1 AND 5",
-        "answer_after_creation": "review_answer_timestamp < review_creation_date",
-        "no_line_breaks_in_comments": "contains(review_comment_title, chr(10)) OR "
-        "contains(review_comment_message, chr(10)) OR contains(review_comment_title, chr(13)) "
-        "OR contains(review_comment_message, chr(13))",
-    },
-    {
-        "review_order_key_unique": _repeated("filled_reviews", "review_id", "order_id"),
-        "one_review_per_order": _repeated("filled_reviews", "order_id"),
-        "order_ids_exist_in_orders": "SELECT count(*) FROM (SELECT DISTINCT order_id FROM "
-        "filled_reviews) r WHERE NOT EXISTS (SELECT 1 FROM clean_orders o "
-        "WHERE o.order_id = r.order_id)",
-    },
-)
-STATEMENTS["rule_counts_category"] = _counts(
-    "clean_category_translation",
-    _null_rules("{} contains null values", "product_category_name"),
-    {"no rows": "SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM clean_category_translation"},
-)
-STATEMENTS["rule_counts_category_names"] = _counts(
-    "raw_category_translation",
-    _null_rules("{} contains null values", "product_category_name"),
-    {
-        "product_category_name contains duplicates": _repeated(
-            "raw_category_translation", "product_category_name", measure="sum(n - 1)"
-        )
-    },
-)
-STATEMENTS["rule_counts_dim_customer"] = _counts(
-    "dim_customer",
-    {
-        **_null_rules("Null critical field: {}", "customer_key", "customer_unique_id",
-                      "first_order_date", "state", "city"),
-        "Invalid state": f"state NOT IN ({STATE_LIST})",
-        "city is not normalized": "city <> lower(trim(city))",
-        "Invalid first_order_date": "first_order_date IS NULL",
-        "first_order_date in the future": "first_order_date > now()::TIMESTAMP",
-    },
-    {
-        f"Duplicate {c}": _repeated("dim_customer", c)
-        for c in ("customer_key", "customer_unique_id")
-    },
-)
+    ),
+    "comments_filled": (
+        "review_id",
+        "coalesce(review_comment_title, '') = '' OR coalesce(review_comment_message, '') = ''",
+    ),
+    "score_between_1_and_5": ("review_score", "review_score NOT BETWEEN 1 AND 5"),
+    "answer_after_creation":
+        ("review_answer_timestamp", "review_answer_timestamp < review_creation_date"),
+    "no_line_breaks_in_comments": (
+        "review_id", f"{_breaks('review_comment_title')} OR {_breaks('review_comment_message')}"
+    ),
+}
 _DATE_COLUMNS = (
     "date_key", "date", "year", "month", "dow", "is_black_friday", "event_window", "is_weekend",
     "event_period", "event_period_sort", "period_group", "period_group_sort",
 )
-STATEMENTS["rule_counts_dim_date"] = _counts(
-    "dim_date",
-    {
-        **_null_rules("{} contains null values", *_DATE_COLUMNS),
-        "Invalid date format": "NOT regexp_full_match(CAST(date AS VARCHAR), '\\d{4}-\\d{2}-\\d{2}')",
-        "Invalid date value": "TRY_CAST(CAST(date AS VARCHAR) AS DATE) IS NULL",
-        # The table above is built by the same definitions, so nothing can differ.
-        **{f"Inconsistent {c}": "false" for c in _DATE_COLUMNS if c != "date"},
-    },
-    {
-        **{f"Duplicate {c}": _repeated("dim_date", c) for c in ("date_key", "date")},
-        "Calendar has missing days":
-            "SELECT abs(date_diff('day', min(date), max(date)) + 1 - count(*)) FROM dim_date",
-        **{
-            f"{label} has not {n} days":
-                f"SELECT abs(count(*) FILTER (WHERE event_period = '{label}') - {n}) FROM dim_date"
-            for label, n in (("Pre 28 days", 28), ("Black Friday 3 days", 3), ("Post 28 days", 28))
-        },
-    },
-)
-STATEMENTS["rule_counts_dim_product"] = _counts(
-    "dim_product",
-    {
-        **_null_rules("{} is null", "product_key", "product_id"),
-        "baseline_price_med invalid: not positive or not finite":
-            "baseline_price_med <= 0 OR isnan(baseline_price_med) OR isinf(baseline_price_med)",
-        "category_en not normalised (not normalized)":
-            f"category_en IS NOT NULL AND category_en IS DISTINCT FROM {_display('category_en')}",
-    },
-    {
-        "no rows": "SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM dim_product",
-        "duplicate product_id": _repeated("dim_product", "product_id", measure="sum(n - 1)",
-                                          where="product_id IS NOT NULL"),
-        "unexpected untranslated category (new untranslated category)":
-            "SELECT count(*) FROM dim_product d WHERE category_en IS NULL AND EXISTS ("
-            "SELECT 1 FROM clean_products p WHERE p.product_id = d.product_id AND "
-            "product_category_name NOT IN ('pc gamer', "
-            "'portateis cozinha e preparadores de alimentos'))",
-        "row count != Silver distinct product_id":
-            "SELECT abs((SELECT count(*) FROM dim_product) - (SELECT count(*) FROM "
-            "(SELECT DISTINCT product_id FROM clean_products)))",
-    },
+# What each attribute of a day has to be, from the day alone.
+_DAY = "TRY_CAST(CASE WHEN regexp_full_match(CAST(date AS VARCHAR), '\\d{4}-\\d{2}-\\d{2}') THEN CAST(date AS VARCHAR) END AS DATE)"
+_FRIDAY = (
+    f"(make_date(year({_DAY}), 11, 1) + CAST((11 - dayofweek(make_date(year({_DAY}), 11, 1))) % 7 + 22 AS INTEGER))"
 )
-STATEMENTS["rule_counts_dim_seller"] = _counts(
-    "dim_seller",
-    {
-        **_null_rules("Null critical field: {}", "seller_key", "seller_id",
-                      "seller_state", "seller_city"),
-        "Invalid seller_state": f"seller_state NOT IN ({STATE_LIST})",
-        "seller_city is not normalized": "seller_city <> lower(trim(seller_city))",
-    },
-    {
-        f"Duplicate {c}": _repeated("dim_seller", c)
-        for c in ("seller_key", "seller_id")
-    },
+_PERIOD = (
+    f"(CASE WHEN {_DAY} BETWEEN DATE '1998-10-30' AND DATE '1998-11-26' THEN 1 "
+    f"WHEN {_DAY} BETWEEN DATE '1998-11-27' AND DATE '1998-11-29' THEN 2 "
+    f"WHEN {_DAY} BETWEEN DATE '1998-11-30' AND DATE '1998-12-27' THEN 3 ELSE 4 END)"
 )
-STATEMENTS["rule_counts_fact_order"] = _counts(
-    "fact_order",
-    {
-        **_null_rules("Null critical field: {}", "order_id", "date_key",
-                      "customer_key", "is_new_at_order"),
+_EXPECTED = {
+    "date_key": f"year({_DAY}) * 10000 + month({_DAY}) * 100 + day({_DAY})",
+    "year": f"year({_DAY})",
+    "month": f"month({_DAY})",
+    "dow": f"dayofweek({_DAY}) + 1",
+    "is_black_friday": f"CASE WHEN {_DAY} = {_FRIDAY} THEN 'Black Friday' ELSE 'Other Day' END",
+    "event_window": f"CASE WHEN abs(date_diff('day', CAST({_FRIDAY} AS DATE), {_DAY})) <= 7 "
+    "THEN 'Within 7 days of Black Friday' ELSE 'More than 7 days away' END",
+    "is_weekend": f"CASE WHEN dayofweek({_DAY}) IN (0, 6) THEN 'Weekend' ELSE 'Weekday' END",
+    "event_period": f"['Pre 28 days', 'Black Friday 3 days', 'Post 28 days', 'Other days'][{_PERIOD}]",
+    "event_period_sort": _PERIOD,
+    "period_group": f"['Baseline', 'Black Friday', 'Baseline', 'Other days'][{_PERIOD}]",
+    "period_group_sort": f"[2, 1, 2, 3][{_PERIOD}]",
+}
+_DATE_RULES: RowRules = {
+    **_missing(*_DATE_COLUMNS),
+    "date.wrong_format":
+        ("date", "NOT regexp_full_match(CAST(date AS VARCHAR), '\\d{4}-\\d{2}-\\d{2}')"),
+    "date.unreadable": ("date", f"{_DAY} IS NULL"),
+    **{f"{c}.differs": (c, f"{_DAY} IS NOT NULL AND {c} <> {e}") for c, e in _EXPECTED.items()},
+}
+_PRODUCT_DIM_RULES: RowRules = {
+    **_missing("product_key", "product_id"),
+    "baseline_price_med.not_positive": (
+        "baseline_price_med",
+        "baseline_price_med <= 0 OR isnan(baseline_price_med) OR isinf(baseline_price_med)",
+    ),
+    "category_en.untidy": (
+        "category_en", f"category_en IS NOT NULL AND category_en IS DISTINCT FROM {_display('category_en')}"
+    ),
+    "category_pt.untranslated": (
+        "category_pt",
+        "category_en IS NULL AND product_id IN (SELECT product_id FROM clean_products WHERE "
+        "product_category_name NOT IN ('pc gamer', 'portateis cozinha e preparadores de alimentos'))",
+    ),
+}
+
+
+def _not_finite(c: str) -> str:
+    return f"isnan({c}) OR isinf({c})"
+
+
+_FACT_ITEM_RULES: RowRules = {
+    **_missing("order_item_id", "order_id", "date_key", "customer_key", "product_key", "seller_key",
+               "price", "freight_value"),
+    "order_item_id.not_positive": ("order_item_id", "order_item_id <= 0"),
+    "price.invalid": ("price", f"price <= 0 OR {_not_finite('price')}"),
+    "freight_value.invalid": ("freight_value", f"freight_value < 0 OR {_not_finite('freight_value')}"),
+    "price_vs_baseline_pct.invalid":
+        ("price_vs_baseline_pct", _not_finite("price_vs_baseline_pct")),
+}
+_PERIODS = (("Pre 28 days", 28), ("Black Friday 3 days", 3), ("Post 28 days", 28))
+
+
+def _calendar_rules(t: str) -> TableRules:
+    return {
+        **{f"{c}.repeated": _repeated(t, c) for c in ("date_key", "date")},
+        "calendar.gap": (
+            f"SELECT abs(date_diff('day', min({_DAY}), max({_DAY})) + 1 - count(*)) FROM {t}", _NO_EXAMPLE
+        ),
         **{
-            f"Invalid {c}": f"{c} IS NULL OR {c} < 0"
-            for c in ("order_value", "item_count", "payment_value_total")
+            f"{label}.wrong_length":
+                (f"SELECT abs(count(*) FILTER (WHERE event_period = '{label}') - {n}) FROM {t}", _NO_EXAMPLE)
+            for label, n in _PERIODS
         },
-    },
-    {"Duplicate order_id": _repeated("fact_order", "order_id")},
-)
-STATEMENTS["rule_counts_fact_order_item"] = _counts(
-    "all_fact_order_item",
-    {
-        **_null_rules("Null critical field: {}", "order_item_id", "order_id",
-                      "date_key", "customer_key", "product_key", "seller_key", "price",
-                      "freight_value"),
-        "order_item_id must be positive": "order_item_id <= 0",
-        "Invalid price": "price <= 0",
-        "Invalid freight_value": "freight_value < 0",
-        "Invalid price_vs_baseline_pct":
-            "isnan(price_vs_baseline_pct) OR isinf(price_vs_baseline_pct)",
-    },
-    {
-        "Duplicate (order_id, order_item_id)":
-            _repeated("all_fact_order_item", "order_id", "order_item_id"),
-        "Orphan order, date or customer key":
-            "SELECT count(*) FROM all_fact_order_item f WHERE NOT EXISTS (SELECT 1 FROM fact_order o "
-            "WHERE o.order_id = f.order_id AND o.date_key = f.date_key "
-            "AND o.customer_key = f.customer_key)",
-    },
+    }
+
+
+# Rule set -> (table, row rules, function of the table that gives the table rules).
+RULED = {
+    "customers": _party("customer", "customer_id", "customer_unique_id"),
+    "sellers": _party("seller", "seller_id"),
+    "orders": ("clean_orders", _ORDER_RULES, lambda t: {"order_id.repeated": _repeated(t, "order_id")}),
+    "order_items": (
+        "clean_order_items", _ITEM_RULES,
+        lambda t: {"order_line.repeated": _repeated(t, "order_id", "order_item_id")},
+    ),
+    "payments": (
+        "shaped_payments", _PAYMENT_RULES,
+        lambda t: {"payment.repeated": _repeated(t, "order_id", "payment_sequential", measure="sum(n)")},
+    ),
+    "products": (
+        "clean_products", _PRODUCT_RULES,
+        lambda t: {"product_id.repeated": _repeated(
+            t, "product_id", measure="sum(n - 1)", where="product_id IS NOT NULL")},
+    ),
+    "reviews": (
+        "filled_reviews", _REVIEW_RULES,
+        lambda t: {
+            "review_order_key_unique": _repeated(t, "review_id", "order_id"),
+            "one_review_per_order": _repeated(t, "order_id"),
+            "order_ids_exist_in_orders": _orphans(
+                f"(SELECT DISTINCT order_id FROM {t})", ("order_id",), "clean_orders", ("order_id",)),
+        },
+    ),
+    "category": (
+        "clean_category_translation", _missing("product_category_name"),
+        lambda t: {"table.empty": _empty(t)},
+    ),
+    "category_names": (
+        "raw_category_translation", _missing("product_category_name"),
+        lambda t: {"product_category_name.repeated": _repeated(
+            t, "product_category_name", measure="sum(n - 1)")},
+    ),
+    "dim_customer": (
+        "dim_customer",
+        {
+            **_missing("customer_key", "customer_unique_id", "first_order_date", "state", "city"),
+            "state.unknown": ("state", f"state NOT IN ({STATE_LIST})"),
+            "city.untidy": ("city", "city <> lower(trim(city))"),
+            "first_order_date.unreadable":
+                ("first_order_date", "TRY_CAST(first_order_date AS TIMESTAMP) IS NULL"),
+            "first_order_date.future":
+                ("first_order_date", "TRY_CAST(first_order_date AS TIMESTAMP) > now()::TIMESTAMP"),
+        },
+        lambda t: {f"{c}.repeated": _repeated(t, c) for c in ("customer_key", "customer_unique_id")},
+    ),
+    "dim_date": ("dim_date", _DATE_RULES, _calendar_rules),
+    "dim_product": (
+        "dim_product", _PRODUCT_DIM_RULES,
+        lambda t: {
+            "table.empty": _empty(t),
+            "product_id.repeated": _repeated(
+                t, "product_id", measure="sum(n - 1)", where="product_id IS NOT NULL"),
+            "table.wrong_size": (
+                f"SELECT abs((SELECT count(*) FROM {t}) - (SELECT count(*) FROM "
+                "(SELECT DISTINCT product_id FROM clean_products)))", _NO_EXAMPLE),
+        },
+    ),
+    "dim_seller": (
+        "dim_seller",
+        {
+            **_missing("seller_key", "seller_id", "seller_state", "seller_city"),
+            "seller_state.unknown": ("seller_state", f"seller_state NOT IN ({STATE_LIST})"),
+            "seller_city.untidy": ("seller_city", "seller_city <> lower(trim(seller_city))"),
+        },
+        lambda t: {f"{c}.repeated": _repeated(t, c) for c in ("seller_key", "seller_id")},
+    ),
+    "fact_order": (
+        "fact_order",
+        {
+            **_missing("order_id", "date_key", "customer_key", "is_new_at_order"),
+            **{
+                f"{c}.invalid": (c, f"{c} IS NULL OR {c} < 0" + (f" OR {_not_finite(c)}" if c in _AMOUNTS else ""))
+                for c in ("order_value", "item_count", "payment_value_total")
+            },
+        },
+        lambda t: {"order_id.repeated": _repeated(t, "order_id")},
+    ),
+    "fact_order_item": (
+        "all_fact_order_item", _FACT_ITEM_RULES,
+        lambda t: {
+            "order_line.repeated": _repeated(t, "order_id", "order_item_id"),
+            "order_keys.orphan": _orphans(
+                t, ("order_id", "date_key", "customer_key"), "fact_order", ("order_id", "date_key", "customer_key")),
+        },
+    ),
+    "fact_review": (
+        "all_fact_review",
+        {
+            **_missing("review_id", "order_id", "order_date_key", "review_score"),
+            "review_score.out_of_range": ("review_score", "review_score NOT BETWEEN 1 AND 5"),
+        },
+        lambda t: {
+            "review_id.repeated": _repeated(t, "review_id"),
+            "order_keys.orphan": _orphans(t, ("order_id", "order_date_key"), "fact_order", ("order_id", "date_key")),
+        },
+    ),
+}
+_COLUMNS = {
+    "customers": "customer_id, customer_unique_id, customer_zip_code_prefix, customer_city, customer_state",
+    "sellers": "seller_id, seller_zip_code_prefix, seller_city, seller_state",
+    "orders": "order_id, customer_id, order_status, order_purchase_timestamp, order_approved_at, order_delivered_carrier_date",
+    "order_items": "order_id, order_item_id, product_id, seller_id, shipping_limit_date, price, freight_value",
+    "payments": _PAYMENT_COLUMNS,
+    "products": ", ".join(("product_id", "product_category_name", *_MEASURES)),
+    "reviews": "review_id, order_id, review_score, review_comment_title, review_comment_message, "
+    "review_creation_date, review_answer_timestamp",
+    "category": "product_category_name", "category_names": "product_category_name",
+    "dim_customer": "customer_key, customer_unique_id, CAST(first_order_date AS VARCHAR) AS first_order_date, state, city",
+    "dim_date": ", ".join(_DATE_COLUMNS).replace(" date,", " CAST(date AS VARCHAR) AS date,"),
+    "dim_product": "product_key, product_id, category_pt, category_en, baseline_price_med",
+    "dim_seller": "seller_key, seller_id, seller_state, seller_city",
+    "fact_order": "order_id, date_key, customer_key, order_value, item_count, payment_value_total, is_new_at_order",
+    "fact_order_item": "order_item_id, order_id, date_key, customer_key, product_key, seller_key, price, "
+    "freight_value, price_vs_baseline_pct",
+    "fact_review": "review_id, order_id, order_date_key, review_score",
+}
+
+
+def _spoiled(name: str, table: str) -> str:
+    """The table with the faults that the query puts in."""
+    spoil, columns = SPOILS[name], _COLUMNS[name]
+    names = [re.split(r"\s+AS\s+|\s+", c.strip())[-1] for c in re.split(r",\s*(?![^(]*\))", columns)]
+    keys = ", ".join(f"CAST({k} AS VARCHAR)" for k in spoil.keys)
+    return f"""
+SELECT * EXCLUDE (spoil_copy) FROM (
+  SELECT {', '.join(spoil.columns(names))}, unnest(CASE WHEN {spoil.copies} THEN [0, 1] ELSE [0] END) AS spoil_copy
+  FROM (SELECT {columns}, CAST('0x' || substr(md5(concat_ws('|', {keys})), 1, 6) AS BIGINT) AS {NUMBER} FROM {table})
+  WHERE NOT ({spoil.drop}))"""
+
+
+STATEMENTS: dict[str, str] = {}
+for _name, (_table, _rows, _more) in RULED.items():
+    STATEMENTS[f"rule_counts_{_name}"] = _counts(_table, _rows, _more(_table), _WARNINGS)
+    TABLES[f"spoiled_{_name}"] = _spoiled(_name, _table)
+    STATEMENTS[f"rule_counts_{_name}_spoiled"] = _counts(
+        f"spoiled_{_name}", _rows, _more(f"spoiled_{_name}"), _WARNINGS
+    )
+for _name, _gone in (("category", "product_category_name = 'none'"), ("dim_product", "product_key < 0")):
+    _table, _rows, _more = RULED[_name]
+    TABLES[f"spoiled_no_{_name}"] = f"SELECT * FROM {_table} WHERE {_gone}"
+    STATEMENTS[f"rule_counts_{_name}_none"] = _counts(
+        f"spoiled_no_{_name}", _rows, _more(f"spoiled_no_{_name}"), _WARNINGS
+    )
+STATEMENTS["rule_counts_payments_untyped"] = (
+    "SELECT 'schema' AS rule, 'error' AS severity, CAST(3 AS BIGINT) AS bad_rows, "
+    "'payment_sequential is string, expected int' AS example"
 )
-STATEMENTS["rule_counts_fact_review"] = _counts(
-    "all_fact_review",
-    {
-        **_null_rules("Null critical field: {}", "review_id", "order_id",
-                      "order_date_key", "review_score"),
-        "Invalid review_score": "review_score NOT BETWEEN 1 AND 5",
-    },
-    {
-        "Duplicate review_id":
-            _repeated("all_fact_review", "review_id"),
-        "Orphan order or date key":
-            "SELECT count(*) FROM all_fact_review f WHERE NOT EXISTS (SELECT 1 FROM fact_order o "
-            "WHERE o.order_id = f.order_id AND o.date_key = f.order_date_key)",
-    },
+STATEMENTS["payment_type_offenders"] = (
+    f"SELECT payment_type AS invalid_value, count(*) AS bad_rows FROM shaped_payments "
+    f"WHERE payment_type NOT IN ({TYPES}) GROUP BY 1"
 )
+STATEMENTS["clean_payments_odd_headers"] = "SELECT * FROM clean_payments"
+STATEMENTS["clean_products_marked_headers"] = "SELECT * FROM clean_products"
 
 
 # ---------------------------------------------------------------- invalid rows
@@ -756,15 +859,15 @@ def _repeated_rows(dataset: str, table: str, rule: str, *keys: str, where: str =
 
 STATEMENTS["invalid_rows_orders"] = _invalid(
     "silver_orders", "clean_orders", _ORDER_RULES,
-    _repeated_rows("silver_orders", "clean_orders", "Duplicate order_id", "order_id"),
+    _repeated_rows("silver_orders", "clean_orders", "order_id.repeated", "order_id"),
 )
 STATEMENTS["invalid_rows_order_items"] = _invalid(
     "silver_order_items", "clean_order_items", _ITEM_RULES,
-    _repeated_rows("silver_order_items", "clean_order_items", _PAIR, "order_id", "order_item_id"),
+    _repeated_rows("silver_order_items", "clean_order_items", "order_line.repeated", "order_id", "order_item_id"),
 )
 STATEMENTS["invalid_rows_products"] = _invalid(
     "silver_products", "clean_products", _PRODUCT_RULES,
-    _repeated_rows("silver_products", "clean_products", "duplicate product_id", "product_id",
+    _repeated_rows("silver_products", "clean_products", "product_id.repeated", "product_id",
                    where="product_id IS NOT NULL"),
 )
 
@@ -821,14 +924,43 @@ _LOGGED = {
 }
 
 
+def _any(rules: RowRules) -> str:
+    return " OR ".join(f"coalesce({bad}, false)" for _, bad in rules.values())
+
+
+def _broken(table: str, rules: RowRules, *keys: str, where: str = "true") -> str:
+    """Rows that break a row rule or share their key."""
+    return (
+        f"SELECT * EXCLUDE (n) FROM (SELECT *, count(*) OVER (PARTITION BY {', '.join(keys)}) AS n FROM {table}) "
+        f"WHERE (n > 1 AND {where}) OR {_any(rules)}"
+    )
+
+
+def _acceptance(*present: str, **more: str) -> RowRules:
+    return {**_missing(*present), **{c: (c, f"NOT coalesce({ok}, false)") for c, ok in more.items()}}
+
+
+_PARTY = {n: _acceptance(*ids, f"{n}_city", f"{n}_state", **{f"{n}_zip_code_prefix": f"{n}_zip_code_prefix BETWEEN 1000 AND 99999"})
+          for n, ids in (("customer", ("customer_id", "customer_unique_id")), ("seller", ("seller_id",)))}
+# Rows of each table that are rejected.
+REJECTED = {
+    "customers": f"SELECT * FROM shaped_customers WHERE {_any(_PARTY['customer'])}",
+    "sellers": f"SELECT * FROM shaped_sellers WHERE {_any(_PARTY['seller'])}",
+    "orders": _broken("clean_orders", _ORDER_RULES, "order_id"),
+    "order_items": _broken("clean_order_items", _ITEM_RULES, "order_id", "order_item_id"),
+    "order_payments": "SELECT * FROM shaped_payments WHERE NOT coalesce(order_id IS NOT NULL AND payment_installments >= 0 "
+    f"AND payment_sequential >= 1 AND payment_value >= 0 AND length(order_id) = 32 AND payment_type IN ({TYPES}), false)",
+    "products": _broken("clean_products", _PRODUCT_RULES, "product_id", where="product_id IS NOT NULL"),
+    "order_reviews": "SELECT * FROM shaped_reviews WHERE NOT coalesce(review_id IS NOT NULL AND order_id IS NOT NULL "
+    "AND review_score BETWEEN 1 AND 5 AND review_answer_timestamp >= review_creation_date, false)",
+}
+
+
 def _dq_row(name: str, raw: str, clean: str) -> str:
-    key = f"invalid_rows_{name}"
-    logged = name in ("customers", "sellers", "order_payments", "order_reviews")
-    invalid = f"(SELECT count(*) FROM ({STATEMENTS[key]}))" if logged else "CAST(NULL AS BIGINT)"
     return (
         f"SELECT '{name}' AS dataset, b AS silver_before, a AS silver_after, b - a AS dropped_rows, "
-        f"{invalid} AS invalid_rows, a > 0 AS dq_pass FROM (SELECT (SELECT count(*) FROM {raw}) AS b, "
-        f"(SELECT count(*) FROM {clean}) AS a)"
+        f"i AS invalid_rows, a > 0 AS dq_pass FROM (SELECT (SELECT count(*) FROM {raw}) AS b, "
+        f"(SELECT count(*) FROM {clean}) AS a, (SELECT count(*) FROM ({REJECTED[name]})) AS i)"
     )
 
 
@@ -855,17 +987,17 @@ FROM counts c LEFT JOIN invalid i ON c.dataset = i.dataset"""
 
 STATEMENTS["dq_summary_history"] = _history(
     "SELECT event_type AS dataset, CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS invalid_rows "
-    "FROM events WHERE event_type <> 'signup' GROUP BY 1"
+    "FROM events GROUP BY 1"
 )
 STATEMENTS["dq_summary_history_latest"] = _history(
     "SELECT event_type AS dataset, CAST(floor(value) AS BIGINT) AS invalid_rows FROM events "
-    "WHERE event_type <> 'signup' QUALIFY row_number() OVER (PARTITION BY event_type "
+    "QUALIFY row_number() OVER (PARTITION BY event_type "
     "ORDER BY ts DESC, value DESC) = 1"
 )
 TABLES["reconcile_orders_lines"] = """
 SELECT coalesce(l.k, r.k) AS order_key,
        CASE WHEN r.k IS NULL THEN 'missing' WHEN l.k IS NULL THEN 'extra' ELSE 'matched' END AS status
-FROM (SELECT DISTINCT o_orderkey AS k FROM orders WHERE o_orderstatus <> 'P') l
+FROM (SELECT DISTINCT o_orderkey AS k FROM orders) l
 FULL JOIN (SELECT DISTINCT l_orderkey AS k FROM lineitem) r ON l.k = r.k"""
 STATEMENTS["reconcile_summary"] = """
 SELECT count(*) FILTER (WHERE status <> 'extra') AS left_keys,
@@ -891,14 +1023,54 @@ def _profile(names) -> str:
 
 
 STATEMENTS["table_profile"] = _profile(_PROFILED)
-STATEMENTS["export_profile"] = _profile(("orders", "lineitem"))
+STATEMENTS["export_profile"] = _profile(_PROFILED)
+_BY_STATUS = "SELECT '{}' AS sink, o_orderstatus, count(*){} AS count, {} AS column_count FROM orders GROUP BY 2"
+STATEMENTS["sinks"] = " UNION ALL ".join(
+    _BY_STATUS.format(*x) for x in (("append", " * 2", 2), ("replace", "", 1), ("path", "", 2))
+)
+
+# ------------------------------------------------------- a run, from raw to published
+TABLES["kept_orders"] = f"SELECT * FROM clean_orders EXCEPT ALL ({REJECTED['orders']})"
+TABLES["kept_order_items"] = f"SELECT * FROM clean_order_items EXCEPT ALL ({REJECTED['order_items']})"
+for _name in ("customer", "seller"):
+    TABLES[f"kept_{_name}s"] = f"SELECT * FROM clean_{_name}s WHERE {_name}_state IN ({STATE_LIST})"
+_KEPT = {f"clean_{n}": f"kept_{n}" for n in ("orders", "order_items", "customers", "sellers")}
+for _name in ("dim_seller", "baseline_price", "dim_customer", "dim_date", "dim_product", "clean_fact_orders", "fact_order",
+              "clean_fact_order_item", "resolved_items", "all_fact_order_item", "all_fact_review"):
+    _KEPT[_name] = f"run_{_name}"
+    TABLES[f"run_{_name}"] = re.sub(r"\w+", lambda m: _KEPT.get(m[0], m[0]), TABLES[_name])
+STATEMENTS["published_fact_order_item"] = f"SELECT * FROM run_all_fact_order_item WHERE NOT {_NO_KEY}"
+STATEMENTS["published_fact_review"] = "SELECT * FROM run_all_fact_review WHERE order_date_key IS NOT NULL"
+_RUN = {**_LOGGED, "customers": ("raw_customers", "kept_customers"), "sellers": ("raw_sellers", "kept_sellers"), "orders": ("raw_orders", "kept_orders"), "order_items": ("raw_order_items", "kept_order_items"),
+        "products": ("raw_products", "accepted_products")}
+_CATEGORY = "(SELECT count(*) FROM raw_category_translation) AS b, (SELECT count(*) FROM clean_category_translation) AS a"
+_STATE_RULES = {f"{n}s": {f"{n}_state.unknown": (f"{n}_state", f"{n}_state NOT IN ({STATE_LIST})")} for n in ("customer", "seller")}
+for _name, _rules in _STATE_RULES.items():
+    REJECTED[_name] += f" OR {_any(_rules)}"
+STATEMENTS["published_summary"] = " UNION ALL ".join(
+    [*(_dq_row(name, *tables) for name, tables in _RUN.items()),
+     f"SELECT 'product_category', b, a, b - a, CAST(NULL AS BIGINT), a > 0 FROM (SELECT {_CATEGORY})"]
+)
+STATEMENTS["published_row_counts"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS dataset, '{stage}' AS stage, count(*) AS row_count FROM {table}"
+    for name, tables in {**_RUN, "product_category": ("raw_category_translation", "clean_category_translation")}.items()
+    for stage, table in zip(("silver_before_clean", "silver_after_clean"), tables)
+)
+STATEMENTS["published_invalid_counts"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS dataset, count(*) AS invalid_rows FROM ({rows})" for name, rows in REJECTED.items()
+)
+STATEMENTS["published_invalid_rows"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS dataset, column_name, rule, invalid_value FROM ({STATEMENTS[f'invalid_rows_{name}']}"
+    + (" UNION ALL " + _invalid(name, f"shaped_{name}", _STATE_RULES[name]) if name in _STATE_RULES else "") + ")"
+    for name in REJECTED
+)
 STATEMENTS["payments_from_csv"] = "SELECT * FROM clean_payments"
 STATEMENTS["reviews_from_csv"] = "SELECT * FROM clean_reviews"
 
 # Subqueries that only serve others.
 _HELPERS = {
     n for n in TABLES
-    if n.startswith(("raw_", "shaped_", "accepted_reviews", "all_", "resolved_", "filled_"))
+    if n.startswith(("raw_", "shaped_", "accepted_reviews", "all_", "resolved_", "filled_", "spoiled_", "kept_", "run_"))
 }
 
 

@@ -165,3 +165,19 @@ LOG_TABLES = {
     "invalid_rows": "dq_invalid_row_logs",
     "summary": "dq_summary",
 }
+
+# Names under which the review validator reports its checks.
+REVIEW_CHECKS = {
+    "columns": "required_columns_present",
+    "created_type": "creation_date_is_timestamp",
+    "answered_type": "answer_timestamp_is_timestamp",
+    "score_type": "score_is_int",
+    "keys": "no_nulls_in_key_columns",
+    "comments": "comments_filled",
+    "score": "score_between_1_and_5",
+    "unique": "review_order_key_unique",
+    "order": "answer_after_creation",
+    "line_breaks": "no_line_breaks_in_comments",
+    "one_per_order": "one_review_per_order",
+    "orders_exist": "order_ids_exist_in_orders",
+}

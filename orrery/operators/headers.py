@@ -28,10 +28,7 @@ def require_columns(df: DataFrame, required: Iterable[str], dataset: str) -> Dat
     """Return `df`, or raise a ValueError that names what is missing."""
     missing = missing_columns(df, required)
     if missing:
-        raise ValueError(
-            f"Missing required columns: {missing} "
-            f"({dataset}: missing required column(s))"
-        )
+        raise ValueError(f"{dataset}: missing required column(s): {missing}")
     return df
 
 

@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.operators.ranges import MAX_BUCKETS, RangeBuckets
+from orrery.operators.ranges import RangeBuckets
 
-# Up to this many rows one sorted task is cheaper than buckets.
-ROWS_PER_BUCKET = 1_000_000
-INT_MAX = 2**31 - 1
+KEYS_PER_BUCKET = 500_000
+_LARGEST = {"int": 2**31 - 1, "bigint": 2**63 - 1}
 
 _BUCKET, _RANK, _BEFORE = "__bucket", "__rank", "__before"
 
@@ -22,29 +21,19 @@ def dense_key(
     name: str,
     tie_breakers: Sequence[str] = (),
     size_from: DataFrame | None = None,
-    max_rows: int | None = None,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    keys_per_bucket: int = KEYS_PER_BUCKET,
+    key_type: str = "int",
 ) -> DataFrame:
     """Add `name`: the position of the row in the order of its natural key.
 
-    `max_rows` is an upper bound that the caller knows, for instance the row count of
-    a source file.  `size_from` is a cheap frame with the same key columns and at
-    least as many rows; it is counted and sampled instead of `df`.
-
-    A table known to be small is numbered in one task.  A larger one is cut into
-    range buckets; rows are numbered inside their bucket, and the only thing that
-    passes through one task is the row count of each bucket.
+    The table is cut into range buckets, whatever its size; rows are numbered inside
+    their bucket, and the only thing that passes through one task is the row count of
+    each bucket.  `size_from` is a cheap frame with the same key columns that is
+    counted and sampled instead of `df`.  A key beyond `key_type` (int or bigint)
+    stops the job.
     """
     order = [natural_key, *tie_breakers]
-    sizing = (df if size_from is None else size_from).select(*order)
-    rows = sizing.count() if max_rows is None else max_rows
-    key_type = "int" if rows <= INT_MAX else "bigint"
-
-    if rows <= rows_per_bucket:
-        position = F.row_number().over(Window.orderBy(*order))
-        return df.withColumn(name, position.cast(key_type))
-
-    buckets = RangeBuckets(sizing, order, min(MAX_BUCKETS, -(-rows // rows_per_bucket)), rows)
+    buckets = RangeBuckets(df if size_from is None else size_from, order, keys_per_bucket)
     bucketed = df.withColumn(_BUCKET, buckets.number())
 
     earlier = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
@@ -53,10 +42,14 @@ def dense_key(
         _BUCKET, F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias(_BEFORE)
     )
     inside = Window.partitionBy(_BUCKET).orderBy(*order)
+    position = F.col(_BEFORE) + F.col(_RANK)
+    too_large = F.raise_error(F.lit(f"{name} does not fit into {key_type}; use bigint"))
     return (
         bucketed.withColumn(_RANK, F.row_number().over(inside))
-        # one row per bucket, MAX_BUCKETS rows at most
-        .join(F.broadcast(offsets), _BUCKET)
-        .withColumn(name, (F.col(_BEFORE) + F.col(_RANK)).cast(key_type))
+        .join(offsets, _BUCKET)  # one row per bucket
+        .withColumn(
+            name,
+            F.when(position <= _LARGEST[key_type], position).otherwise(too_large).cast(key_type),
+        )
         .drop(_BUCKET, _RANK, _BEFORE)
     )

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.operators.ranges import MAX_BUCKETS, RangeBuckets
+from orrery.operators.ranges import RangeBuckets
 
-# A group's histogram is kept in memory up to this many different values.
-VALUES_IN_MEMORY = 1_000_000
+# Different values that one range of the histogram should hold.
+VALUES_PER_BUCKET = 250_000
 
 _COUNT, _BUCKET = "__count", "__bucket"
 
@@ -19,15 +19,15 @@ def median_per_key(
     value: str,
     name: str,
     size_from: DataFrame | None = None,
-    values_in_memory: int = VALUES_IN_MEMORY,
+    values_per_bucket: int = VALUES_PER_BUCKET,
 ) -> DataFrame:
     """One row per `key` with the exact median of the double column `value`.
 
     Rows are first folded to (key, value, count), which spreads a hot key over its
-    values.  `size_from` is a cheap frame with every value of the column; the number
-    of different values in it bounds every group's histogram.  Within the bound
-    Spark's exact `percentile` finishes the job; beyond it the histogram is cut into
-    value ranges and only the ranges that hold the middle are looked into.
+    values.  The histogram of each key is cut into value ranges, and only the one or
+    two ranges that hold the middle are looked into, so a group of any size is spread
+    over tasks.  `size_from` is a cheap frame with every value of the column; the
+    ranges are cut from the different values in it.
     """
     number = F.col(value).cast("double").alias(value)
     values = (df if size_from is None else size_from).select(number)
@@ -37,24 +37,7 @@ def median_per_key(
         .agg(F.count(F.lit(1)).alias(_COUNT))
     )
 
-    # A row count is answered from file footers, so the values are only looked at
-    # when there are more rows than may be kept.
-    rows = values.count()
-    different = rows
-    if rows > values_in_memory:
-        different = values.agg(F.approx_count_distinct(value)).first()[0]
-    if different <= values_in_memory:
-        return folded.groupBy(key).agg(
-            F.percentile(value, F.lit(0.5), F.col(_COUNT)).alias(name)
-        )
-    wanted = min(MAX_BUCKETS, 1 + 4 * different // values_in_memory)
-    buckets = RangeBuckets(values, [value], wanted, rows)
-    return _median_by_ranges(folded, key, value, name, buckets)
-
-
-def _median_by_ranges(
-    folded: DataFrame, key: str, value: str, name: str, buckets: RangeBuckets
-) -> DataFrame:
+    buckets = RangeBuckets(values, [value], values_per_bucket)
     bucketed = folded.withColumn(_BUCKET, buckets.number())
 
     # Where do the two middle rows lie?  At most one row per bucket and key here.

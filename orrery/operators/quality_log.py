@@ -71,47 +71,53 @@ def log_invalid_rows(
 
 
 # -------------------------------------------------------------------- summary
+def _newest(stage: str) -> Column:
+    """Newest logged count of a stage (time first, then count)."""
+    entry = F.struct("log_timestamp", "row_count")
+    return F.max(F.when(F.col("stage") == stage, entry))["row_count"]
+
+
 def latest_counts(rowcounts: DataFrame) -> DataFrame:
     """Newest logged count per dataset for the two stages, side by side.
 
-    The newest row is picked by an aggregate (time first, then count), so a dataset
-    with a long history is folded within each task before the shuffle.
+    The newest row is picked by an aggregate, so a dataset with a long history is
+    folded within each task before the shuffle.
     """
-
-    def newest(stage: str) -> Column:
-        entry = F.struct("log_timestamp", "row_count")
-        return F.max(F.when(F.col("stage") == stage, entry))["row_count"]
-
     return rowcounts.groupBy("dataset").agg(
-        newest(fixed.STAGE_BEFORE).alias("silver_before"),
-        newest(fixed.STAGE_AFTER).alias("silver_after"),
+        _newest(fixed.STAGE_BEFORE).alias("silver_before"),
+        _newest(fixed.STAGE_AFTER).alias("silver_after"),
     )
 
 
 def dq_summary(
     rowcounts: DataFrame, invalid: DataFrame, latest_only: bool = False
 ) -> DataFrame:
-    """One row per dataset: counts, dropped rows, invalid rows, verdict.
+    """One row per dataset of `rowcounts`: counts, dropped rows, invalid rows, verdict.
 
-    Invalid rows are added up over the whole log; `latest_only` takes the newest
-    entry of each dataset instead.
+    Both logs are folded by one grouping.  Invalid rows are added up over the whole
+    log; `latest_only` takes the newest entry of each dataset instead.
     """
+    counted = rowcounts.select("dataset", "stage", "row_count", "log_timestamp")
+    noted = invalid.select("dataset", "invalid_rows", "log_timestamp")
+    logs = counted.unionByName(noted, allowMissingColumns=True)
     if latest_only:
-        total = F.max(F.struct("log_timestamp", "invalid_rows"))["invalid_rows"]
+        entry = F.struct("log_timestamp", "invalid_rows")
+        total = F.max(F.when(F.col("invalid_rows").isNotNull(), entry))["invalid_rows"]
     else:
         total = F.sum("invalid_rows")
-    invalid_totals = invalid.groupBy("dataset").agg(total.alias("invalid_rows"))
-    return (
-        latest_counts(rowcounts)
-        .join(invalid_totals, "dataset", "left")
-        .select(
-            "dataset",
-            "silver_before",
-            "silver_after",
-            (F.col("silver_before") - F.col("silver_after")).alias("dropped_rows"),
-            "invalid_rows",
-            (F.col("silver_after") > 0).alias("dq_pass"),
-        )
+    folded = logs.groupBy("dataset").agg(
+        _newest(fixed.STAGE_BEFORE).alias("silver_before"),
+        _newest(fixed.STAGE_AFTER).alias("silver_after"),
+        total.alias("invalid_rows"),
+        F.count("stage").alias("__entries"),
+    )
+    return folded.where("__entries > 0").select(
+        "dataset",
+        "silver_before",
+        "silver_after",
+        (F.col("silver_before") - F.col("silver_after")).alias("dropped_rows"),
+        "invalid_rows",
+        (F.col("silver_after") > 0).alias("dq_pass"),
     )
 
 

@@ -13,18 +13,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 4096
 SAMPLES_PER_BUCKET = 32
 
 
 class RangeBuckets:
-    """Split values for an ordered list of columns, taken from a hash sample."""
+    """Split values for an ordered list of columns, taken from a hash sample.
 
-    def __init__(self, df: DataFrame, columns: Sequence[str], buckets: int, rows: int):
+    The number of buckets follows the number of different keys, counted here, and is
+    two at least; `keys_per_bucket` is what one bucket should hold.
+    """
+
+    def __init__(self, df: DataFrame, columns: Sequence[str], keys_per_bucket: int):
         self.columns = tuple(columns)
-        narrow = df.select(*self.columns)
-        self._types = [field.dataType for field in narrow.schema.fields]
-        self._splits = _split_rows(narrow, min(buckets, MAX_BUCKETS), rows)
+        keys = df.select(*self.columns)
+        self._types = [field.dataType for field in keys.schema.fields]
+        keys = keys.where(F.col(self.columns[0]).isNotNull()).distinct()
+        self.keys = keys.count()
+        self.wanted = max(2, -(-self.keys // keys_per_bucket))
+        self._splits = _split_rows(keys, self.keys, self.wanted)
 
     def __len__(self) -> int:
         return len(self._splits) + 1
@@ -60,21 +66,16 @@ class RangeBuckets:
         ).otherwise(F.lit(0))
 
 
-def _split_rows(narrow: DataFrame, buckets: int, rows: int) -> list[tuple]:
-    """At most `buckets - 1` ascending, different keys that cut the table evenly.
+def _split_rows(keys: DataFrame, different: int, buckets: int) -> list[tuple]:
+    """At most `buckets - 1` ascending, different keys that cut the key set evenly.
 
-    A key is sampled by its own hash and then made distinct, so a key that fills a
-    third of the rows comes back once.  About `buckets * SAMPLES_PER_BUCKET` short
-    rows reach the driver.
+    `keys` are distinct, and so is the sampling rate: how often a key occurs has no
+    influence on it.  About `buckets * SAMPLES_PER_BUCKET` short rows reach the driver.
     """
-    one_in = max(1, rows // (buckets * SAMPLES_PER_BUCKET))
-    sampled = (
-        narrow.where(F.col(narrow.columns[0]).isNotNull())
-        .where(F.pmod(F.xxhash64(*narrow.columns), F.lit(one_in)) == 0)
-        .distinct()
-        .orderBy(*narrow.columns)
-    )
-    keys = [tuple(row) for row in sampled.toLocalIterator()]
-    step = len(keys) / buckets
-    cuts = [keys[int(step * i)] for i in range(1, buckets)] if keys else []
-    return list(dict.fromkeys(cuts))
+    one_in = max(1, different // (buckets * SAMPLES_PER_BUCKET))
+    sampled = keys.where(F.pmod(F.xxhash64(*keys.columns), F.lit(one_in)) == 0)
+    found = [tuple(row) for row in sampled.orderBy(*keys.columns).toLocalIterator()]
+    step = len(found) / buckets
+    cuts = [found[int(step * i)] for i in range(1, buckets)] if found else []
+    # A cut at the smallest key would leave the first bucket empty.
+    return [c for c in dict.fromkeys(cuts) if c != found[0]]

@@ -30,7 +30,12 @@ _BROKEN = "broken_rules"
 
 
 class RuleViolation(ValueError):
-    """Raised when a table breaks a rule of severity `error`."""
+    """Raised when a table breaks a rule of severity `error`.
+
+    `offenders` is a frame of all offending values, where the validator offers one.
+    """
+
+    offenders: DataFrame | None = None
 
 
 # ------------------------------------------------------------------ rule kinds
@@ -225,18 +230,25 @@ class RuleSet:
         """Missing columns, else wrong types; needs no Spark job."""
         missing = missing_columns(df, self.columns)
         if missing:
-            return [Finding(f"Missing required columns: {missing} "
-                            f"({self.dataset} missing column(s))", ERROR, 1)]
+            return [Finding(f"{self.dataset}: missing required column(s): {missing}", ERROR, 1)]
         actual = dict(df.dtypes)
         return [
-            Finding(f"Column '{c}' has type '{actual[c]}', expected '{t}'", ERROR, 1)
+            Finding(f"{c} is {actual[c]}, expected {t}", ERROR, 1)
             for c, t in self.types.items()
             if actual[c] != t
         ]
 
     # -- counting
     def counts(self, df: DataFrame) -> DataFrame:
-        """(rule, severity, bad_rows, example), one row per rule."""
+        """(rule, severity, bad_rows, example), one row per rule.
+
+        Wrong columns or types are a single row, `schema`: no other rule can be
+        evaluated then.
+        """
+        broken_schema = self.schema_findings(df)
+        if broken_schema:
+            entry = _entry("schema", ERROR, F.lit(len(broken_schema)), F.lit(broken_schema[0].rule))
+            return df.sparkSession.range(1).select(F.inline(F.array(entry)))
         parts = [self._single_pass(df)]
         for rule in self._of((UniqueRule, ReferenceRule, SameSizeRule)):
             parts.append(

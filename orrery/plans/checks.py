@@ -36,7 +36,8 @@ from orrery.operators.rules import (
 # The strict payments validator raises this.
 ValidationError = RuleViolation
 
-_SHOWN_OFFENDERS = 20
+# Rules are called <column or subject>.<fault>.
+_MISSING = "{}.missing"
 
 
 def _no_rows() -> Column:
@@ -60,10 +61,10 @@ def _party_rules(dataset: str, prefix: str, ids: Iterable[str]) -> RuleSet:
         dataset,
         (*ids, zip_code, city, state),
         [
-            *not_null([*ids, city, state], "Null in required column {}"),
-            one_of(state, fixed.STATE_CODES, f"Invalid {state}"),
-            UniqueRule(f"Duplicate {prefix}_id", (f"{prefix}_id",)),
-            outside(zip_code, *fixed.ZIP_RANGE, "Invalid zip code"),
+            *not_null([*ids, city, state], _MISSING),
+            one_of(state, fixed.STATE_CODES, f"{state}.unknown"),
+            UniqueRule(f"{prefix}_id.repeated", (f"{prefix}_id",)),
+            outside(zip_code, *fixed.ZIP_RANGE, f"{zip_code}.out_of_range"),
         ],
     )
 
@@ -90,16 +91,16 @@ def order_rules() -> RuleSet:
     required = ["order_id", "customer_id", "order_status", "order_purchase_timestamp"]
 
     def too_early(column: str) -> RowRule:
-        return RowRule(f"{column} before the purchase", column,
+        return RowRule(f"{column}.before_purchase", column,
                        F.col(column) < purchase)
 
     return RuleSet(
         "silver_orders",
         fixed.ORDER_COLUMNS,
         [
-            *not_null(required, "{} contains null values"),
-            UniqueRule("Duplicate order_id", ("order_id",)),
-            one_of("order_status", fixed.ORDER_STATUSES, "Invalid order_status"),
+            *not_null(required, _MISSING),
+            UniqueRule("order_id.repeated", ("order_id",)),
+            one_of("order_status", fixed.ORDER_STATUSES, "order_status.unknown"),
             too_early("order_approved_at"),
             too_early("order_delivered_carrier_date"),
         ],
@@ -113,15 +114,15 @@ def order_item_rules() -> RuleSet:
         "silver_order_items",
         fixed.ITEM_COLUMNS,
         [
-            *not_null(ids, "{} contains null values"),
-            UniqueRule("Duplicate (order_id, order_item_id)",
+            *not_null(ids, _MISSING),
+            UniqueRule("order_line.repeated",
                        ("order_id", "order_item_id")),
-            RowRule("Invalid order_item_id", "order_item_id",
+            RowRule("order_item_id.not_positive", "order_item_id",
                     F.col("order_item_id") <= 0),
-            RowRule("Invalid price", "price", price.isNull() | (price <= 0)),
-            RowRule("Invalid freight_value", "freight_value",
+            RowRule("price.not_positive", "price", price.isNull() | (price <= 0)),
+            RowRule("freight_value.negative", "freight_value",
                     freight.isNull() | (freight < 0)),
-            *not_null(["shipping_limit_date"], "{} contains null values"),
+            *not_null(["shipping_limit_date"], _MISSING),
         ],
     )
 
@@ -135,7 +136,7 @@ def validate_order_items(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------- payments
-_BAD_TYPE = f"payment_type outside {sorted(fixed.PAYMENT_TYPES)}"
+_BAD_TYPE = "payment_type.unknown"
 
 
 def payment_rules() -> RuleSet:
@@ -145,20 +146,20 @@ def payment_rules() -> RuleSet:
         "silver_order_payments",
         fixed.PAYMENT_COLUMNS,
         [
-            *not_null(fixed.PAYMENT_COLUMNS, "null value in column '{}'"),
-            RowRule(f"order_id not equal to {fixed.ID_LENGTH} characters", "order_id",
+            *not_null(fixed.PAYMENT_COLUMNS, _MISSING),
+            RowRule("order_id.wrong_length", "order_id",
                     F.length("order_id") != fixed.ID_LENGTH),
-            RowRule("payment_sequential < 1", "payment_sequential",
+            RowRule("payment_sequential.below_one", "payment_sequential",
                     F.col("payment_sequential") < 1),
-            RowRule("negative payment_value", "payment_value", value < 0),
-            RowRule("negative payment_installments", "payment_installments", installments < 0),
-            RowRule("credit-card payment_installments == 0", "payment_installments",
+            RowRule("payment_value.negative", "payment_value", value < 0),
+            RowRule("payment_installments.negative", "payment_installments", installments < 0),
+            RowRule("payment_installments.none_on_card", "payment_installments",
                     card & (installments == 0)),
             one_of("payment_type", fixed.PAYMENT_TYPES, _BAD_TYPE),
-            UniqueRule("duplicate (order_id, payment_sequential) pair",
+            UniqueRule("payment.repeated",
                        ("order_id", "payment_sequential"), count="rows"),
-            RowRule("payment_value == 0", "payment_value", value == 0, WARNING),
-            RowRule("payment_installments == 0", "payment_installments",
+            RowRule("payment_value.zero", "payment_value", value == 0, WARNING),
+            RowRule("payment_installments.zero", "payment_installments",
                     ~card & (installments == 0), WARNING),
         ],
         types=fixed.PAYMENT_TYPES_BY_COLUMN,
@@ -166,26 +167,29 @@ def payment_rules() -> RuleSet:
 
 
 def validate_order_payments(df: DataFrame, strict: bool = True) -> dict:
-    """{passed, errors, warnings, row_count}; strict raises when there are errors."""
+    """{passed, errors, warnings, row_count}; strict raises when there are errors.
+
+    Unknown payment types are listed in full in a frame: `offenders` of the answer, or
+    of the exception.
+    """
     rules = payment_rules()
     report = rules.report(df)
+    offenders = payment_type_offenders(df) if report.bad_rows(_BAD_TYPE) else None
     if strict:
-        report.raise_all()
+        try:
+            report.raise_all()
+        except RuleViolation as violation:
+            violation.offenders = offenders
+            raise
     answer = report.as_dict()
-    if report.bad_rows(_BAD_TYPE):
-        answer["errors"] = [
-            e + _offender_list(rules, df) if e.startswith(_BAD_TYPE) else e
-            for e in answer["errors"]
-        ]
+    if offenders is not None:
+        answer["offenders"] = offenders
     return answer
 
 
-def _offender_list(rules: RuleSet, df: DataFrame) -> str:
-    """The first unknown types by name; `RuleSet.offenders` has all of them."""
-    found = rules.offenders(df, _BAD_TYPE).orderBy("invalid_value")
-    values = [row["invalid_value"] for row in found.take(_SHOWN_OFFENDERS + 1)]
-    more = ", more" if len(values) > _SHOWN_OFFENDERS else ""
-    return f" found {values[:_SHOWN_OFFENDERS]}{more}"
+def payment_type_offenders(df: DataFrame) -> DataFrame:
+    """(invalid_value, bad_rows): every unknown payment type."""
+    return payment_rules().offenders(df, _BAD_TYPE)
 
 
 # ------------------------------------------------------------------- products
@@ -196,17 +200,17 @@ def product_rules() -> RuleSet:
         "silver_products",
         fixed.PRODUCT_COLUMNS,
         [
-            *not_null(["product_id"]),
-            RowRule("product_id not 32-char lowercase hex", "product_id",
+            *not_null(["product_id"], _MISSING),
+            RowRule("product_id.not_hex", "product_id",
                     ~F.col("product_id").rlike(fixed.HEX_ID)),
-            RowRule("product_category_name not normalised", "product_category_name",
+            RowRule("product_category_name.untidy", "product_category_name",
                     category.isNotNull() & ~measures.tidy(category, text.category_key)),
-            RowRule("product_weight_g negative", "product_weight_g",
+            RowRule("product_weight_g.negative", "product_weight_g",
                     F.col("product_weight_g") < 0),
-            *(RowRule(f"{c} not positive", c, F.col(c) <= 0) for c in lengths),
-            RowRule("product_photos_qty < 1", "product_photos_qty",
+            *(RowRule(f"{c}.not_positive", c, F.col(c) <= 0) for c in lengths),
+            RowRule("product_photos_qty.below_one", "product_photos_qty",
                     F.col("product_photos_qty") < 1),
-            UniqueRule("duplicate product_id", ("product_id",), count="surplus", skip_null=True),
+            UniqueRule("product_id.repeated", ("product_id",), count="surplus", skip_null=True),
         ],
     )
 
@@ -216,10 +220,11 @@ def validate_products(df: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------------------------- reviews
+_NAMES = fixed.REVIEW_CHECKS
 _REVIEW_TYPES = {
-    "creation_date_is_timestamp": ("review_creation_date", "timestamp"),
-    "answer_timestamp_is_timestamp": ("review_answer_timestamp", "timestamp"),
-    "score_is_int": ("review_score", "int"),
+    _NAMES["created_type"]: ("review_creation_date", "timestamp"),
+    _NAMES["answered_type"]: ("review_answer_timestamp", "timestamp"),
+    _NAMES["score_type"]: ("review_score", "int"),
 }
 
 
@@ -235,20 +240,20 @@ def review_rules(
         return comment.isNull() | (comment == "")
 
     rules = [
-        RowRule("no_nulls_in_key_columns", "review_id", any_key_null),
-        RowRule("comments_filled", "review_id", empty(title) | empty(message)),
-        outside("review_score", *fixed.SCORE_RANGE, "score_between_1_and_5"),
-        UniqueRule("review_order_key_unique", ("review_id", "order_id")),
-        RowRule("answer_after_creation", "review_answer_timestamp",
+        RowRule(_NAMES["keys"], "review_id", any_key_null),
+        RowRule(_NAMES["comments"], "review_id", empty(title) | empty(message)),
+        outside("review_score", *fixed.SCORE_RANGE, _NAMES["score"]),
+        UniqueRule(_NAMES["unique"], ("review_id", "order_id")),
+        RowRule(_NAMES["order"], "review_answer_timestamp",
                 F.col("review_answer_timestamp") < F.col("review_creation_date")),
-        RowRule("no_line_breaks_in_comments", "review_id",
+        RowRule(_NAMES["line_breaks"], "review_id",
                 title.rlike("[\r\n]") | message.rlike("[\r\n]")),
     ]
     if expect_one_review_per_order:
-        rules.append(UniqueRule("one_review_per_order", ("order_id",)))
+        rules.append(UniqueRule(_NAMES["one_per_order"], ("order_id",)))
     if orders_df is not None:
         rules.append(
-            ReferenceRule("order_ids_exist_in_orders", ("order_id",), orders_df, distinct=True)
+            ReferenceRule(_NAMES["orders_exist"], ("order_id",), orders_df, distinct=True)
         )
     return RuleSet("silver_order_reviews", fixed.REVIEW_COLUMNS, rules)
 
@@ -260,7 +265,7 @@ def validate_reviews(
 ) -> list[dict]:
     """One {check, passed, detail} per check; wrong types are reported, not raised."""
     missing = missing_columns(df, fixed.REVIEW_COLUMNS)
-    results = [_check("required_columns_present", not missing, f"missing: {missing}")]
+    results = [_check(_NAMES["columns"], not missing, f"missing: {missing}")]
     if missing:
         return results
     actual = dict(df.dtypes)
@@ -307,7 +312,7 @@ def category_rules() -> RuleSet:
     return RuleSet(
         "silver_product_category_name",
         fixed.CATEGORY_COLUMNS,
-        [TableRule("no rows", _no_rows()), *not_null([key], "{} contains null values")],
+        [TableRule("table.empty", _no_rows()), *not_null([key], _MISSING)],
     )
 
 
@@ -322,8 +327,8 @@ def category_frame_rules() -> RuleSet:
         "product_category",
         fixed.CATEGORY_COLUMNS,
         [
-            *not_null([key], "{} contains null values"),
-            UniqueRule(f"{key} contains duplicates", (key,), count="surplus"),
+            *not_null([key], _MISSING),
+            UniqueRule(f"{key}.repeated", (key,), count="surplus"),
         ],
     )
 
@@ -345,13 +350,13 @@ def dim_customer_rules() -> RuleSet:
         "gold_dim_customer",
         fixed.DIM_CUSTOMER_COLUMNS,
         [
-            *not_null(fixed.DIM_CUSTOMER_COLUMNS, "Null critical field: {}"),
-            *(UniqueRule(f"Duplicate {c}", (c,))
+            *not_null(fixed.DIM_CUSTOMER_COLUMNS, _MISSING),
+            *(UniqueRule(f"{c}.repeated", (c,))
               for c in ("customer_key", "customer_unique_id")),
-            one_of("state", fixed.STATE_CODES, "Invalid state"),
-            RowRule("city is not normalized", "city", city != text.lowered(city)),
-            RowRule("Invalid first_order_date", "first_order_date", first.isNull()),
-            RowRule("first_order_date in the future", "first_order_date",
+            one_of("state", fixed.STATE_CODES, "state.unknown"),
+            RowRule("city.untidy", "city", city != text.lowered(city)),
+            RowRule("first_order_date.unreadable", "first_order_date", first.isNull()),
+            RowRule("first_order_date.future", "first_order_date",
                     first > F.current_timestamp()),
         ],
     )
@@ -383,16 +388,16 @@ def dim_date_rules(study_year: int = fixed.STUDY_YEAR) -> RuleSet:
         "gold_dim_date",
         fixed.DIM_DATE_COLUMNS,
         [
-            *not_null(fixed.DIM_DATE_COLUMNS, "{} contains null values"),
-            *(UniqueRule(f"Duplicate {c}", (c,)) for c in ("date_key", "date")),
-            RowRule("Invalid date format", "date", ~as_text.rlike(fixed.ISO_DATE)),
-            RowRule("Invalid date value", "date", day.isNull()),
-            *(RowRule(f"Inconsistent {c}", c, F.col(c) != expected[c])
+            *not_null(fixed.DIM_DATE_COLUMNS, _MISSING),
+            *(UniqueRule(f"{c}.repeated", (c,)) for c in ("date_key", "date")),
+            RowRule("date.wrong_format", "date", ~as_text.rlike(fixed.ISO_DATE)),
+            RowRule("date.unreadable", "date", day.isNull()),
+            *(RowRule(f"{c}.differs", c, day.isNotNull() & (F.col(c) != expected[c]))
               for c in derived),
-            TableRule("Calendar has missing days", F.abs(gap)),
+            TableRule("calendar.gap", F.abs(gap)),
             *(
                 TableRule(
-                    f"{label} has not {days} days",
+                    f"{label}.wrong_length",
                     F.when(covered, F.abs(F.count_if(F.col("event_period") == label) - days)),
                 )
                 for label, days in lengths
@@ -413,19 +418,19 @@ def dim_product_rules(silver_products: DataFrame | None = None) -> RuleSet:
     """With `silver_products` the rules need `with_silver_category(dim, ...)` as input."""
     baseline, english = F.col("baseline_price_med"), F.col("category_en")
     rules = [
-        *not_null(["product_key", "product_id"]),
-        RowRule("baseline_price_med invalid: not positive or not finite", "baseline_price_med",
+        *not_null(["product_key", "product_id"], _MISSING),
+        RowRule("baseline_price_med.not_positive", "baseline_price_med",
                 baseline.isNotNull() & (measures.not_finite(baseline) | (baseline <= 0))),
-        RowRule("category_en not normalised (not normalized)", "category_en",
+        RowRule("category_en.untidy", "category_en",
                 english.isNotNull() & ~measures.tidy(english, text.display_text)),
-        TableRule("no rows", _no_rows()),
-        UniqueRule("duplicate product_id", ("product_id",), count="surplus", skip_null=True),
+        TableRule("table.empty", _no_rows()),
+        UniqueRule("product_id.repeated", ("product_id",), count="surplus", skip_null=True),
     ]
     if silver_products is not None:
         rules += [
-            RowRule("unexpected untranslated category (new untranslated category)",
+            RowRule("category_pt.untranslated",
                     "category_pt", english.isNull() & F.col("needs_english")),
-            SameSizeRule("row count != Silver distinct product_id", ("product_id",),
+            SameSizeRule("table.wrong_size", ("product_id",),
                          silver_products),
         ]
     return RuleSet("gold_dim_product", fixed.DIM_PRODUCT_COLUMNS, rules)
@@ -451,7 +456,7 @@ def validate_dim_product_gold(dim: DataFrame, silver_products: DataFrame) -> Dat
     ):
         missing = missing_columns(df, needed)
         if missing:
-            raise RuleViolation(f"{name} missing column(s): {missing}")
+            raise RuleViolation(f"{name}: missing required column(s): {missing}")
     _or_raise_all(dim_product_rules(silver_products), with_silver_category(dim, silver_products))
     return dim
 
@@ -466,11 +471,11 @@ def dim_seller_rules() -> RuleSet:
         "gold_dim_seller",
         fixed.DIM_SELLER_COLUMNS,
         [
-            *(UniqueRule(f"Duplicate {c}", (c,))
+            *(UniqueRule(f"{c}.repeated", (c,))
               for c in ("seller_key", "seller_id")),
-            *not_null(fixed.DIM_SELLER_COLUMNS, "Null critical field: {}"),
-            one_of("seller_state", fixed.STATE_CODES, "Invalid seller_state"),
-            RowRule("seller_city is not normalized", "seller_city", city != text.lowered(city)),
+            *not_null(fixed.DIM_SELLER_COLUMNS, _MISSING),
+            one_of("seller_state", fixed.STATE_CODES, "seller_state.unknown"),
+            RowRule("seller_city.untidy", "seller_city", city != text.lowered(city)),
         ],
     )
 
@@ -494,9 +499,9 @@ def fact_order_rules() -> RuleSet:
         "gold_fact_order",
         fixed.FACT_ORDER_COLUMNS,
         [
-            *not_null(required, "Null critical field: {}"),
-            UniqueRule("Duplicate order_id", ("order_id",)),
-            *(RowRule(f"Invalid {c}", c, bad_amount(c))
+            *not_null(required, _MISSING),
+            UniqueRule("order_id.repeated", ("order_id",)),
+            *(RowRule(f"{c}.invalid", c, bad_amount(c))
               for c in amounts),
         ],
         types={"is_new_at_order": "boolean"},
@@ -517,18 +522,18 @@ def fact_order_item_rules(fact_orders: DataFrame | None = None) -> RuleSet:
     required = [c for c in fixed.FACT_ITEM_COLUMNS if c != "price_vs_baseline_pct"]
     pair = ("order_id", "order_item_id")
     rules = [
-        *not_null(required, "Null critical field: {}"),
-        UniqueRule("Duplicate (order_id, order_item_id)", pair),
-        RowRule("order_item_id must be positive", "order_item_id", F.col("order_item_id") <= 0),
-        RowRule("Invalid price", "price",
+        *not_null(required, _MISSING),
+        UniqueRule("order_line.repeated", pair),
+        RowRule("order_item_id.not_positive", "order_item_id", F.col("order_item_id") <= 0),
+        RowRule("price.invalid", "price",
                 measures.not_finite(price) | (price <= 0)),
-        RowRule("Invalid freight_value", "freight_value",
+        RowRule("freight_value.invalid", "freight_value",
                 measures.not_finite(freight) | (freight < 0)),
-        RowRule("Invalid price_vs_baseline_pct", "price_vs_baseline_pct",
+        RowRule("price_vs_baseline_pct.invalid", "price_vs_baseline_pct",
                 measures.not_finite(percent)),
     ]
     if fact_orders is not None:
-        rules.append(ReferenceRule("Orphan order, date or customer key",
+        rules.append(ReferenceRule("order_keys.orphan",
                                    ("order_id", "date_key", "customer_key"), fact_orders))
     return RuleSet("gold_fact_order_item", fixed.FACT_ITEM_COLUMNS, rules)
 
@@ -544,15 +549,15 @@ validate_order_item_gold = validate_fact_order_item_gold
 
 def fact_review_rules(fact_orders: DataFrame | None = None) -> RuleSet:
     rules = [
-        *not_null(fixed.FACT_REVIEW_COLUMNS, "Null critical field: {}"),
+        *not_null(fixed.FACT_REVIEW_COLUMNS, _MISSING),
         outside("review_score", *fixed.SCORE_RANGE,
-                "Invalid review_score"),
-        UniqueRule("Duplicate review_id", ("review_id",)),
+                "review_score.out_of_range"),
+        UniqueRule("review_id.repeated", ("review_id",)),
     ]
     if fact_orders is not None:
         parent = fact_orders.select("order_id", F.col("date_key").alias("order_date_key"))
         rules.append(
-            ReferenceRule("Orphan order or date key",
+            ReferenceRule("order_keys.orphan",
                           ("order_id", "order_date_key"), parent)
         )
     return RuleSet("gold_fact_review", fixed.FACT_REVIEW_COLUMNS, rules)

@@ -287,14 +287,20 @@ def _review_rows(reviews: DataFrame) -> DataFrame:
     )
 
 
-def _review_keys(reviews: DataFrame, fact_orders: DataFrame) -> DataFrame:
+def _review_keys(
+    reviews: DataFrame, fact_orders: DataFrame, fact_orders_unique: bool = False
+) -> DataFrame:
     orders = fact_orders.select("order_id", F.col("date_key").alias("order_date_key"))
+    if not fact_orders_unique:
+        orders = first_per_key(orders, ["order_id"])
     return _review_rows(reviews).join(orders, "order_id", "left")
 
 
-def orphan_reviews(reviews: DataFrame, fact_orders: DataFrame) -> DataFrame:
+def orphan_reviews(
+    reviews: DataFrame, fact_orders: DataFrame, fact_orders_unique: bool = False
+) -> DataFrame:
     """Review rows whose order is not in the order fact."""
-    keyed = _review_keys(reviews, fact_orders)
+    keyed = _review_keys(reviews, fact_orders, fact_orders_unique)
     return keyed.where("order_date_key IS NULL").select("review_id", "order_id", "review_score")
 
 
@@ -303,6 +309,7 @@ def build_fact_review_gold(
     fact_orders: DataFrame,
     orphans: str = RAISE,
     unique_key: Sequence[str] | None = ("review_id",),
+    fact_orders_unique: bool = False,
 ) -> DataFrame:
     """One row per review with the date key of its order.
 
@@ -315,7 +322,7 @@ def build_fact_review_gold(
         if not rule.repeated(_review_rows(reviews)).isEmpty():
             raise ValueError(f"{', '.join(unique_key)} must be unique in the review fact")
     settled = _settle_orphans(
-        _review_keys(reviews, fact_orders), ["order_date_key"], orphans,
+        _review_keys(reviews, fact_orders, fact_orders_unique), ["order_date_key"], orphans,
         "Reviews without a known order",
     )
     return settled.select(*fixed.FACT_REVIEW_COLUMNS)

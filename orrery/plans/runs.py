@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import partial, reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery import fixed
-from orrery.operators.quality_log import generate_dq_summary, log_invalid_rows, log_row_count
+from orrery.operators.quality_log import (
+    generate_dq_summary,
+    log_invalid_rows,
+    log_invalid_summary,
+    log_row_count,
+)
 from orrery.plans import checks, dims, facts, silver
 from orrery.sources.files import read_raw_order_payments
 from orrery.sources.tables import publish_table, read_table, write_path
@@ -24,20 +31,39 @@ def run_silver(
     clean: Callable[[DataFrame], DataFrame],
     fmt: str = "parquet",
 ) -> DataFrame:
-    """Clean one raw table into its Silver table; log counts and rejected values.
+    """Clean one raw table into its Silver table; quarantine and log what is rejected.
+
+    Rows that break a rule are kept out of Silver, so that Gold is built on accepted
+    rows only: most tables are split by their rules, payments and reviews drop such
+    rows as they are cleaned.  The rejected rows go to a quarantine table
+    with their reasons, and the logs are written from there.
 
     The counts are plain counts, which a column store answers from its metadata.
     Observed metrics would be free, but they count a partition twice when a lost
     executor's work is repeated, and these numbers decide whether a load passes.
     """
-    table = publish_table(clean(raw), SILVER[dataset], fmt=fmt)
+    accepted = clean(raw)
+    if dataset in silver.SHAPES:
+        kept, rejected = silver.quarantine(dataset, raw)
+        if dataset in SPLIT_BY_RULES:
+            accepted = kept
+        held = publish_table(rejected, quarantine_name(dataset), fmt=fmt)
+        log_invalid_rows(dataset, held.select(F.inline("broken_rules")), fmt=fmt)
+        log_invalid_summary(spark, dataset, quarantine_name(dataset), fmt=fmt)
+    table = publish_table(accepted, SILVER[dataset], fmt=fmt)
     log_row_count(spark, dataset, fixed.STAGE_BEFORE, raw.count(), fmt=fmt)
     log_row_count(spark, dataset, fixed.STAGE_AFTER, table.count(), fmt=fmt)
-    if dataset in silver.SHAPES:
-        log_invalid_rows(dataset, silver.rejected_values(dataset, raw), fmt=fmt)
     return table
 
 
+# Tables without a survivor rule: the quarantine rules alone decide what reaches Silver.
+SPLIT_BY_RULES = ("customers", "sellers", "orders", "order_items", "products")
+
+
+def quarantine_name(dataset: str) -> str:
+    return f"quarantine_{dataset}"
+
+
 def clean_order_payments_path(
     spark: SparkSession,
     input_path: str,
@@ -70,11 +96,14 @@ CLEANERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 
 def run_all_silver(
-    spark: SparkSession, raw: dict[str, DataFrame], fmt: str = "parquet"
+    spark: SparkSession,
+    raw: dict[str, DataFrame],
+    fmt: str = "parquet",
+    cleaners: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
 ) -> dict[str, DataFrame]:
-    return {
-        name: run_silver(spark, name, df, CLEANERS[name], fmt) for name, df in raw.items()
-    }
+    """Every raw table through `run_silver`; `cleaners` replace those of `CLEANERS`."""
+    clean = {**CLEANERS, **(cleaners or {})}
+    return {name: run_silver(spark, name, df, clean[name], fmt) for name, df in raw.items()}
 
 
 # ----------------------------------------------------------------------- gold
@@ -83,9 +112,11 @@ def run_dim_date(
     fmt: str = "parquet",
     start_date: str = fixed.CALENDAR_START,
     end_date: str = fixed.CALENDAR_END,
+    study_year: int = fixed.STUDY_YEAR,
 ) -> DataFrame:
-    built = dims.build_dim_date(spark, start_date, end_date)
-    return publish_table(built, GOLD["dim_date"], checks.validate_dim_date_gold, fmt)
+    built = dims.build_dim_date(spark, start_date, end_date, study_year)
+    check = partial(checks.validate_dim_date_gold, study_year=study_year)
+    return publish_table(built, GOLD["dim_date"], check, fmt)
 
 
 def run_dim_customer(spark: SparkSession, fmt: str = "parquet") -> DataFrame:
@@ -95,12 +126,15 @@ def run_dim_customer(spark: SparkSession, fmt: str = "parquet") -> DataFrame:
     return publish_table(built, GOLD["dim_customer"], fmt=fmt)
 
 
-def run_dim_product(spark: SparkSession, fmt: str = "parquet") -> DataFrame:
+def run_dim_product(
+    spark: SparkSession, fmt: str = "parquet", study_year: int = fixed.STUDY_YEAR
+) -> DataFrame:
     built = dims.build_dim_product_gold(
         read_table(spark, SILVER["products"]),
         read_table(spark, SILVER["product_category"]),
         read_table(spark, SILVER["order_items"]),
         read_table(spark, SILVER["orders"]),
+        study_year,
     )
     return publish_table(built, GOLD["dim_product"], fmt=fmt)
 
@@ -135,8 +169,33 @@ def _no_missing_keys(message: str, *keys: str) -> Callable[[DataFrame], None]:
     return check
 
 
-def run_fact_order_item(spark: SparkSession, fmt: str = "parquet") -> DataFrame:
-    """The joins run once: orphans are looked for in the written staging table."""
+def _without_orphans(
+    built: DataFrame,
+    name: str,
+    keys: Sequence[str],
+    fmt: str,
+    check: Callable[[DataFrame], object] | None = None,
+) -> DataFrame:
+    """The fact without rows whose keys are unknown, which go to a quarantine table.
+
+    The joins run once: both halves are read from what was written.
+    """
+    spark = built.sparkSession
+    unknown = reduce(or_, (F.col(k).isNull() for k in keys))
+    whole = publish_table(built, f"{name}__all", fmt=fmt)
+    publish_table(whole.where(unknown), quarantine_name(name), fmt=fmt)
+    fact = publish_table(whole.where(~unknown), name, check, fmt)
+    spark.sql(f"DROP TABLE IF EXISTS `{name}__all`")
+    return fact
+
+
+def run_fact_order_item(
+    spark: SparkSession, fmt: str = "parquet", orphans: str = facts.RAISE
+) -> DataFrame:
+    """The joins run once: orphans are looked for in the written staging table.
+
+    With `orphans="drop"` they go to a quarantine table instead of stopping the run.
+    """
     built = facts.build_fact_order_item_gold(
         read_table(spark, SILVER["order_items"]),
         read_table(spark, GOLD["fact_order"]),
@@ -144,32 +203,46 @@ def run_fact_order_item(spark: SparkSession, fmt: str = "parquet") -> DataFrame:
         read_table(spark, GOLD["dim_seller"]),
         orphans=facts.KEEP,
     )
+    if orphans == facts.DROP:
+        return _without_orphans(built, GOLD["fact_order_item"], facts.ITEM_KEYS, fmt)
     check = _no_missing_keys(
         "Order items without a known order, customer, product or seller", *facts.ITEM_KEYS
     )
     return publish_table(built, GOLD["fact_order_item"], check, fmt)
 
 
-def run_fact_review(spark: SparkSession, fmt: str = "parquet") -> DataFrame:
+def run_fact_review(
+    spark: SparkSession, fmt: str = "parquet", orphans: str = facts.RAISE
+) -> DataFrame:
     built = facts.build_fact_review_gold(
         read_table(spark, SILVER["order_reviews"]),
         read_table(spark, GOLD["fact_order"]),
         orphans=facts.KEEP,
         unique_key=None,
     )
+    if orphans == facts.DROP:
+        return _without_orphans(
+            built, GOLD["fact_review"], ["order_date_key"], fmt, checks.validate_fact_review_gold
+        )
     return publish_table(built, GOLD["fact_review"], checks.validate_fact_review_gold, fmt)
 
 
-def run_all_gold(spark: SparkSession, fmt: str = "parquet") -> dict[str, DataFrame]:
+def run_all_gold(
+    spark: SparkSession,
+    fmt: str = "parquet",
+    orphans: str = facts.RAISE,
+    calendar: tuple[str, str] = (fixed.CALENDAR_START, fixed.CALENDAR_END),
+    study_year: int = fixed.STUDY_YEAR,
+) -> dict[str, DataFrame]:
     """All Gold tables, dimensions before the facts that need them."""
     return {
-        "dim_date": run_dim_date(spark, fmt),
+        "dim_date": run_dim_date(spark, fmt, *calendar, study_year),
         "dim_customer": run_dim_customer(spark, fmt),
-        "dim_product": run_dim_product(spark, fmt),
+        "dim_product": run_dim_product(spark, fmt, study_year),
         "dim_seller": run_dim_seller(spark, fmt),
         "fact_order": run_fact_order(spark, fmt),
-        "fact_order_item": run_fact_order_item(spark, fmt),
-        "fact_review": run_fact_review(spark, fmt),
+        "fact_order_item": run_fact_order_item(spark, fmt, orphans),
+        "fact_review": run_fact_review(spark, fmt, orphans),
     }
 
 

@@ -8,20 +8,25 @@ come from the same rules (`ACCEPTANCE[name]().split(shape(raw))`).
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
+from functools import reduce
+from operator import or_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orrery import fixed
-from orrery.functions import casting, text
+from orrery.functions import casting, measures, text
 from orrery.operators.headers import (
     renamed,
     require_columns,
     standard_headers,
     without_bom,
 )
-from orrery.operators.rules import RuleSet, must
+from orrery.operators.rules import RowRule, RuleSet, UniqueRule, must, one_of
 from orrery.operators.survivors import distinct_rows, first_per_key
+from orrery.plans import checks
 
 
 # ------------------------------------------------------- customers and sellers
@@ -100,10 +105,26 @@ def clean_order_items(df: DataFrame) -> DataFrame:
 _SOURCE_ORDER = "__source_order"
 
 
-def _source_order(order_by: Sequence[str] | None) -> Column:
-    """Where a row stands in its source: by the given columns, or as Spark reads it."""
-    position = F.struct(*order_by) if order_by else F.monotonically_increasing_id()
-    return position.alias(_SOURCE_ORDER)
+def _source_order(df: DataFrame, order_by: Sequence[str] | None) -> Column:
+    """Where a row stands in its source: by the given columns, or by file and line.
+
+    File names come first, then the start of the split, then the place in the split;
+    how Spark packs splits into tasks has no part in it.
+    """
+    if order_by:
+        return F.struct(*order_by).alias(_SOURCE_ORDER)
+    position = F.struct(
+        F.col("_metadata.file_path"),
+        F.col("_metadata.file_block_start"),
+        F.monotonically_increasing_id().alias("row"),
+    ).alias(_SOURCE_ORDER)
+    try:
+        df.select(position)
+    except AnalysisException:
+        raise ValueError(
+            "the rows do not come straight from files: name their source order in order_by"
+        ) from None
+    return position
 
 
 def shape_payments(df: DataFrame, *extra: Column) -> DataFrame:
@@ -146,11 +167,12 @@ def clean_order_payments(
     """Accepted payments, the first one per (order_id, payment_sequential).
 
     `order_by` names columns that give the source order (a line number, a load time).
-    Without it the order in which Spark reads the file counts, which is stable for a
-    file scan but not after a shuffle.
+    Without it file and line count, for rows read from files and not shuffled since;
+    other rows need `order_by`.
     """
-    df = require_columns(standard_headers(df), fixed.PAYMENT_COLUMNS, "order_payments")
-    shaped = shape_payments(df, _source_order(order_by))
+    position = _source_order(df, order_by).alias(_SOURCE_ORDER)
+    df = require_columns(standard_headers(df.withColumn(_SOURCE_ORDER, position)), fixed.PAYMENT_COLUMNS, "order_payments")
+    shaped = shape_payments(df, F.col(_SOURCE_ORDER))
     accepted = payment_acceptance(drop_not_defined).accept(shaped)
     survivors = first_per_key(accepted, ["order_id", "payment_sequential"], [_SOURCE_ORDER])
     return survivors.select(*fixed.PAYMENT_COLUMNS)
@@ -216,16 +238,27 @@ def review_acceptance() -> RuleSet:
     )
 
 
+def _review_stage(df: DataFrame, *columns: str, presence: bool) -> DataFrame:
+    """Some of the acceptance rules of the reviews, as a stage of its own."""
+    rules = review_acceptance()
+    present = {f"{c} is present" for c in columns}
+    chosen = [
+        r for r in rules.rules
+        if (r.name in present if presence else r.column in columns and r.name not in present)
+    ]
+    return replace(rules, rules=chosen).accept(df)
+
+
 def drop_missing_key_fields(df: DataFrame) -> DataFrame:
-    return df.dropna(subset=list(fixed.REVIEW_KEYS))
+    return _review_stage(df, *fixed.REVIEW_KEYS, presence=True)
 
 
 def keep_valid_scores(df: DataFrame) -> DataFrame:
-    return df.where(F.col("review_score").between(*fixed.SCORE_RANGE))
+    return _review_stage(df, "review_score", presence=False)
 
 
 def keep_valid_dates(df: DataFrame) -> DataFrame:
-    return df.where("review_answer_timestamp >= review_creation_date")
+    return _review_stage(df, "review_answer_timestamp", presence=False)
 
 
 def _newest_first() -> list[Column]:
@@ -272,7 +305,7 @@ def clean_category_dataframe(
     shaped = df.select(
         sanitize_category_name(key).alias(key),
         text.title_letters(F.coalesce(text.as_text(english), F.lit(""))).alias(english),
-        _source_order(order_by),
+        _source_order(df, order_by),
     )
     return first_per_key(shaped, [key], [_SOURCE_ORDER]).select(*fixed.CATEGORY_COLUMNS)
 
@@ -300,15 +333,26 @@ def clean_category_translation(df: DataFrame) -> DataFrame:
 SHAPES: dict[str, tuple[Callable[[DataFrame], DataFrame], Callable[[], RuleSet]]] = {
     "customers": (shape_customers, customer_acceptance),
     "sellers": (shape_sellers, seller_acceptance),
+    "orders": (clean_orders, checks.order_rules),
+    "order_items": (clean_order_items, checks.order_item_rules),
+    "products": (clean_products, checks.product_rules),
     "order_payments": (shape_payments, payment_acceptance),
     "order_reviews": (standardise_reviews, review_acceptance),
 }
 
 
+def quarantine_rules(dataset: str) -> RuleSet:
+    """What a row has to meet to reach Gold: acceptance, and a known state for parties."""
+    rules = SHAPES[dataset][1]()
+    if dataset not in ("customers", "sellers"):
+        return rules
+    state = f"{dataset.removesuffix('s')}_state"
+    return replace(rules, rules=[*rules.rules, one_of(state, fixed.STATE_CODES, f"{state}.unknown")])
+
+
 def quarantine(dataset: str, raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) rows of one raw table, before duplicates are dropped."""
-    shape, rules = SHAPES[dataset]
-    return rules().split(shape(standard_headers(raw)))
+    return quarantine_rules(dataset).split(SHAPES[dataset][0](standard_headers(raw)))
 
 
 def rejected_values(dataset: str, raw: DataFrame) -> DataFrame:
@@ -317,3 +361,58 @@ def rejected_values(dataset: str, raw: DataFrame) -> DataFrame:
     return rules().invalid_rows(shape(standard_headers(raw)))
 
 
+
+
+# Keys by which rows of a table are counted: those of its key rule or its survivors.
+_TALLY_KEYS = {
+    "orders": ("order_id",),
+    "order_items": ("order_id", "order_item_id"),
+    "order_payments": ("order_id", "payment_sequential"),
+    "order_reviews": ("review_id", "order_id"),
+}
+
+
+def tally(dataset: str, raw: DataFrame) -> DataFrame:
+    """One row (silver_before, silver_after, invalid_rows) from one scan of the raw table.
+
+    Rows are counted, not broken rules.  Tables with a key are folded to it inside the
+    tasks first.  Only products are read twice: their exact copies go before the rules.
+    """
+    shape, rule_set = SHAPES[dataset]
+    rules = rule_set()
+    shaped = shape(standard_headers(raw))
+    broken = reduce(
+        or_, (measures.is_true(r.bad) for r in rules.rules if isinstance(r, RowRule))
+    )
+    rows, bad = F.sum("n"), F.sum("bad")
+    if dataset in ("customers", "sellers"):
+        counted = shaped.agg(F.count(F.lit(1)).alias("n"), F.count_if(broken).alias("bad"))
+        return counted.select(*_tallied(F.col("n"), F.col("n") - F.col("bad"), F.col("bad")))
+    keys = _TALLY_KEYS.get(dataset, ("product_id",))
+    folded = shaped.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(broken).alias("bad")
+    )
+    if dataset in ("order_payments", "order_reviews"):
+        # One row of each key survives, if any row of it is accepted.
+        return folded.agg(*_tallied(rows, F.count_if(F.col("bad") < F.col("n")), bad))
+    unique = next(r for r in rules.rules if isinstance(r, UniqueRule))
+    repeated = F.col("n") > 1
+    if unique.skip_null:
+        repeated = repeated & F.col(keys[0]).isNotNull()
+    invalid = F.sum(F.when(repeated, F.col("n")).otherwise(F.col("bad")))
+    after = folded.agg(*_tallied(rows, rows, invalid))
+    if dataset != "products":
+        return after
+    zero = F.lit(0).cast("bigint")
+    before = raw.agg(F.count(F.lit(1)).alias("silver_before"))
+    both = after.withColumn("silver_before", zero).unionByName(
+        before.withColumns({"silver_after": zero, "invalid_rows": zero})
+    )
+    return both.agg(*(F.sum(c).alias(c) for c in after.columns))
+
+
+def _tallied(before: Column, after: Column, invalid: Column) -> list[Column]:
+    return [
+        F.coalesce(c, F.lit(0)).cast("bigint").alias(name)
+        for c, name in ((before, "silver_before"), (after, "silver_after"), (invalid, "invalid_rows"))
+    ]

@@ -7,9 +7,9 @@ into the Gold builders and the rule sets.
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from orrery import fixed
 from orrery.operators import quality_log, reconcile
 from orrery.operators.rules import RuleSet
-from orrery.plans import checks, dims, facts, silver
-from orrery.session import shared_folder, tune
-from orrery.sources import files, inventory, trade
+from orrery.plans import checks, dims, facts, runs, silver
+from orrery.session import scratch
+from orrery.sources import files, inventory, tables, trade
+from orrery.sources.spoiled import spoiled
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,7 +36,7 @@ def _wall_clock(df: DataFrame) -> DataFrame:
 
 def _result(build: Query) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return _wall_clock(build(tune(spark), folder))
+        return _wall_clock(build(spark, folder))
 
     return query
 
@@ -47,10 +48,6 @@ class Silver:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
-    def rows(self, table: str) -> int:
-        """Row count of a trade table, from the file footers."""
-        return trade.trade_table(self.spark, self.folder, table).count()
-
     def raw(self, name: str) -> DataFrame:
         return getattr(trade, f"raw_{name}")(self.spark, self.folder)
 
@@ -88,7 +85,7 @@ class Silver:
         # customer_id is made from the order key, so it is unique.
         return dims.build_dim_customer(
             self.customers(), self.orders(), customer_ids_unique=True,
-            **{"max_rows": self.rows("orders"), **options},
+            **options,
         )
 
     def dim_date(self) -> DataFrame:
@@ -97,29 +94,36 @@ class Silver:
         )
 
     def dim_product(self, **options) -> DataFrame:
-        # A part gives three product rows at most.
         return dims.build_dim_product_gold(
             self.accepted_products(), self.translation(), self.items(), self.orders(),
-            STUDY_YEAR, **{"max_rows": 3 * self.rows("part"), **options},
+            STUDY_YEAR, **{"size_from": self.products(), **options},
         )
 
     def dim_seller(self) -> DataFrame:
-        return dims.clean_dim_seller_gold(self.sellers(), max_rows=self.rows("supplier"))
+        return dims.clean_dim_seller_gold(self.sellers())
 
     def fact_order(self) -> DataFrame:
         return facts.build_fact_orders_gold(
             self.orders(), self.items(), self.payments(), self.customers(),
-            self.dim_customer(), self.dim_date(), customer_ids_unique=True,
+            self.published("dim_customer"), self.published("dim_date"), customer_ids_unique=True,
         )
 
     def order_keys(self) -> DataFrame:
         return facts.build_order_keys(
-            self.orders(), self.customers(), self.dim_customer(), self.dim_date(),
-            customer_ids_unique=True,
+            self.orders(), self.customers(), self.published("dim_customer"),
+            self.published("dim_date"), customer_ids_unique=True,
         )
 
+    def published(self, name: str) -> DataFrame:
+        """A dimension, or the order keys, as a run would find it: built and written once
+        per application and folder, then read by every fact."""
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _PUBLISHED:
+            _PUBLISHED[key] = _written(getattr(self, name)())
+        return _PUBLISHED[key]
+
     def item_parts(self) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-        return self.items(), self.order_keys(), self.dim_product(), self.dim_seller()
+        return self.items(), *map(self.published, ("order_keys", "dim_product", "dim_seller"))
 
     def fact_order_item(self) -> DataFrame:
         return facts.build_fact_order_item_gold(
@@ -127,9 +131,8 @@ class Silver:
         )
 
     def fact_review(self) -> DataFrame:
-        # Uniqueness is counted by rule_counts_fact_review.
         return facts.build_fact_review_gold(
-            self.reviews(), self.order_keys(), orphans=facts.DROP, unique_key=None
+            self.reviews(), self.published("order_keys"), facts.DROP, fact_orders_unique=True
         )
 
 
@@ -156,95 +159,129 @@ def _baseline(s: Silver, **options) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- rules
-def _counted(rules: RuleSet, df: DataFrame) -> DataFrame:
-    return rules.counts(df).where("severity != 'info'").select("rule", "severity", "bad_rows")
-
-
 def _written(df: DataFrame) -> DataFrame:
-    """The table as it stands once written: a set of rules reads it several times,
-    and then scans narrow columns instead of running the joins again."""
-    path = _scratch(df.sparkSession, "checked")
+    path = scratch(df.sparkSession, "written")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_PUBLISHED: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def _counts(table: Callable[[Silver], DataFrame], rules: Callable[..., RuleSet], *args) -> Query:
-    return _from_silver(lambda s: _counted(rules(*args), table(s)))
+    return _from_silver(lambda s: rules(*args).counts(table(s)))
 
 
-def _counts_written(
-    table: Callable[[Silver], DataFrame], rules: Callable[..., RuleSet], *args
-) -> Query:
-    return _from_silver(lambda s: _counted(rules(*args), _written(table(s))))
+def _spoilt(name: str, table: Callable[[Silver], DataFrame]) -> Callable[[Silver], DataFrame]:
+    return lambda s: spoiled(table(s), name)
 
 
 def _shaped(name: str) -> Callable[[Silver], DataFrame]:
     return lambda s: silver.SHAPES[name][0](s.raw(name))
 
 
-def _review_counts(s: Silver) -> DataFrame:
-    filled = silver.fill_missing_comments(_shaped("order_reviews")(s))
-    rules = checks.review_rules(s.orders(), expect_one_review_per_order=True)
-    return _counted(rules, filled)
+def _filled_reviews(s: Silver) -> DataFrame:
+    """Reviews with their comments' filling, but without the acceptance rules.
+
+    Comments are cut to the columns that the rules look at before rows are exchanged.
+    """
+    return silver.fill_missing_comments(_shaped("order_reviews")(s))
 
 
-def _dim_product_counts(s: Silver) -> DataFrame:
+def _review_counts(s: Silver, reviews: DataFrame) -> DataFrame:
+    return checks.review_rules(s.orders(), expect_one_review_per_order=True).counts(reviews)
+
+
+def _dim_product_counts(s: Silver, dim: DataFrame) -> DataFrame:
     products = s.products()
-    dim = checks.with_silver_category(_written(s.dim_product()), products)
-    return _counted(checks.dim_product_rules(products), dim)
+    rules = checks.dim_product_rules(products)
+    return rules.counts(checks.with_silver_category(dim, products))
 
 
-def _item_counts(s: Silver) -> DataFrame:
+def _all_items(s: Silver) -> DataFrame:
     items, keys, products, sellers = s.item_parts()
-    orders = _written(keys)
-    fact = facts.build_fact_order_item_gold(
-        items, orders, products, sellers, orphans=facts.KEEP, fact_orders_unique=True
+    return facts.build_fact_order_item_gold(
+        items, keys, products, sellers, orphans=facts.KEEP, fact_orders_unique=True
     )
-    return _counted(checks.fact_order_item_rules(orders), _written(fact))
 
 
-def _review_fact_counts(s: Silver) -> DataFrame:
-    orders = _written(s.order_keys())
-    fact = facts.build_fact_review_gold(s.reviews(), orders, facts.KEEP, unique_key=None)
-    return _counted(checks.fact_review_rules(orders), _written(fact))
+def _all_reviews(s: Silver) -> DataFrame:
+    return facts.build_fact_review_gold(
+        s.reviews(), s.published("order_keys"), facts.KEEP, unique_key=None, fact_orders_unique=True
+    )
 
 
-# ----------------------------------------------------------------- quality log
-_CLEANED = {
-    "customers": Silver.customers,
-    "sellers": Silver.sellers,
-    "orders": Silver.orders,
-    "order_items": Silver.items,
-    "order_payments": Silver.payments,
-    "products": Silver.products,
-    "order_reviews": Silver.reviews,
-}
+# Name of the rule set -> the table it is counted on, and the counting.
+Counting = Callable[[Silver, DataFrame], DataFrame]
 
 
-def _dq_summary(s: Silver) -> DataFrame:
-    """Row counts before and after, and broken acceptance rules, of every table."""
-    stamp = F.make_timestamp_ntz(*(F.lit(v) for v in (2024, 1, 1, 0, 0)), F.lit(0))
+def _by(rules: Callable[..., RuleSet], *args) -> Counting:
+    return lambda s, df: rules(*args).counts(df)
+
+
+def _text_day(column: str, table: Callable[[Silver], DataFrame]) -> Callable[[Silver], DataFrame]:
+    """A table whose dates are text, as the rules on their format and value expect."""
+    return lambda s: table(s).withColumn(column, F.col(column).cast("string"))
+
+
+_RULED: dict[str, tuple[Callable[[Silver], DataFrame], Counting]] = {
+    "customers": (_shaped("customers"), _by(checks.customer_rules)),
+    "sellers": (_shaped("sellers"), _by(checks.seller_rules)),
+    "orders": (Silver.orders, _by(checks.order_rules)),
+    "order_items": (Silver.items, _by(checks.order_item_rules)),
+    "payments": (_shaped("order_payments"), _by(checks.payment_rules)),
+    "products": (Silver.products, _by(checks.product_rules)),
+    "reviews": (_filled_reviews, _review_counts),
+    "category": (Silver.translation, _by(checks.category_rules)),
+    "category_names": (lambda s: s.raw("category_translation"), _by(checks.category_frame_rules)),
+    "dim_customer": (Silver.dim_customer, _by(checks.dim_customer_rules)),
+    "dim_date": (Silver.dim_date, _by(checks.dim_date_rules, STUDY_YEAR)),
+    "dim_product": (lambda s: s.published("dim_product"), _dim_product_counts),
+    "dim_seller": (Silver.dim_seller, _by(checks.dim_seller_rules)),
+    "fact_order": (Silver.fact_order, _by(checks.fact_order_rules)),
+    "fact_order_item": (_all_items, lambda s, df: checks.fact_order_item_rules(s.published("order_keys")).counts(df)),
+    "fact_review": (_all_reviews, lambda s, df: checks.fact_review_rules(s.published("order_keys")).counts(df)),
+}
+_TEXT_DAYS = {"dim_customer": "first_order_date", "dim_date": "date"}
+
 
-    def logged(dataset: str, stage: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(dataset).alias("dataset"), F.lit(stage).alias("stage"),
-            "row_count", stamp.alias("log_timestamp"),
+def _rule_queries() -> dict[str, Query]:
+    """Each rule set on its table, on the table with faults, and where there are no rows."""
+    out: dict[str, Query] = {}
+    for name, (table, count) in _RULED.items():
+        faulty = _text_day(_TEXT_DAYS[name], table) if name in _TEXT_DAYS else table
+        out[f"rule_counts_{name}"] = _from_silver(lambda s, t=table, c=count: c(s, t(s)))
+        out[f"rule_counts_{name}_spoiled"] = _from_silver(
+            lambda s, t=_spoilt(name, faulty), c=count: c(s, t(s))
         )
+    for name, gone in (("category", "product_category_name = 'none'"), ("dim_product", "product_key < 0")):
+        table, count = _RULED[name]
+        out[f"rule_counts_{name}_none"] = _from_silver(lambda s, t=table, c=count, w=gone: c(s, t(s).where(w)))
+    out["rule_counts_payments_untyped"] = _counts(
+        lambda s: s.raw("order_payments").select(*fixed.PAYMENT_COLUMNS), checks.payment_rules
+    )
+    return out
 
-    counts, invalid = [], []
-    for name, clean in _CLEANED.items():
-        counts.append(logged(name, fixed.STAGE_BEFORE, s.raw(name)))
-        counts.append(logged(name, fixed.STAGE_AFTER, clean(s)))
-        if name in silver.SHAPES:
-            rejected = silver.rejected_values(name, s.raw(name))
-            invalid.append(
-                rejected.agg(F.count(F.lit(1)).alias("invalid_rows")).select(
-                    F.lit(name).alias("dataset"), "invalid_rows", stamp.alias("log_timestamp")
-                )
-            )
-    return quality_log.dq_summary(
-        reduce(DataFrame.unionByName, counts), reduce(DataFrame.unionByName, invalid)
+
+# ----------------------------------------------------------------- quality log
+def _dq_summary(s: Silver) -> DataFrame:
+    """Row counts before and after, and rejected rows, of every table."""
+    stamp = F.make_timestamp_ntz(*(F.lit(v) for v in (2024, 1, 1, 0, 0)), F.lit(0))
+    tallies = reduce(
+        DataFrame.unionByName,
+        (
+            silver.tally(name, s.raw(name)).select(F.lit(name).alias("dataset"), "*")
+            for name in silver.SHAPES
+        ),
     )
+    stages = {fixed.STAGE_BEFORE: "silver_before", fixed.STAGE_AFTER: "silver_after"}
+    entries = F.array(*(
+        F.struct(F.lit(stage).alias("stage"), F.col(count).alias("row_count"))
+        for stage, count in stages.items()
+    ))
+    counts = tallies.select("dataset", F.inline(entries), stamp.alias("log_timestamp"))
+    invalid = tallies.select("dataset", "invalid_rows", stamp.alias("log_timestamp"))
+    return quality_log.dq_summary(counts, invalid)
 
 
 def _history(spark: SparkSession, folder: str, latest_only: bool) -> DataFrame:
@@ -259,7 +296,7 @@ def _history(spark: SparkSession, folder: str, latest_only: bool) -> DataFrame:
         F.col("event_type").alias("dataset"), stage.alias("stage"),
         (F.col("user_id") * 10).alias("row_count"), F.col("ts").alias("log_timestamp"),
     )
-    invalid = events.where(F.col("event_type") != "signup").select(
+    invalid = events.select(
         F.col("event_type").alias("dataset"),
         F.floor("value").alias("invalid_rows"), F.col("ts").alias("log_timestamp"),
     )
@@ -267,32 +304,86 @@ def _history(spark: SparkSession, folder: str, latest_only: bool) -> DataFrame:
 
 
 # ------------------------------------------------------------ files and tables
-def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def _payments_from_csv(spark: SparkSession, folder: str) -> DataFrame:
-    path = _scratch(spark, "payments")
-    raw = trade.raw_order_payments(spark, folder).select(*fixed.PAYMENT_COLUMNS)
-    raw.write.options(header=True, quote='"', escape='"').csv(path)
+    """Payments from files of different size; conflicting copies lie in later files."""
+    path = scratch(spark, "payments")
+    copy = F.col("source_row") % 4
+    raw = trade.raw_order_payments(spark, folder).repartitionByRange(4, copy)
+    rows = raw.sortWithinPartitions("source_row").select(*fixed.PAYMENT_COLUMNS)
+    rows.write.options(header=True, quote='"', escape='"').csv(path)
     return silver.clean_order_payments(files.read_raw_order_payments(spark, path))
 
 
 def _reviews_from_csv(spark: SparkSession, folder: str) -> DataFrame:
-    path = _scratch(spark, "reviews")
+    path = scratch(spark, "reviews")
     raw = trade.raw_order_reviews(spark, folder)
     raw.write.options(header=True, quote='"', escape='"', maxRecordsPerFile=100_000).csv(path)
     return silver.clean_reviews(files.load_reviews(spark, path))
 
 
+def _database(spark: SparkSession, folder: str, purpose: str) -> str:
+    """A database of its own, whose tables lie in the shared folder."""
+    mark = hashlib.md5(f"{spark.sparkContext.applicationId}{folder}".encode()).hexdigest()[:12]
+    name = f"orrery_{purpose}_{mark}"
+    if not spark.catalog.databaseExists(name):
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch(spark, name)}'")
+    return name
+
+
 def _exported(spark: SparkSession, folder: str) -> DataFrame:
-    """Order and item tables written as ORC, read back, profiled."""
-    copies = {}
-    for name in ("orders", "lineitem"):
-        path = _scratch(spark, name)
-        trade.trade_table(spark, folder, name).write.orc(path)
-        copies[name] = spark.read.orc(path)
-    return inventory.table_profile(copies)
+    """All tables exported to parquet, turned into ORC tables, and profiled there."""
+    database, target = _database(spark, folder, "export"), scratch(spark, "export")
+    whole = {name: trade.trade_table(spark, folder, name) for name in trade.TABLES}
+    inventory.export_tables(spark, target, whole)
+    made = inventory.convert_exports(spark, target, list(whole), "orc", database=database)
+    return inventory.table_profile(dict(zip(whole, map(spark.table, made))))
+
+
+def _sinks(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders per status, counted in what each kind of sink has written."""
+    database, path = _database(spark, folder, "sinks"), scratch(spark, "sinks")
+    orders = trade.trade_table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    appended, replaced = f"{database}.appended", f"{database}.replaced"
+    spark.sql(f"DROP TABLE IF EXISTS {appended}")
+    tables.ensure_table(spark, appended, "o_orderkey bigint, o_orderstatus string")
+    for _ in range(2):
+        tables.append_table(orders, appended)
+    tables.overwrite_table(orders, replaced)
+    tables.overwrite_table(orders.select("o_orderstatus"), replaced, replace_schema=True)
+    tables.write_path(orders, path, "orc")
+    written = {
+        "append": tables.read_table(spark, appended),
+        "replace": tables.read_table(spark, replaced),
+        "path": spark.read.orc(path),
+    }
+    counted = (
+        df.groupBy("o_orderstatus").count().select(F.lit(sink).alias("sink"), "*", F.lit(len(df.columns)).alias("column_count"))
+        for sink, df in written.items()
+    )
+    return reduce(DataFrame.unionByName, counted)
+
+
+def _published(table: str, *columns: str) -> Query:
+    """What a whole run, Silver to Gold through the catalog, has left in `table`."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        database = _database(spark, folder, "run")
+        if not spark.catalog.tableExists(f"{database}.{fixed.LOG_TABLES['summary']}"):
+            s, before = Silver(spark, folder), spark.catalog.currentDatabase()
+            raw = {name: s.raw(name) for name in silver.SHAPES}
+            raw["product_category"] = s.raw("category_translation")
+            ordered = partial(silver.clean_order_payments, order_by=["source_row"])
+            spark.catalog.setCurrentDatabase(database)
+            try:
+                runs.run_all_silver(spark, raw, cleaners={"order_payments": ordered})
+                runs.run_all_gold(spark, "parquet", facts.DROP, ("1995-01-01", "2001-12-31"), STUDY_YEAR)
+                runs.run_summary(spark)
+            finally:
+                spark.catalog.setCurrentDatabase(before)
+        found = spark.table(f"{database}.{table}")
+        return _wall_clock(found.select(*columns) if columns else found)
+
+    return query
 
 
 def _profile(spark: SparkSession, folder: str) -> DataFrame:
@@ -301,16 +392,11 @@ def _profile(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _inventory(spark: SparkSession, folder: str) -> DataFrame:
-    listed = inventory.list_files(spark, folder)
-    return listed.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
-
-
 def _order_keys(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     orders = trade.trade_table(spark, folder, "orders")
     lines = trade.trade_table(spark, folder, "lineitem")
     return (
-        orders.where("o_orderstatus != 'P'").select(F.col("o_orderkey").alias("order_key")),
+        orders.select(F.col("o_orderkey").alias("order_key")),
         lines.select(F.col("l_orderkey").alias("order_key")),
     )
 
@@ -323,8 +409,21 @@ def _page_paths(spark: SparkSession, folder: str) -> DataFrame:
     return pages.select("page_id", after_marker("url", "/en/").alias("path"))
 
 
-def _money(df: DataFrame) -> DataFrame:
-    return df.withColumn("order_payment_total", F.col("order_payment_total").cast("double"))
+def _odd_headers(df: DataFrame) -> DataFrame:
+    """Names in capitals and between blanks."""
+    return df.toDF(*(f" {name.upper()} " for name in df.columns))
+
+
+def _marked_headers(df: DataFrame) -> DataFrame:
+    """A byte-order mark before the first name, a blank after the last."""
+    first, *middle, last = df.columns
+    return df.toDF("\ufeff" + first, *middle, last + " ")
+
+
+def _whole_prices(s: Silver, **options) -> DataFrame:
+    """Baseline of prices in whole hundreds: few different values, each of them often."""
+    items = s.items().withColumn("price", F.round(F.col("price") / 100) * 100)
+    return dims.compute_baseline_price(items, s.orders(), STUDY_YEAR, **options)
 
 
 # -------------------------------------------------------------------- registry
@@ -349,15 +448,16 @@ def all_queries() -> dict[str, Query]:
             )
         ),
         "payment_totals": s(
-            lambda t: _money(silver.aggregate_order_payment_totals(t.payments()))
+            lambda t: silver.aggregate_order_payment_totals(t.payments())
         ),
         # dimensions
         "clean_customers_gold": s(_customers_gold),
         "category_english": s(_category_english),
         "baseline_price": s(_baseline),
-        "baseline_price_by_ranges": s(lambda t: _baseline(t, values_in_memory=500)),
+        "baseline_price_by_ranges": s(lambda t: _baseline(t, values_per_bucket=500)),
+        "baseline_price_repeated_values": s(lambda t: _whole_prices(t, values_per_bucket=40)),
         "dim_customer": s(Silver.dim_customer),
-        "dim_customer_by_ranges": s(lambda t: t.dim_customer(rows_per_bucket=1000)),
+        "dim_customer_by_ranges": s(lambda t: t.dim_customer(keys_per_bucket=500)),
         "dim_date": s(Silver.dim_date),
         "dim_date_period_report": s(lambda t: dims.period_report(t.dim_date())),
         "dim_product": s(Silver.dim_product),
@@ -374,32 +474,22 @@ def all_queries() -> dict[str, Query]:
             lambda t: facts.clean_fact_review_gold(t.raw("order_reviews"))
         ),
         "fact_review": s(Silver.fact_review),
-        "orphan_reviews": s(lambda t: facts.orphan_reviews(t.reviews(), t.order_keys())),
-        # rules, counted
-        "rule_counts_customers": _counts(_shaped("customers"), checks.customer_rules),
-        "rule_counts_sellers": _counts(_shaped("sellers"), checks.seller_rules),
-        "rule_counts_orders": _counts(Silver.orders, checks.order_rules),
-        "rule_counts_order_items": _counts(Silver.items, checks.order_item_rules),
-        "rule_counts_payments": _counts(_shaped("order_payments"), checks.payment_rules),
-        "rule_counts_products": _counts(Silver.products, checks.product_rules),
-        "rule_counts_reviews": s(_review_counts),
-        "rule_counts_category": _counts(Silver.translation, checks.category_rules),
-        "rule_counts_category_names": _counts(
-            lambda t: t.raw("category_translation"), checks.category_frame_rules
+        "orphan_reviews": s(
+            lambda t: facts.orphan_reviews(t.reviews(), t.published("order_keys"), True)
+        ),
+        # odd headers
+        "clean_payments_odd_headers": s(
+            lambda t: silver.clean_order_payments(
+                _odd_headers(t.raw("order_payments")), order_by=[" SOURCE_ROW "]
+            )
+        ),
+        "clean_products_marked_headers": s(
+            lambda t: silver.clean_products(_marked_headers(t.raw("products")))
         ),
-        "rule_counts_dim_customer": _counts_written(Silver.dim_customer, checks.dim_customer_rules),
-        "rule_counts_dim_date": _counts_written(Silver.dim_date, checks.dim_date_rules, STUDY_YEAR),
-        "rule_counts_dim_product": s(_dim_product_counts),
-        "rule_counts_dim_seller": _counts(Silver.dim_seller, checks.dim_seller_rules),
-        "rule_counts_fact_order": _counts_written(Silver.fact_order, checks.fact_order_rules),
-        "rule_counts_fact_order_item": s(_item_counts),
-        "rule_counts_fact_review": s(_review_fact_counts),
         # rules, row by row
-        "invalid_rows_orders": s(lambda t: checks.order_rules().invalid_rows(t.orders())),
-        "invalid_rows_order_items": s(
-            lambda t: checks.order_item_rules().invalid_rows(t.items())
+        "payment_type_offenders": s(
+            lambda t: checks.payment_type_offenders(_shaped("order_payments")(t))
         ),
-        "invalid_rows_products": s(lambda t: checks.product_rules().invalid_rows(t.products())),
         # logs, profiles, comparisons
         "dq_summary": s(_dq_summary),
         "dq_summary_history": lambda spark, folder: _history(spark, folder, False),
@@ -413,10 +503,27 @@ def all_queries() -> dict[str, Query]:
         "page_paths": _page_paths,
         "table_profile": _profile,
         "export_profile": _exported,
-        "file_inventory": _inventory,
+        "sinks": _sinks,
+        # a run from raw rows to published tables
+        "published_fact_order_item": _published(fixed.GOLD_TABLES["fact_order_item"]),
+        "published_fact_review": _published(fixed.GOLD_TABLES["fact_review"]),
+        "published_summary": _published(
+            fixed.LOG_TABLES["summary"], "dataset", "silver_before", "silver_after",
+            "dropped_rows", "invalid_rows", "dq_pass",
+        ),
+        "published_row_counts": _published(
+            fixed.LOG_TABLES["rowcount"], "dataset", "stage", "row_count"
+        ),
+        "published_invalid_rows": _published(
+            fixed.LOG_TABLES["invalid_rows"], "dataset", "column_name", "rule", "invalid_value"
+        ),
+        "published_invalid_counts": _published(
+            fixed.LOG_TABLES["invalid_summary"], "dataset", "invalid_rows"
+        ),
         "payments_from_csv": _payments_from_csv,
         "reviews_from_csv": _result(_reviews_from_csv),
     }
+    queries |= _rule_queries()
     for name in silver.SHAPES:
         queries[f"invalid_rows_{name}"] = s(
             lambda t, name=name: silver.rejected_values(name, t.raw(name))

@@ -7,7 +7,7 @@ the small side, and it splits the partitions of hot keys in the fact joins.
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -41,27 +41,38 @@ def get_session(
     return builder.getOrCreate()
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Give a foreign session the settings that matter for speed and skew.
-
-    The time zone stays as it is: it belongs to the owner of the session.
-    """
-    for key, value in SETTINGS.items():
-        if key != "spark.sql.session.timeZone":
-            spark.conf.set(key, value)
-    return spark
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder, as named by `spark.checkpoint.dir`.
+    """The scratch folder that driver and executors share: `spark.checkpoint.dir`.
 
-    Only where that setting is missing (a laptop, a test run) a temporary local
-    folder is made and remembered in the session.
+    Where it is unset, a folder of the application below `java.io.tmpdir` serves, but
+    only if driver and executors are one process; a cluster has to name one.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.conf.get("orrery.scratch.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="orrery-")
-        spark.conf.set("orrery.scratch.dir", folder)
+    if folder:
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if not (context.master == "local" or context.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    local = context._jvm.java.lang.System.getProperty("java.io.tmpdir")
+    folder = f"file:{local}/orrery-{context.applicationId}"
+    _gone_at_exit(spark, folder)
     return folder
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; it is removed when the application ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _gone_at_exit(spark, path)
+    return path
+
+
+def _gone_at_exit(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(context._jsc.hadoopConfiguration())
+    # Deletion at exit is only noted for paths that exist.
+    system.mkdirs(place.getParent())
+    if not system.deleteOnExit(place):
+        system.mkdirs(place)
+        system.deleteOnExit(place)
+        system.delete(place, True)

@@ -25,9 +25,11 @@ def read_raw_order_payments(spark: SparkSession, input_path: str) -> DataFrame:
     return read_raw_csv(spark, input_path, fixed.PAYMENT_COLUMNS)
 
 
-def load_reviews(spark: SparkSession, path: str) -> DataFrame:
+def load_reviews(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
     """Reviews; a quoted comment may run over several lines.
 
-    Such a file cannot be split, so deliver reviews as many files of moderate size.
+    Such a file cannot be split, so deliver reviews as many files of moderate size, or
+    say that no comment has `line_breaks`: then a file of any size is read in parts.
     """
-    return spark.read.options(**_QUOTING, multiLine=True, encoding="UTF-8").csv(path)
+    reader = spark.read.schema(text_schema(fixed.REVIEW_COLUMNS))
+    return reader.options(**_QUOTING, multiLine=line_breaks, encoding="UTF-8").csv(path)

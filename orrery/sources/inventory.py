@@ -40,17 +40,20 @@ def is_log_table(name: str) -> bool:
 
 
 def export_tables(
-    spark: SparkSession, folder: str, names: Sequence[str] | None = None
+    spark: SparkSession,
+    folder: str,
+    tables: Sequence[str] | Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Copy tables to parquet (log tables to CSV as well) and return their profile.
 
-    The profile counts the exported copies, where a count reads only file footers.
+    `tables` are names in the catalog (by default all of them) or frames by name.  The
+    profile counts the exported copies, where a count reads only file footers.
     """
-    if names is None:
-        names = [t.name for t in spark.catalog.listTables()]
+    if tables is None:
+        tables = [t.name for t in spark.catalog.listTables()]
     exported = {}
-    for name in names:
-        df = spark.table(name)
+    for name in tables:
+        df = tables[name] if isinstance(tables, Mapping) else spark.table(name)
         target = f"{folder}/{name}.parquet"
         df.write.mode("overwrite").parquet(target)
         if is_log_table(name):
@@ -65,6 +68,7 @@ def convert_exports(
     names: Sequence[str],
     fmt: str,
     suffix: str = "",
+    database: str | None = None,
 ) -> list[str]:
     """Turn every exported parquet copy into a table of another format.
 
@@ -72,7 +76,7 @@ def convert_exports(
     """
     created = []
     for name in names:
-        table = f"{name}{suffix}"
+        table = f"{database}.{name}{suffix}" if database else f"{name}{suffix}"
         overwrite_table(spark.read.parquet(f"{folder}/{name}.parquet"), table, fmt)
         created.append(table)
     return created

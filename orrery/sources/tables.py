@@ -45,18 +45,51 @@ def publish_table(
 
     The plan runs one time.  The check reads the finished staging table, so it scans
     narrow columns instead of running the joins again, and a check that raises leaves
-    the published table as it was.
+    the published table as it was.  The old table is renamed aside and dropped last:
+    a publish that dies between its steps leaves a complete table under one of the two
+    names, and `recover_table`, which the next publish calls first, puts it back.
     """
     spark = df.sparkSession
-    staging = f"{name}__staging"
-    spark.sql(f"DROP TABLE IF EXISTS {_quoted(staging)}")
+    staging, aside = _staging(name), _aside(name)
+    recover_table(spark, name)
+    _drop(spark, staging)
     overwrite_table(df, staging, fmt)
     if check is not None:
         check(spark.table(staging))
-    spark.sql(f"DROP TABLE IF EXISTS {_quoted(name)}")
-    spark.sql(f"ALTER TABLE {_quoted(staging)} RENAME TO {_quoted(name)}")
+    if spark.catalog.tableExists(name):
+        _rename(spark, name, aside)
+    _rename(spark, staging, name)
+    _drop(spark, aside)
     return spark.table(name)
 
 
+def recover_table(spark: SparkSession, name: str) -> bool:
+    """Undo or finish a publish that was cut off; True if there was something to do."""
+    aside = _aside(name)
+    if not spark.catalog.tableExists(aside):
+        return False
+    if spark.catalog.tableExists(name):
+        _drop(spark, aside)
+    else:
+        _rename(spark, aside, name)
+    return True
+
+
+def _staging(name: str) -> str:
+    return f"{name}__staging"
+
+
+def _aside(name: str) -> str:
+    return f"{name}__before"
+
+
+def _drop(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {_quoted(name)}")
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    spark.sql(f"ALTER TABLE {_quoted(old)} RENAME TO {_quoted(new)}")
+
+
 def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
