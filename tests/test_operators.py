@@ -6,8 +6,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from orrery.operators.headers import require_columns, standard_headers, without_bom
+from orrery.operators import keys
 from orrery.operators.keys import dense_key
 from orrery.operators.medians import median_per_key
+from orrery.operators.ranges import RangeBuckets
 from orrery.operators.reconcile import reconcile, reconcile_summary
 from orrery.operators.survivors import distinct_rows, first_per_key
 
@@ -20,7 +22,7 @@ def test_headers(table):
     df = table("a int, b int", (1, 2))
     assert standard_headers(df.toDF(" A ", "B")).columns == ["a", "b"]
     assert without_bom(df.toDF("﻿a", " b")).columns == ["a", "b"]
-    with pytest.raises(ValueError, match="Missing required columns: \\['c'\\]"):
+    with pytest.raises(ValueError, match="t: missing required column.s.: \\['c'\\]"):
         require_columns(df, ["a", "c"], "t")
 
 
@@ -44,10 +46,10 @@ def test_distinct_rows(table):
     assert distinct_rows(table("a int", (1,), (1,), (None,), (None,))).count() == 2
 
 
-@pytest.mark.parametrize("rows_per_bucket", [10_000, 100, 7])
-def test_dense_key_equals_global_row_number(spark, rows_per_bucket):
+@pytest.mark.parametrize("keys_per_bucket", [10_000, 100, 7])
+def test_dense_key_equals_global_row_number(spark, keys_per_bucket):
     df = spark.range(1000).select(F.md5(F.col("id").cast("string")).alias("k"))
-    keyed = dense_key(df, "k", "n", rows_per_bucket=rows_per_bucket)
+    keyed = dense_key(df, "k", "n", keys_per_bucket=keys_per_bucket)
     assert dict(keyed.dtypes)["n"] == "int"
     expected = df.withColumn("e", F.row_number().over(Window.orderBy("k")))
     assert keyed.join(expected, "k").where("n = e").count() == 1000
@@ -59,23 +61,41 @@ def test_dense_key_splits_a_hot_natural_key(spark):
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
         F.col("id").alias("t"),
     )
-    keyed = dense_key(df, "k", "n", tie_breakers=["t"], rows_per_bucket=50)
+    keyed = dense_key(df, "k", "n", tie_breakers=["t"], keys_per_bucket=50)
     ordered = keyed.orderBy("k", "t").select("n")
     assert [r[0] for r in ordered.collect()] == list(range(1, 901))
-    assert "SinglePartition" in plan_of(dense_key(df, "k", "n", ["t"]))
+    # Whatever the size, what meets in one task is a row per bucket.
+    plan = plan_of(dense_key(df, "k", "n", ["t"]))
+    assert "SinglePartition" not in plan or "__rows" in plan[plan.index("SinglePartition"):].split("Exchange")[0]
+
+
+def test_dense_key_type_is_a_parameter(spark, monkeypatch):
+    df = spark.range(10).select("id")
+    assert dict(dense_key(df, "id", "n", key_type="bigint").dtypes)["n"] == "bigint"
+    monkeypatch.setitem(keys._LARGEST, "int", 5)
+    with pytest.raises(Exception, match="does not fit into int"):
+        dense_key(df, "id", "n").collect()
+
+
+def test_buckets_follow_different_keys_not_rows(spark):
+    df = spark.range(2_000_000).select((F.col("id") % 2000).cast("double").alias("v"))
+    buckets = RangeBuckets(df, ["v"], keys_per_bucket=120)
+    assert buckets.wanted == 17 and len(buckets) >= 9
+    sizes = df.groupBy(buckets.number().alias("b")).count().collect()
+    assert len(sizes) == len(buckets) and max(r["count"] for r in sizes) < 2_000_000 // 4
 
 
 def test_dense_key_of_nothing(table):
     assert dense_key(table("k string"), "k", "n").count() == 0
 
 
-@pytest.mark.parametrize("in_memory", [1_000_000, 5])
-def test_median_matches_brute_force(table, in_memory):
+@pytest.mark.parametrize("values_per_bucket", [1_000_000, 5])
+def test_median_matches_brute_force(table, values_per_bucket):
     rng = random.Random(7)
     rows = [(rng.choice("abc"), round(rng.uniform(0, 50), 2)) for _ in range(600)]
     rows += [("hot", float(rng.randint(0, 300))) for _ in range(301)] + [("one", 4.0), ("null", None)]
     medians = median_per_key(
-        table("k string, v double", *rows), "k", "v", "m", values_in_memory=in_memory
+        table("k string, v double", *rows), "k", "v", "m", values_per_bucket=values_per_bucket
     )
     got = {r["k"]: r["m"] for r in medians.collect()}
     for key in ("a", "b", "c", "hot", "one"):

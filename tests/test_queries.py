@@ -8,10 +8,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+import oracle
+from orrery.queries import all_queries
 from orrery.sources.trade import TABLES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, STATEMENTS = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, STATEMENTS = all_queries(), oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -33,8 +35,9 @@ def comparable(rows, columns) -> list[tuple]:
 
 
 def test_registry():
-    assert set(STATEMENTS) <= set(QUERIES)
-    assert set(QUERIES) - set(STATEMENTS) == {"file_inventory"}
+    assert set(STATEMENTS) == set(QUERIES)
+    assert QUERIES.keys() <= entry_module.queries().keys()
+    assert STATEMENTS.keys() <= entry_module.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", sorted(STATEMENTS))
@@ -46,10 +49,5 @@ def test_query_equals_sql(spark, duck, name):
     assert comparable(df.collect(), df.columns) == comparable(answer.fetchall(), columns)
 
 
-def test_file_inventory(spark):
-    files = {r["file"] for r in QUERIES["file_inventory"](spark, SF).collect()}
-    assert {f"{name}.parquet" for name in TABLES} <= files
-
-
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0

@@ -96,7 +96,7 @@ def test_same_size(table):
 
 def test_schema_comes_first(table):
     report = rules().report(table("id int", (1,)))
-    assert report.row_count is None and "Missing required columns: ['code', 'n']" in report.errors[0]
+    assert report.row_count is None and "missing required column(s): ['code', 'n']" in report.errors[0]
 
 
 def test_one_job_reads_the_table_once_per_branch(spark, df, tmp_path):

@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from orrery import fixed
 from orrery.operators import quality_log
-from orrery.plans import runs, silver
-from orrery.session import get_session, shared_folder, tune
+from orrery.plans import facts, runs, silver
+from orrery.session import get_session, scratch, shared_folder
 from orrery.sources import files, inventory, tables
 
 SF = "/root/testdata/sf0.001"
@@ -42,35 +42,84 @@ def test_publish_keeps_the_old_table_when_the_check_fails(spark, table):
     assert values(spark.table("p"), "a") == [3]
 
 
+class Killed(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", range(6))
+def test_a_publish_killed_between_its_steps_leaves_a_table(spark, table, monkeypatch, step):
+    tables.publish_table(table("a int", (1,)), "p")
+    calls = {"n": 0}
+
+    def killed_before(step_function):
+        def call(*args):
+            calls["n"] += 1
+            if calls["n"] > step:
+                raise Killed
+            return step_function(*args)
+
+        return call
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_drop", killed_before(tables._drop))
+        m.setattr(tables, "_rename", killed_before(tables._rename))
+        try:
+            tables.publish_table(table("a int", (2,)), "p")
+        except Killed:
+            pass
+    tables.recover_table(spark, "p")
+    assert values(spark.table("p"), "a") in ([1], [2])
+    tables.publish_table(table("a int", (3,)), "p")
+    assert values(spark.table("p"), "a") == [3] and not spark.catalog.tableExists("p__before")
+
+
 # ---------------------------------------------------------------------- files
+def write_payments(folder, **files):
+    for name, lines in files.items():
+        (folder / f"{name}.csv").write_text("\n".join([",".join(fixed.PAYMENT_COLUMNS), *lines, ""]))
+
+
+def test_the_first_payment_in_file_order_survives(spark, tmp_path):
+    """A small first file with one copy, a large second file with another."""
+    key, rest = "7" * 32, [f"{k:032d},1,voucher,1,{k}" for k in range(3000)]
+    write_payments(tmp_path, a=[f"{key},1,boleto,1,10"], b=[*rest, f"{key},1,voucher,1,99", f"{key},1,debit_card,1,5"])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("2k", "64m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            clean = silver.clean_order_payments(files.read_raw_order_payments(spark, str(tmp_path)))
+            assert clean.count() == 3001
+            assert [tuple(r)[2:] for r in clean.where(F.col("order_id") == key).collect()] == [("boleto", 1, 10.0)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_rows_that_are_not_read_from_files_need_an_order(table):
+    df = table(strings(fixed.PAYMENT_COLUMNS), ("7" * 32, "1", "boleto", "1", "1"))
+    with pytest.raises(ValueError, match="order_by"):
+        silver.clean_order_payments(df)
+
+
 def test_payments_csv(spark, tmp_path):
-    a = "a" * 32
-    source = tmp_path / "payments.csv"
-    source.write_text(
-        '"order_id","payment_sequential","payment_type","payment_installments","payment_value"\n'
-        f'"{a}",1,credit_card,0,"10.5"\n"{a}",1,boleto,1,99\n"{a}",2,voucher,abc,1\n'
-    )
-    raw = files.read_raw_order_payments(spark, str(source))
-    assert set(dict(raw.dtypes).values()) == {"string"} and raw.count() == 3
+    key = "30" * 16
+    write_payments(tmp_path, only=[f'"{key}",4,debit_card,3,"12.75"', f'"{key}",5,voucher,two,1'])
+    raw = files.read_raw_order_payments(spark, str(tmp_path))
+    assert set(dict(raw.dtypes).values()) == {"string"} and raw.count() == 2
     out = str(tmp_path / "out")
-    clean = runs.clean_order_payments_path(spark, str(source), out, output_format="orc")
-    assert [tuple(r) for r in clean.collect()] == [(a, 1, "credit_card", 1, 10.5)]
+    clean = runs.clean_order_payments_path(spark, str(tmp_path / "only.csv"), out, output_format="orc")
+    assert [tuple(r) for r in clean.collect()] == [(key, 4, "debit_card", 3, 12.75)]
     assert spark.read.orc(out).count() == 1
-    assert runs.clean_order_payments_path(spark, str(source)).count() == 1
+    assert runs.clean_order_payments_path(spark, str(tmp_path / "only.csv")).count() == 1
 
 
-def test_reviews_csv_keeps_quoted_line_breaks(spark, tmp_path):
-    source = tmp_path / "reviews.csv"
-    source.write_text(
-        ",".join(f'"{c}"' for c in fixed.REVIEW_COLUMNS) + "\n"
-        '"r1","o1",5,"say ""hi""","Muito bom\nchegou","2018-01-18 00:00:00","2018-01-18 21:46:59"\n'
-    )
-    df = files.load_reviews(spark, str(source))
-    assert df.count() == 1
-    row = silver.clean_reviews(df).first()
-    assert (row["review_comment_title"], row["review_comment_message"]) == (
-        'say "hi"', "Muito bom chegou",
-    )
+@pytest.mark.parametrize("line_breaks", [True, False])
+def test_reviews_csv(spark, tmp_path, line_breaks):
+    message = "first line\nand \"\"quoted\"\" words" if line_breaks else "one line and \"\"quoted\"\" words"
+    (tmp_path / "r.csv").write_text(",".join(fixed.REVIEW_COLUMNS) + f'\nrev,ord,3,Tidy,"{message}",2018-03-01 00:00:00,2018-03-02 10:00:00\n')
+    df = files.load_reviews(spark, str(tmp_path / "r.csv"), line_breaks=line_breaks)
+    assert df.columns == list(fixed.REVIEW_COLUMNS) and df.count() == 1
+    text = silver.clean_reviews(df).first()["review_comment_message"]
+    assert text == message.replace("\n", " ").replace('""', '"')
 
 
 def test_inventory_export_and_conversion(spark, table, tmp_path):
@@ -121,45 +170,51 @@ def test_invalid_row_log(spark, table):
 
 
 # ------------------------------------------------------------------------ runs
-def test_all_runs_from_raw_to_gold(spark):
-    """Silver and Gold from the trade tables, through the catalog."""
-    from orrery.queries import Silver
+def test_facts_with_unknown_keys_stop_a_run_unless_they_are_to_be_dropped(spark):
+    from orrery.queries import STUDY_YEAR, Silver
 
     s = Silver(spark, SF)
-    good = "CAST(customer_zip_code_prefix AS STRING) RLIKE '^[0-9]{4,5}$'"
-    raw = {
-        "customers": s.raw("customers").where(good),
-        "sellers": s.raw("sellers"),
-        "orders": s.raw("orders"),
-        "order_items": s.raw("order_items"),
-        "order_payments": s.raw("order_payments"),
-        "products": s.raw("products").dropDuplicates(["product_id"]),
-        "order_reviews": s.raw("order_reviews"),
-        "product_category": s.raw("category_translation"),
-    }
-    silver_tables = runs.run_all_silver(spark, raw)
-    assert silver_tables["orders"].count() == raw["orders"].count()
-    calendar = runs.run_dim_date(spark, start_date="1995-01-01", end_date="2001-12-31")
-    assert calendar.count() == 2557
-    people = runs.run_dim_customer(spark)
-    assert people.count() == people.select("customer_key").distinct().count() > 0
-    runs.run_dim_product(spark)
-    assert runs.run_dim_seller(spark).count() == 9
-    facts_written = runs.run_fact_order(spark)
-    assert facts_written.count() == spark.table("silver_orders").where("customer_id IS NOT NULL").count()
-    # One seller was dropped for its zip code, and some reviews name unknown orders.
+    raw = {name: s.raw(name) for name in silver.SHAPES}
+    raw["product_category"] = s.raw("category_translation")
+    runs.run_all_silver(spark, raw, cleaners={"order_payments": lambda df: silver.clean_order_payments(df, order_by=["source_row"])})
+    for name in silver.SHAPES:
+        assert spark.catalog.tableExists(f"quarantine_{name}")
+    calendar = ("1995-01-01", "2001-12-31")
     with pytest.raises(ValueError, match="Order items without a known order"):
-        runs.run_fact_order_item(spark)
-    with pytest.raises(ValueError, match="order_date_key"):
-        runs.run_fact_review(spark)
+        runs.run_all_gold(spark, calendar=calendar, study_year=STUDY_YEAR)
     assert not spark.catalog.tableExists(fixed.GOLD_TABLES["fact_order_item"])
+    gold = runs.run_all_gold(spark, orphans="drop", calendar=calendar, study_year=STUDY_YEAR)
+    items = gold["fact_order_item"]
+    assert items.count() > 0 and items.where("seller_key IS NULL OR product_key IS NULL").isEmpty()
+    lost = spark.table(f"quarantine_{fixed.GOLD_TABLES['fact_order_item']}")
+    accepted = facts.clean_fact_order_item(spark.table("silver_order_items"))
+    assert lost.count() + items.count() == accepted.count()
     summary = {r["dataset"]: r for r in runs.run_summary(spark).collect()}
-    assert summary["order_payments"]["dropped_rows"] > 0 and summary["orders"]["dq_pass"]
+    for name in silver.SHAPES:
+        assert summary[name]["invalid_rows"] == spark.table(f"quarantine_{name}").count()
 
 
 def test_sessions(spark):
     assert get_session() is not None
-    tune(spark)
-    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
     folder = shared_folder(spark)
     assert shared_folder(spark) == folder
+    path = scratch(spark, "x")
+    assert path.startswith(folder) and scratch(spark, "x") != path
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_a_cluster_has_to_name_its_folder():
+    class Context:
+        master = "spark://somewhere:7077"
+
+    class Session:
+        sparkContext = Context
+
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session)
