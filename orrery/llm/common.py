@@ -1,41 +1,20 @@
-"""Shared scratch tables and small helpers of the training-data operators."""
+"""Scratch tables and small helpers of the training-data operators."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from orrery.session import scratch
+
 #: White space that separates words: space and the five ASCII control characters from tab to carriage return.
 SPACES = " \t\n\x0b\x0c\r"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Where it is unset a temporary folder serves, but only if driver and executors are one process.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    master = spark.sparkContext.master
-    if not (master == "local" or master.startswith("local[")):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    folder = tempfile.mkdtemp(prefix="orrery-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
 def settled(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared folder and read back; the files go when the session ends."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    """``df`` written once to the shared folder and read back; the files go when the application ends."""
+    path = scratch(df.sparkSession, "settled")
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

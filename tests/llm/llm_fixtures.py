@@ -1,3 +1,5 @@
+"""Documents with edge cases; imported by the tests that use them."""
+
 import pytest
 
 

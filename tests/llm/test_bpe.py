@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from llm_fixtures import docs, none  # noqa: F401
 from orrery.llm import bpe
 
 PATH = public_tokenizers.path("word_bpe_49k.json")

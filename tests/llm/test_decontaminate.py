@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from llm_fixtures import docs, none  # noqa: F401
 from orrery.llm import decontaminate as d
 
 

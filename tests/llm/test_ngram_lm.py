@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from llm_fixtures import docs, none  # noqa: F401
 from orrery.llm import ngram_lm
 
 

@@ -3,6 +3,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from llm_fixtures import docs, none  # noqa: F401
 from orrery.llm import quality
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")

@@ -5,6 +5,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from llm_fixtures import docs, none  # noqa: F401
 from orrery.llm import simhash
 from orrery.llm.components import components
 
