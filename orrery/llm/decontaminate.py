@@ -53,7 +53,7 @@ def tokens_of(text: str | None, known: dict) -> np.ndarray:
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15 | 1)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
     return h ^ (h >> np.uint64(32))
 
 

@@ -35,10 +35,9 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _RAW = frozenset("script style textarea title xmp noembed noframes".split())
 _INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 _PROSE = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote ul ol dl table figure".split())
-_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _NEVER = frozenset("nav aside footer form head noscript template svg math iframe object canvas audio video select button dialog menu applet".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
-_MARKED = frozenset("ad ads advert adverts advertisement adverts advertising sponsor sponsored promo comment comments disqus cookie cookies consent gdpr sidebar navbar nav menu breadcrumb breadcrumbs share sharing social newsletter subscribe popup modal related notice toolbar pagination".split())
+_MARKED = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo comment comments disqus cookie cookies consent gdpr sidebar navbar nav menu breadcrumb breadcrumbs share sharing social newsletter subscribe popup modal related notice toolbar pagination".split())
 _MARKED_OUTSIDE = _MARKED | frozenset("header masthead footer banner topbar widget".split())
 #: An end tag closes open elements down to its own; these start tags close an open element of the same list.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "p": {"p"}}
