@@ -138,10 +138,14 @@ def base_failed(m: Column) -> Column:
 
 
 def limits_of(found: DataFrame, measures_col: str, lang_col: str, source_col: str) -> DataFrame:
-    """Fences from the documents of ``found`` that pass the base rule."""
+    """Fences from the documents of ``found`` that pass the base rule.
+
+    They are written, so that Spark knows their size when it plans the join and broadcasts them if they are
+    small: then no text is shuffled for them.
+    """
     m = F.col(f"`{measures_col}`")
     strata = found.where(~base_failed(m)).select(F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), m.alias("measures"))
-    return fences(settled(sketches(strata, "lang", "source")))
+    return settled(fences(settled(sketches(strata, "lang", "source"))))
 
 
 def with_verdict(found: DataFrame, limits: DataFrame, measures_col: str, verdict_col: str, lang_col: str, source_col: str) -> DataFrame:
