@@ -279,15 +279,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.drop("text_hash").join(roots.join(named, "root").select("fp", "component_id"), "fp")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = BUDGET) -> DataFrame:
-    """One row of each component stays, with all its columns: that with the smallest id.
+def first_of_each(docs: DataFrame, marked: DataFrame, roots: DataFrame, id_col: str, text_col: str, key: str = "fp") -> DataFrame:
+    """The rows of ``docs`` that lead the groups of ``roots`` (key, root); ``marked`` has (id, text_hash, key) of each row.
 
-    Null ids come last. Among rows with one id and component the smallest text hash stays, and of rows that
-    also agree in text one with the smallest hash of all columns (of equal rows, any). An empty table stays empty.
+    Null ids come last. Among rows with one id and group the smallest text hash stays, and of rows that
+    also agree in text one with the smallest hash of all columns (of equal rows, any).
     """
-    marked, roots = _classes(docs, id_col, text_col, budget, PER_TRIE)
-    lead = marked.groupBy("fp").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "text_hash")).alias("lead"))
-    lead = roots.join(lead, "fp").groupBy("root").agg(F.min("lead").alias("lead")).select("lead.id", "lead.text_hash").distinct()
+    lead = marked.groupBy(key).agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "text_hash")).alias("lead"))
+    lead = roots.join(lead, key).groupBy("root").agg(F.min("lead").alias("lead")).select("lead.id", "lead.text_hash").distinct()
     names = {c: free_name(docs, f"{c}_") for c in ("id", "text_hash", "at")}
     lead = lead.withColumnsRenamed(names)
     same = F.col(id_col).eqNullSafe(F.col(names["id"])) & (F.xxhash64(text_col) == F.col(names["text_hash"]))
@@ -297,6 +296,15 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     return found.where(F.col(names["at"]) == 1).drop(*names.values())
 
 
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = BUDGET) -> DataFrame:
+    """One row of each component stays, with all its columns: that with the smallest id.
+
+    Ties are settled as ``first_of_each`` says. An empty table stays empty.
+    """
+    marked, roots = _classes(docs, id_col, text_col, budget, PER_TRIE)
+    return first_of_each(docs, marked, roots, id_col, text_col)
+
+
 def op10(spark, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
