@@ -4,11 +4,14 @@ Each page is cut into blocks of text and the elements around them. Every element
 tag and contents; Spark counts, per host, the pages on which a hash occurs, and subtrees that recur on many
 are deleted as site template. Pages with one main text count once, so that copies of a page are no template.
 Marks in the page complete this where counts cannot tell (small hosts, texts that vary from page to page):
-navigation, footers, forms, scripts and the like are deleted by tag, role or class, and an article or main
-element, where there is one, limits the text to itself.
-
-Inside an article or main element, headings, paragraphs, lists, quotations and tables are never template:
-a paragraph may be shared by many pages (a licence, a quotation) and still be part of each.
+navigation, footers, forms, scripts and the like are deleted by tag, role or class. Nothing else goes: text
+outside an article or main element stays if it does not recur on its host.
+
+Article and main elements are hints. Inside them, headings, paragraphs, lists, quotations and tables are never
+template: a paragraph may be shared by many pages (a licence, a quotation) and still be part of each. An
+article that holds less than half of the text of its page's article and main elements is a card or a list
+entry and, as a whole, template like any other subtree. Subtrees in these elements are counted by the
+different texts of such elements, others by the different texts of whole pages.
 """
 
 from __future__ import annotations
@@ -48,13 +51,14 @@ _CUT_OFF = re.compile(r"<[a-zA-Z/!?][^<]*\Z", re.S)
 
 
 class _Element:
-    __slots__ = ("tag", "children", "drop", "inside", "up", "prose", "hash")
+    __slots__ = ("tag", "children", "drop", "inside", "up", "prose", "hash", "size")
 
     def __init__(self, tag: str, up: _Element | None, drop: bool, inside: str):
         self.tag, self.up, self.drop, self.inside = tag, up, drop, inside
         self.children: list[bytes] = []
         self.prose = tag in _PROSE
         self.hash = 0
+        self.size = 0
 
 
 def _marked(tag: str, attributes: str, inside: bool) -> bool:
@@ -73,21 +77,31 @@ def _marked(tag: str, attributes: str, inside: bool) -> bool:
 
 
 class Page:
-    """blocks: (text, hashes of the deletable subtrees around it); found: hashes of all deletable subtrees."""
+    """whole: (text, hashes of the deletable subtrees around it) of all blocks that no mark deletes; blocks: those
+    in article or main elements, or all if none is; found: hashes of all deletable subtrees; outer: those of
+    them that stand outside article and main elements."""
 
     def __init__(self, source: str):
         self.open: list[_Element] = [_Element("", None, False, "")]
         self.all: list[tuple[str, _Element]] = []
         self.found: set[int] = set()
+        self.outer: set[int] = set()
+        self.articles: list[tuple[_Element, int]] = []
         self.parts: list[str] = []
         self.tags: Counter[str] = Counter()
         self._read(source)
         self._flush()
         while len(self.open) > 1:
             self._close()
-        inside = {e.inside for _, e in self.all if not e.drop}
-        region = "article" if "article" in inside else "main" if "main" in inside else ""
-        self.blocks = [(t, self._around(e)) for t, e in self.all if not e.drop and e.inside == region or not e.drop and not region]
+        kept = [(t, e) for t, e in self.all if not e.drop]
+        hinted = [(t, e) for t, e in kept if e.inside]
+        size = sum(len(t) for t, _ in hinted)
+        for e, digest in self.articles:
+            if 2 * e.size < size:
+                e.hash = digest
+                self.found.add(digest)
+        self.whole = [(t, self._around(e)) for t, e in kept]
+        self.blocks = [(t, self._around(e)) for t, e in hinted] or self.whole
 
     def _deletable(self, e: _Element) -> bool:
         if e.tag in ("", "html", "body", "article", "main") or (e.drop and e.up.drop):
@@ -109,6 +123,7 @@ class Page:
             if text:
                 e = self.open[-1]
                 e.children.append(xxhash.xxh64_digest(text))
+                e.size += 0 if e.drop else len(text)
                 self.all.append((text, e))
 
     def _start(self, tag: str, attributes: str) -> None:
@@ -128,11 +143,16 @@ class Page:
         digest = xxhash.xxh64_digest(e.tag.encode() + b"".join(e.children))
         up = self.open[-1]
         up.children.append(digest)
+        up.size += e.size
         if e.prose and e.inside == up.inside:
             up.prose = True
         if e.children and self._deletable(e):
             e.hash = int.from_bytes(digest, "big", signed=True)
             self.found.add(e.hash)
+            if not e.inside:
+                self.outer.add(e.hash)
+        elif e.tag == "article" and not e.drop:
+            self.articles.append((e, int.from_bytes(digest, "big", signed=True)))
 
     def _read(self, source: str) -> None:
         at, n = 0, len(source)
@@ -179,8 +199,8 @@ class Page:
                 self._start(tag, m[3])
 
 
-def _article_hash(page: Page) -> int:
-    return xxhash.xxh64_intdigest("\n".join(t for t, _ in page.blocks)) - (1 << 63)
+def _text_hash(blocks: list[tuple[str, list[int]]]) -> int:
+    return xxhash.xxh64_intdigest("\n".join(t for t, _ in blocks)) - (1 << 63)
 
 
 def templates(pages: DataFrame, html_col: str = "html", url_col: str = "url", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
@@ -192,9 +212,9 @@ def templates(pages: DataFrame, html_col: str = "html", url_col: str = "url", mi
             for site, source in zip(hosts, b.column(1).to_pylist(), strict=True):
                 page = Page(source)
                 found = [0, *page.found]  # 0 stands for the page itself
-                body = _article_hash(page)
+                inner, outer = _text_hash(page.blocks), _text_hash(page.whole)
                 sites += [site] * len(found)
-                bodies += [body] * len(found)
+                bodies += [outer if h == 0 or h in page.outer else inner for h in found]
                 hashes += found
             yield pa.RecordBatch.from_arrays([pa.array(sites, pa.string()), pa.array(bodies, pa.int64()), pa.array(hashes, pa.int64())], ["host", "body", "hash"])
 
@@ -216,7 +236,7 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [Page(x).blocks for x in b.column(4).to_pylist()]
+            found = [Page(x).whole for x in b.column(4).to_pylist()]
             texts = pa.array([[t for t, _ in x] for x in found], pa.list_(pa.string()))
             around = pa.array([[a for _, a in x] for x in found], pa.list_(pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays([*b.columns[:4], texts, around], names)

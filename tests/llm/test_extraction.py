@@ -64,3 +64,24 @@ def test_deep_and_long_pages_are_read_whole():
     assert texts(deep) == "bottom"
     many = "<article>" + "".join(f"<p>para {k}" for k in range(20_000)) + "</article>"
     assert len(extraction.Page(many).blocks) == 20_000
+
+
+def test_text_outside_an_article_stays_unless_it_recurs(spark):
+    cards = "<div><article><h3>Latest</h3><p>teaser of the week</p></article><article><p>another card</p></article></div>"
+    in_main = "<div><div>Home</div><div>News</div></div><main><p>the long story of day {0}</p></main>" + cards
+    in_divs = "<div><div>Home</div><div>News</div></div><div><div>the long story of day {0}</div></div>" + cards
+    around = "<div><div>Home</div><div>Prices</div></div><article><p>story {0}</p></article><div>what happened after story {0}</div><div>Imprint</div>"
+    nested = "<main><p>intro of page {0} with all that it says</p>" + cards + "</main>"
+    rows = [page(1000 * h + k, shell.format(k), f"h{h}.example") for h, shell in enumerate((in_main, in_divs, around, nested)) for k in range(10)]
+    got = run(spark, rows)
+    assert got[3] == "the long story of day 3"
+    assert got[1003] == "the long story of day 3"
+    assert got[2003] == "story 3\nwhat happened after story 3"
+    assert got[3003] == "intro of page 3 with all that it says"
+
+
+def test_an_article_stays_on_its_own_page(spark):
+    story = "<article><p>the whole story, which a number of other pages show as well</p></article>"
+    lists = [page(k, f"<main><p>list {k}: {'a long introduction ' * 9}</p>{story}</main>") for k in range(9)]
+    got = run(spark, [*lists, page(50, f"<main>{story}</main>")])
+    assert got[50].startswith("the whole story") and got[3].endswith("introduction")
