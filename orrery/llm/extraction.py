@@ -30,9 +30,11 @@ from pyspark.sql import types as T
 from orrery.llm import urls
 from orrery.llm.common import table
 
-#: A subtree is template if it recurs on this many different pages of its host and on this share of them.
+#: A subtree is template if it recurs on this many different pages of its host and on this share of them, or on
+#: ``MANY_PAGES`` whatever the size of the host, so that the sections of a large host lose their templates.
 MIN_PAGES = 5
 MIN_SHARE = 0.05
+MANY_PAGES = 20
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title xmp noembed noframes".split())
@@ -204,7 +206,7 @@ def _text_hash(blocks: list[tuple[str, list[int]]]) -> int:
 
 
 def templates(pages: DataFrame, html_col: str = "html", url_col: str = "url", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, hash): subtrees that recur on at least ``min_pages`` pages with different main texts and on ``min_share`` of a host's."""
+    """(host, hash): subtrees that recur on at least ``min_pages`` pages with different main texts and on ``min_share`` of a host's or on ``MANY_PAGES``."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -222,7 +224,7 @@ def templates(pages: DataFrame, html_col: str = "html", url_col: str = "url", mi
     each = source.mapInArrow(of_batches, "host string, body long, hash long").distinct()
     counts = each.groupBy("host", "hash").agg(F.count("*").alias("n"))
     total = counts.where("hash = 0").select(F.col("host").alias("site"), F.col("n").alias("pages"))
-    return counts.where(f"hash <> 0 AND n >= {min_pages}").join(total, F.col("host") == F.col("site")).where(F.col("n") >= F.col("pages") * min_share).select("host", "hash")
+    return counts.where(f"hash <> 0 AND n >= {min_pages}").join(total, F.col("host") == F.col("site")).where((F.col("n") >= F.col("pages") * min_share) | (F.col("n") >= MANY_PAGES)).select("host", "hash")
 
 
 def main_texts(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", url_col: str = "url", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:

@@ -85,3 +85,12 @@ def test_an_article_stays_on_its_own_page(spark):
     lists = [page(k, f"<main><p>list {k}: {'a long introduction ' * 9}</p>{story}</main>") for k in range(9)]
     got = run(spark, [*lists, page(50, f"<main>{story}</main>")])
     assert got[50].startswith("the whole story") and got[3].endswith("introduction")
+
+
+def test_sections_of_a_large_host_lose_their_templates(spark):
+    shell = "<div><div>Menu of section {0}</div><div>Notice of section {0}</div></div><div><div>story {1}</div></div>"
+    rows = [page(k, shell.format(k // 30, k)) for k in range(3000)]  # a section is 1 % of the host
+    rows += [page(5000 + k, shell.format(0, k), "small.example") for k in range(30)]
+    got = run(spark, rows)
+    assert {k: got[k] for k in range(3000)} == {k: f"story {k}" for k in range(3000)}
+    assert got[5003] == "story 3"
