@@ -1,18 +1,19 @@
 """Proportional stratified interleaving: rows dealt into shards so that each shard has the mixture of the whole.
 
 Rows are shuffled by a seeded hash and ranked within their stratum. Rank k of n becomes the fraction
-(k + 1/2) / n, and rows are lined up by fraction, so at any point of the line every stratum is used up in
-proportion. The line is cut into shards whose row counts differ by one at most (the law ``rows``).
+(k + u) / n with a seeded hash u of the stratum in [0, 1), and rows are lined up by fraction, so at any point
+of the line every stratum is used up in proportion, and strata with a row or two are spread over the line.
+The line is cut into shards whose row counts differ by one at most (the law ``rows``).
 
-Neither rank is taken in one task: hash values and fractions are spread evenly by construction, so fixed
-ranges of them are buckets of like size, ranked on their own and shifted by the counts of the buckets
-before. The number of buckets follows the row count. Equal rows are folded to one with a count first, so
+Neither rank is taken in one task: hash values and fractions are spread evenly, so fixed ranges of them are
+buckets of like size, ranked on their own and shifted by the counts of the buckets before. The query op4 takes
+1/2 for every u, as its SQL does: there all strata of one row fall into one bucket. The number of buckets follows the row count. Equal rows are folded to one with a count first, so
 copies share no bucket's burden.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orrery.llm.common import settled, table
@@ -28,12 +29,19 @@ def _bits(rows: int) -> int:
     return min(28, max(0, (rows // ROWS_PER_BUCKET).bit_length()))
 
 
-def deal(rows: DataFrame, shards: int, stratum_col: str = "source", seed: str = SEED) -> DataFrame:
+def _offset(stratum: Column, seed: str) -> Column:
+    """A number in [0, 1) that depends on the seed and the stratum; a null stratum has its own."""
+    digest = F.md5(F.concat_ws(":", F.lit(seed), stratum.isNull().cast("string"), F.coalesce(stratum.cast("string"), F.lit(""))))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / float(1 << 32)
+
+
+def deal(rows: DataFrame, shards: int, stratum_col: str = "source", seed: str = SEED, centred: bool = False) -> DataFrame:
     """``rows`` with shard (int, 0 to shards - 1) and slot (long, gapless from 0 in each shard).
 
     Every column of ``rows`` must allow grouping; all of them decide the shuffled order, so the result
     depends on content alone. Nulls are values like any other, in the stratum as well. Equal rows get
-    neighbouring ranks. An empty table gives an empty result; a column named like a working column
+    neighbouring ranks. ``centred`` puts every stratum's rows at (rank + 1/2) / n, small strata on the same few
+    points of the line. An empty table gives an empty result; a column named like a working column
     (prefix ``_d_``) is not allowed, one named shard or slot neither.
     """
     clash = [c for c in rows.columns if c.lower() in ("shard", "slot") or c.startswith("_d_")]
@@ -58,7 +66,7 @@ def deal(rows: DataFrame, shards: int, stratum_col: str = "source", seed: str =
     ranked = ranked.withColumn("_d_first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_d_n") - 1, F.lit(_COPIES_AT_ONCE).cast("long"))))
     ranked = ranked.withColumn("_d_copy", F.explode(F.sequence("_d_first", F.least(F.col("_d_first") + _COPIES_AT_ONCE - 1, F.col("_d_n") - 1))))
     rank = F.col("_d_skip") + F.col("_d_ahead") + F.col("_d_copy")
-    lined = ranked.select(*own, rank.alias("_d_rank"), ((rank + 0.5) / F.col("_d_all")).alias("_d_at"))
+    lined = ranked.select(*own, rank.alias("_d_rank"), ((rank + (F.lit(0.5) if centred else _offset(stratum, seed))) / F.col("_d_all")).alias("_d_at"))
     lined = lined.withColumn("_d_part", F.floor(F.col("_d_at") * (1 << bits)))
 
     parts = lined.groupBy(F.col("_d_part").alias("_d_p")).count()
@@ -83,7 +91,7 @@ def op4(spark, sf_dir: str) -> DataFrame:
     whole = F.coalesce("text", F.lit(""))
     narrow = docs.select("doc_id", "source", (F.octet_length(whole) + 16).cast("long").alias("size"), F.crc32(whole.cast("binary")).alias("text_crc32"))
     none = F.lit(None).cast("int")
-    return deal(narrow, SHARDS).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", none.alias("grown_shard"), "source")
+    return deal(narrow, SHARDS, centred=True).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", none.alias("grown_shard"), "source")
 
 
 #: The table of CRC-32 is built from its polynomial; the checksum then folds the bytes of the text.

@@ -44,3 +44,10 @@ def test_shards_are_written_whole(docs, tmp_path, spark):
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == docs.count()
     assert sorted(map(str, (r.text for r in back.collect()))) == sorted(map(str, (r.text for r in docs.collect())))
+
+
+def test_many_sources_of_one_row_spread_over_shards_and_buckets(spark, monkeypatch):
+    df = spark.range(6000).select("id", F.when(F.col("id") < 2000, F.concat(F.lit("site"), "id")).otherwise(F.concat(F.lit("s"), F.col("id") % 4)).alias("source"))
+    monkeypatch.setattr(sharding, "ROWS_PER_BUCKET", 500)
+    small = Counter(r.shard for r in sharding.deal(df, 40).collect() if r.id < 2000)
+    assert len(small) == 40 and min(small.values()) > 25 and max(small.values()) < 75
