@@ -11,8 +11,10 @@ them. The filter has a fixed size; a larger benchmark lets more hashes through,
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +25,9 @@ from pyspark.sql import types as T
 
 from orrery.llm.common import free_name, settled, table
 
-#: Seeds of weight 6; the first is contiguous, the others ignore up to half of what they span.
-MASKS = ("111111", "11011011", "1101001011", "11100100101")
+#: Seeds of weight 6; the first is contiguous, the others ignore up to half of what they span. Whatever three of
+#: 15 tokens are substituted, one of them fits around these.
+MASKS = ("111111", "11011011", "1101001011", "11100100101", "1010100111")
 SPAN = max(map(len, MASKS))
 WINDOW = 15
 SHARE = 0.8
@@ -33,7 +36,7 @@ MIN_TOKENS = 5
 FILTER_BITS = 25
 _LONGS = T.ArrayType(T.LongType())
 _WORD = re.compile(r"[^\W_]+")
-_ODD = [int(xxhash.xxh64_intdigest(f"seed {i}")) | 1 for i in range(SPAN + 2)]
+_ODD = [int(xxhash.xxh64_intdigest(f"seed {i}")) | 1 for i in range(max(SPAN, WINDOW) + 2)]
 
 
 class _Hashes(dict):
@@ -69,9 +72,15 @@ def seed_hashes(tokens: np.ndarray, mask: str, number: int) -> np.ndarray:
     return _mixed(h)
 
 
+def _whole_masks(n: int) -> list[str]:
+    """Masks over all ``n`` tokens of a short item, one for each choice of substituted tokens that ``SHARE`` allows."""
+    ignored = n - math.ceil(SHARE * n - 1e-9)
+    return ["".join("0" if i in gone else "1" for i in range(n)) for gone in combinations(range(n), ignored)]
+
+
 def _all_seeds(tokens: np.ndarray, short: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, hashes) for every mask, and contiguous ones of the lengths in ``short`` for items that fit no mask."""
-    masks = [*enumerate(MASKS), *((100 + n, "1" * n) for n in short)]
+    """(positions, hashes) for every mask, and those over whole items for the lengths in ``short``."""
+    masks = [*enumerate(MASKS), *((1000 * n + j, m) for n in short for j, m in enumerate(_whole_masks(n)))]
     found = [seed_hashes(tokens, m, k) for k, m in masks]
     return np.concatenate([np.arange(len(h), dtype=np.int64) for h in found]), np.concatenate(found)
 
@@ -91,7 +100,7 @@ def _test_items(tests: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _keys(items: DataFrame) -> DataFrame:
-    """(item, at, key): seeds of each item; an item no mask fits has one of its whole length."""
+    """(item, at, key): seeds of each item; an item shorter than a window also has those over its whole length."""
     schema = items.select("item").schema.add("n", "integer").add("at", _LONGS).add("keys", _LONGS)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +108,7 @@ def _keys(items: DataFrame) -> DataFrame:
             at, keys, size = [], [], []
             for t in b.column(1):
                 toks = t.values.to_numpy(zero_copy_only=False).view(np.uint64)
-                short = len(toks) if len(toks) < SPAN else 0
+                short = len(toks) if len(toks) < WINDOW else 0
                 a, k = _all_seeds(toks, (short,) if short else ())
                 at.append(a)
                 keys.append(k.view(np.int64))
@@ -177,7 +186,7 @@ def _found(docs: DataFrame, tests: DataFrame, id_col: str, text_col: str, item_c
     """(doc, text_hash, item, equal, compared, at): the best verified window of each text and item."""
     items = settled(_test_items(tests, item_col, test_text_col))
     keys = settled(_keys(items))
-    short = tuple(sorted(r[0] for r in keys.where("n > 0").select("n").distinct().collect()))  # lengths below SPAN
+    short = tuple(sorted(r[0] for r in keys.where("n > 0").select("n").distinct().collect()))  # lengths below WINDOW
     stretches = settled(_stretches(docs, id_col, text_col, _filter(keys), short))
     seeds = stretches.select("doc", "text_hash", "start", F.explode(F.arrays_zip("at", "keys")).alias("s"))
     seeds = seeds.select("doc", "text_hash", "start", F.col("s.at").alias("d"), F.col("s.keys").alias("key"))

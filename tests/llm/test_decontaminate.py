@@ -1,4 +1,5 @@
 import random
+from itertools import combinations
 
 from pyspark.sql import functions as F
 
@@ -84,3 +85,23 @@ def test_a_filter_that_is_too_small_costs_time_and_no_hits(spark, monkeypatch):
     monkeypatch.setattr(d, "FILTER_BITS", 6)
     df, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(tests, "item_id long, text string")
     assert {r.doc_id for r in d.overlaps(df, items).collect()} == set(leaks)
+
+
+def test_short_items_with_substitutions(spark):
+    words = vocabulary()
+    sizes = range(5, 16)
+    tests = [(n, " ".join(words[100 * n : 100 * n + n])) for n in sizes]
+    rng, docs = random.Random(6), []
+    for n in sizes:
+        for allowed in ([(k,) for k in range(n)] + [sorted(rng.sample(range(n), n - -(-4 * n // 5))) for _ in range(8)] + ([(2, 5, 9), (4, 7, 11)] if n == 15 else [])):
+            passage = ["zz" if i in allowed else w for i, w in enumerate(words[100 * n : 100 * n + n])]
+            docs.append((len(docs), " ".join(["x"] * 20 + passage + ["y"] * 20)))
+    df, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(tests, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in d.overlaps(df, items).collect()}
+    want = brute(docs, tests)
+    assert got == want and len(want) == len(docs)
+
+
+def test_seeds_cover_all_substitutions_of_a_window():
+    fits = lambda gone, m: any(all(c == "0" or a + i not in gone for i, c in enumerate(m)) for a in range(16 - len(m)))
+    assert all(any(fits(gone, m) for m in d.MASKS) for gone in combinations(range(15), 3))
