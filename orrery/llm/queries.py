@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from orrery.llm import bpe, chat, decontaminate, extraction, ngram_lm, quality, resampling, secrets, sharding, simhash, url_filter
+from orrery.llm import bpe, chat, decontaminate, extraction, lempel_ziv, ngram_lm, quality, resampling, secrets, sharding, simhash, spelling, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chat_grammar": chat.op8,
         "op9_site_templates": extraction.op9,
         "op10_simhash_trie": simhash.op10,
+        "op11_trie_pairs": spelling.op11,
+        "op12_lempel_ziv": lempel_ziv.op12,
         "op13_prefix_crcs": resampling.op13,
         "pipeline": corpus_pipeline.run,
     }
@@ -34,5 +36,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_stratified_shards": sharding.OP4_SQL,
         "op5_backoff_scores": ngram_lm.OP5_SQL,
         "op8_chat_grammar": chat.OP8_SQL,
+        "op12_lempel_ziv": lempel_ziv.OP12_SQL,
         "op13_prefix_crcs": resampling.OP13_SQL,
     }
