@@ -6,9 +6,8 @@ of the line every stratum is used up in proportion, and strata with a row or two
 The line is cut into shards whose row counts differ by one at most (the law ``rows``).
 
 Neither rank is taken in one task: hash values and fractions are spread evenly, so fixed ranges of them are
-buckets of like size, ranked on their own and shifted by the counts of the buckets before. The query op4 takes
-1/2 for every u, as its SQL does: there all strata of one row fall into one bucket. The number of buckets follows the row count. Equal rows are folded to one with a count first, so
-copies share no bucket's burden.
+buckets of like size, ranked on their own and shifted by the counts of the buckets before. The number of buckets
+follows the row count. Equal rows are folded to one with a count first, so copies share no bucket's burden.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.llm.common import settled, table
+from orrery.llm.common import free_name, settled, table
 
 SHARDS = 40
 SEED = "orrery"
@@ -35,20 +34,20 @@ def _offset(stratum: Column, seed: str) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / float(1 << 32)
 
 
-def deal(rows: DataFrame, shards: int, stratum_col: str = "source", seed: str = SEED, centred: bool = False) -> DataFrame:
+def deal(rows: DataFrame, shards: int, stratum_col: str = "source", seed: str = SEED) -> DataFrame:
     """``rows`` with shard (int, 0 to shards - 1) and slot (long, gapless from 0 in each shard).
 
     Every column of ``rows`` must allow grouping; all of them decide the shuffled order, so the result
     depends on content alone. Nulls are values like any other, in the stratum as well. Equal rows get
-    neighbouring ranks. ``centred`` puts every stratum's rows at (rank + 1/2) / n, small strata on the same few
-    points of the line. An empty table gives an empty result; a column named like a working column
-    (prefix ``_d_``) is not allowed, one named shard or slot neither.
+    neighbouring ranks. An empty table gives an empty result; if ``rows`` has a column named shard or
+    slot, the new one gets an underscore.
     """
-    clash = [c for c in rows.columns if c.lower() in ("shard", "slot") or c.startswith("_d_")]
-    if clash:
-        raise ValueError(f"rename {clash} first")
-    own = [F.col(f"`{c}`") for c in rows.columns]
-    stratum = F.col(f"`{stratum_col}`")
+    names = rows.columns
+    out = {n: free_name(rows, n) for n in ("shard", "slot")}
+    stratum_at = [n.lower() for n in names].index(stratum_col.lower())
+    rows = rows.toDF(*(f"c{k}" for k in range(len(names))))
+    own = [F.col(c) for c in rows.columns]
+    stratum = own[stratum_at]
     text = [F.coalesce(c.cast("string"), F.lit("")) for c in own]
     digest = F.md5(F.concat_ws(":", F.lit(seed), *text))
     found = settled(rows.groupBy(*own).agg(F.count("*").alias("_d_n")).withColumn("_d_hash", digest))
@@ -66,7 +65,7 @@ def deal(rows: DataFrame, shards: int, stratum_col: str = "source", seed: str =
     ranked = ranked.withColumn("_d_first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_d_n") - 1, F.lit(_COPIES_AT_ONCE).cast("long"))))
     ranked = ranked.withColumn("_d_copy", F.explode(F.sequence("_d_first", F.least(F.col("_d_first") + _COPIES_AT_ONCE - 1, F.col("_d_n") - 1))))
     rank = F.col("_d_skip") + F.col("_d_ahead") + F.col("_d_copy")
-    lined = ranked.select(*own, rank.alias("_d_rank"), ((rank + (F.lit(0.5) if centred else _offset(stratum, seed))) / F.col("_d_all")).alias("_d_at"))
+    lined = ranked.select(*own, rank.alias("_d_rank"), ((rank + _offset(stratum, seed)) / F.col("_d_all")).alias("_d_at"))
     lined = lined.withColumn("_d_part", F.floor(F.col("_d_at") * (1 << bits)))
 
     parts = lined.groupBy(F.col("_d_part").alias("_d_p")).count()
@@ -77,13 +76,15 @@ def deal(rows: DataFrame, shards: int, stratum_col: str = "source", seed: str =
     placed = placed.withColumn("_d_place", (F.col("_d_skip") + F.col("_d_ahead")).cast("long"))
     shard = F.expr(f"cast(_d_place * {shards}L div {max(total, 1)}L as int)")
     first = F.expr(f"(shard * {total}L + {shards - 1}L) div {shards}L")
-    return placed.select(*own, "_d_place", shard.alias("shard")).select(*own, "shard", (F.col("_d_place") - first).alias("slot"))
+    placed = placed.select(*own, "_d_place", shard.alias("shard")).select(*own, "shard", (F.col("_d_place") - first).alias("slot"))
+    return placed.toDF(*names, out["shard"], out["slot"])
 
 
 def write_shards(rows: DataFrame, path: str, shards: int, stratum_col: str = "source", seed: str = SEED) -> None:
     """Whole rows dealt and written below ``path``, a folder per shard, each in slot order."""
     dealt = deal(rows, shards, stratum_col, seed)
-    dealt.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    shard, slot = dealt.columns[-2:]
+    dealt.repartitionByRange(shard, slot).sortWithinPartitions(shard, slot).write.partitionBy(shard).parquet(path)
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
@@ -91,7 +92,7 @@ def op4(spark, sf_dir: str) -> DataFrame:
     whole = F.coalesce("text", F.lit(""))
     narrow = docs.select("doc_id", "source", (F.octet_length(whole) + 16).cast("long").alias("size"), F.crc32(whole.cast("binary")).alias("text_crc32"))
     none = F.lit(None).cast("int")
-    return deal(narrow, SHARDS, centred=True).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", none.alias("grown_shard"), "source")
+    return deal(narrow, SHARDS).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", none.alias("grown_shard"), "source")
 
 
 #: The table of CRC-32 is built from its polynomial; the checksum then folds the bytes of the text.
@@ -112,7 +113,7 @@ docs AS (
     count(*) OVER (PARTITION BY source) AS n, count(*) OVER () AS total
   FROM base
 ), placed AS (
-  SELECT *, row_number() OVER (ORDER BY (r + 0.5::DOUBLE) / n, source NULLS FIRST, r) - 1 AS place FROM ranked
+  SELECT *, row_number() OVER (ORDER BY (r + ('0x' || substr(md5('{SEED}:' || (source IS NULL) || ':' || coalesce(source, '')), 1, 8))::BIGINT / 4294967296::DOUBLE) / n, source NULLS FIRST, r) - 1 AS place FROM ranked
 )
 SELECT doc_id, size, text_crc32, 'rows' AS law, (place * {SHARDS} // total)::INT AS shard,
   (place - ((place * {SHARDS} // total) * total + {SHARDS - 1}) // {SHARDS})::BIGINT AS slot, NULL::INT AS grown_shard, source
