@@ -38,30 +38,59 @@ WINDOW = 13
 ANCHOR = 7
 #: Words of a reference block, and of the pieces that one task parses against it.
 BLOCK_WORDS = 200_000
-TASK_WORDS = 2_000_000
-#: Words after which a new piece begins, words hashed at once, rows of a result batch.
+TASK_WORDS = 500_000
+#: Words after which a new piece begins, bytes hashed at once, rows of a result batch.
 PIECE_WORDS = 512
-WORDS_AT_ONCE = 1 << 18
+BYTES_AT_ONCE = 1 << 21
 ROWS_AT_ONCE = 1 << 14
 FILTER_BITS = 25
 _LATEST = 2**63 - 1
 _SPANS = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
+#: Odd, so that every power has an inverse modulo 2**64.
+_BASE = 0x9FB21C651E98DF25
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_IN_WORD = np.array([b not in b" \t\n\x0b\x0c\r" for b in range(256)])
 _rng = np.random.default_rng(13)
 _FIRST, _SECOND = (_rng.integers(0, 1 << 63, WINDOW, np.uint64) << np.uint64(1) | np.uint64(1) for _ in range(2))
 
 
-class _Hashes(dict):
-    """Word to 64-bit hash; kept for the words met so far, up to a bound."""
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").encode().split()
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
 
+def _powers(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1), modulo 2**64."""
+    out = np.ones(n, np.uint64)
+    out[1:] = np.uint64(base)
+    return np.cumprod(out, dtype=np.uint64)
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode().split()
+
+def hashed_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash of every word of all texts, number of words of each text).
+
+    A word's hash is the value of its bytes as a polynomial, taken from running sums over whole stretches of
+    text, mixed with its length. Stretches have about ``BYTES_AT_ONCE`` bytes, whatever the texts' length.
+    """
+    data = b" ".join([(t or "").encode() for t in texts]) + b" "
+    hashes, begins, at = [], [], 0
+    while at < len(data):
+        end = len(data) if at + BYTES_AT_ONCE >= len(data) else data.rfind(b" ", at, at + BYTES_AT_ONCE) + 1
+        if end <= at:  # a word longer than a stretch
+            end = data.index(b" ", at) + 1
+        raw = np.frombuffer(data, np.uint8, end - at, at)
+        inside = _IN_WORD[raw]
+        edges = np.flatnonzero(np.diff(inside, prepend=False))
+        first, last = edges[::2], edges[1::2]
+        n = len(raw)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((raw + np.uint64(1)) * _powers(_BASE, n), out=sums[1:])
+        value = (sums[last] - sums[first]) * _powers(_INVERSE, n)[first]
+        hashes.append(_mixed(value + (last - first).astype(np.uint64) * np.uint64(_BASE)))
+        begins.append(first + at)
+        at = end
+    ends = np.cumsum([len((t or "").encode()) + 1 for t in texts])
+    begins = np.concatenate(begins)
+    return np.concatenate(hashes), np.diff(np.searchsorted(begins, ends), prepend=0)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -81,8 +110,12 @@ def runs(words: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return _mixed(out)
 
 
-def anchors(words: np.ndarray, window: int, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(position, hash) of the groups of ``width`` words with the smallest hash of a window, all of them if several."""
+def anchors(words: np.ndarray, window: int, width: int, sizes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(position, hash) of the groups of ``width`` words with the smallest hash of a window, all of them if several.
+
+    ``sizes`` are the numbers of words of several texts that follow each other; no window is in two of them.
+    """
+    sizes = np.array([len(words)]) if sizes is None else sizes
     hashes = runs(words, _FIRST[:width])
     span = window - width + 1
     n = len(hashes) - span + 1
@@ -91,32 +124,45 @@ def anchors(words: np.ndarray, window: int, width: int) -> tuple[np.ndarray, np.
     least = hashes[:n]
     for k in range(1, span):
         least = np.minimum(least, hashes[k : k + n])
+    inside = np.arange(n) + window <= np.repeat(np.cumsum(sizes), sizes)[:n]
     chosen = np.zeros(len(hashes), bool)
     for k in range(span):
-        chosen[k : k + n] |= hashes[k : k + n] == least
+        chosen[k : k + n] |= (hashes[k : k + n] == least) & inside
     at = np.flatnonzero(chosen)
     return at, hashes[at]
 
 
-def _batches(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with a bounded number of text bytes."""
+def _batches(batches: Iterator[pa.RecordBatch], text: str = "text", leading=None) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with a bounded number of text bytes, of the rows that ``leading`` lets through."""
     for b in batches:
+        b = b if leading is None else b.filter(pa.array(leading(b)))
         sizes = np.cumsum([len(t or "") for t in b.column(text).to_pylist()])
         at = 0
         while at < b.num_rows:
-            n = max(1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + 8 * WORDS_AT_ONCE, "right")) - at)
+            n = max(1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BYTES_AT_ONCE, "right")) - at)
             yield b.slice(at, n)
             at += n
 
 
 def bloom(keys: DataFrame, column: str) -> np.ndarray:
-    """Two bits for each 64-bit key, in a table of 2**FILTER_BITS bits whatever the input; it passes through the driver."""
-    low = (1 << FILTER_BITS) - 1
+    """Two bits for each 64-bit key, in a table of 2**FILTER_BITS bits whatever the input; it comes to the driver in packed parts."""
+    low, per_part = (1 << FILTER_BITS) - 1, 1 << 14
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, np.ndarray] = {}
+        for b in batches:
+            word, mask = b.column("word").to_numpy(), b.column("mask").to_numpy().astype(np.uint32)
+            for part in np.unique(word // per_part).tolist():
+                own = word // per_part == part
+                parts.setdefault(part, np.zeros(per_part, np.uint32))[word[own] % per_part] = mask[own]
+        yield pa.RecordBatch.from_arrays([pa.array(parts.keys(), pa.int64()), pa.array([x.tobytes() for x in parts.values()], pa.binary())], ["part", "bits"])
+
     each = F.explode(F.array(F.col(column).bitwiseAND(low), F.shiftrightunsigned(column, 32).bitwiseAND(low)))
-    words = keys.select(each.alias("b")).groupBy(F.shiftright("b", 5).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 31 as int))")).alias("m"))
+    words = keys.select(each.alias("b")).groupBy(F.shiftright("b", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 31 as int))")).alias("mask"))
     out = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
-    got = words.toPandas()
-    out[got["w"].to_numpy(np.int64)] = got["m"].to_numpy(np.int64).astype(np.uint32)
+    # A part is one task's: words are exchanged once more, sixteen bytes each.
+    for part, bits in words.repartition(F.floor(F.col("word") / per_part)).mapInArrow(packed, "part long, bits binary").collect():
+        out[part * per_part : (part + 1) * per_part] |= np.frombuffer(bits, np.uint32)
     return out
 
 
@@ -127,34 +173,55 @@ def in_bloom(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def _signed(rows: DataFrame) -> DataFrame:
-    """(at, id, digest, n_words, kept_sha256) of (at, id, digest, text): the last as if every word stayed."""
-    schema = T.StructType([*rows.schema.fields[:3], *T.StructType.fromDDL("n_words long, kept_sha256 string").fields])
+    """(at, id, digest, text_key, row_key, n_words, kept_sha256) of keyed rows: the last as if every word stayed."""
+    schema = T.StructType([*rows.schema.fields[:5], *T.StructType.fromDDL("n_words long, kept_sha256 string").fields])
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _batches(batches):
             words = [words_of(t) for t in b.column("text").to_pylist()]
             shas = [hashlib.sha256(b" ".join(w)).hexdigest() for w in words]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([len(w) for w in words], pa.int64()), pa.array(shas, pa.string())], schema.names)
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array([len(w) for w in words], pa.int64()), pa.array(shas, pa.string())], schema.names)
 
     return rows.mapInArrow(of_batches, schema)
 
 
-def _anchored(rows: DataFrame, window: int, width: int) -> DataFrame:
+class Leads:
+    """Lets the first of equal texts through, and a few others by mistake, which costs time and changes nothing.
+
+    ``copied`` are the texts that several rows have, ``first`` the first rows of those texts that it names, so
+    a text that it names by mistake is let through as well. Neither text nor row is shuffled for this.
+    """
+
+    def __init__(self, copied, first):
+        self.copied, self.first = copied, first
+
+    def __call__(self, b: pa.RecordBatch) -> np.ndarray:
+        text, row = (b.column(c).to_numpy().view(np.uint64) for c in ("text_key", "row_key"))
+        return ~in_bloom(self.copied.value, text) | in_bloom(self.first.value, row)
+
+
+def _leads(signed: DataFrame, copies: DataFrame) -> Leads:
+    """``signed``: (digest, at, text_key, row_key) of all rows; ``copies``: (digest, least) of texts of several rows."""
+    context = signed.sparkSession.sparkContext
+    copied = context.broadcast(bloom(copies.select(F.xxhash64("digest").alias("key")), "key"))
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(in_bloom(copied.value, b.column("text_key").to_numpy().view(np.uint64))))
+
+    rows = signed.select("digest", "at", "text_key", "row_key")
+    first = rows.mapInArrow(named, rows.schema).join(copies, "digest", "left").where("least IS NULL OR at = least")
+    return Leads(copied, context.broadcast(bloom(first, "row_key")))
+
+
+def _anchored(rows: DataFrame, leading, window: int, width: int) -> DataFrame:
     """(anchor, least, most): the smallest and largest ``at`` of the rows that have an anchor; folded in the tasks too."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
-        for b in _batches(batches):
-            found, places = [], []
-            for at, text in zip(b.column("at").to_pylist(), b.column("text").to_pylist(), strict=True):
-                w = words_of(text)
-                if len(w) < window:
-                    continue
-                own = np.unique(anchors(np.fromiter(map(known.__getitem__, w), np.uint64, len(w)), window, width)[1])
-                found.append(own)
-                places.append(np.full(len(own), at, np.int64))
-            keys = np.concatenate(found) if found else np.empty(0, np.uint64)
-            at = np.concatenate(places) if places else np.empty(0, np.int64)
+        for b in _batches(batches, leading=leading):
+            hashes, sizes = hashed_words(b.column("text").to_pylist())
+            where, keys = anchors(hashes, window, width, sizes)
+            at = np.repeat(b.column("at").to_numpy(), sizes)[where]
             order = np.lexsort((at, keys))
             keys, at = keys[order], at[order]
             first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
@@ -165,7 +232,7 @@ def _anchored(rows: DataFrame, window: int, width: int) -> DataFrame:
     return each.groupBy("anchor").agg(F.min("least").alias("least"), F.max("most").alias("most"))
 
 
-def _pieces(rows: DataFrame, shared, window: int, width: int) -> DataFrame:
+def _pieces(rows: DataFrame, leading, shared, window: int, width: int) -> DataFrame:
     """(text, at, begin, words, n, places): stretches of a row's word hashes around anchors that pass the filter.
 
     ``places`` has (place of the anchor in the piece, anchor); all windows with one of them lie in the piece.
@@ -173,27 +240,24 @@ def _pieces(rows: DataFrame, shared, window: int, width: int) -> DataFrame:
     before, behind = window - width, window
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
-        for b in _batches(batches):
+        for b in _batches(batches, leading=leading):
+            digests, ats = b.column("digest").to_pylist(), b.column("at").to_pylist()
+            hashes, sizes = hashed_words(b.column("text").to_pylist())
+            places, keys = anchors(hashes, window, width, sizes)
+            passed = in_bloom(shared.value, keys)
+            places, keys = places[passed], keys[passed].view(np.int64)
+            owner, ends = np.repeat(np.arange(len(sizes)), sizes)[places], np.cumsum(sizes)
+            # A new piece in each text, where the stretches around two anchors do not touch, and after PIECE_WORDS words.
+            apart = np.append(True, (places[1:] - before > places[:-1] + behind) | (owner[1:] != owner[:-1]))[: len(places)]
+            since = places - places[np.maximum.accumulate(np.where(apart, np.arange(len(places)), 0))] if len(places) else places
+            new = np.flatnonzero(apart[1:] | (np.diff(since // PIECE_WORDS) != 0)) + 1 if len(places) else places
             out: list[tuple] = []
-            for digest, at, text in zip(b.column("digest").to_pylist(), b.column("at").to_pylist(), b.column("text").to_pylist(), strict=True):
-                w = words_of(text)
-                if len(w) < window:
-                    continue
-                hashes = np.fromiter(map(known.__getitem__, w), np.uint64, len(w))
-                places, keys = anchors(hashes, window, width)
-                passed = in_bloom(shared.value, keys)
-                places, keys = places[passed], keys[passed].view(np.int64)
-                if not len(places):
-                    continue
-                # A new piece where the stretches around two anchors do not touch, and after PIECE_WORDS words.
-                apart = np.append(True, places[1:] - before > places[:-1] + behind)
-                group = np.cumsum(apart) * (int(places[-1]) // PIECE_WORDS + 2)
-                group += (places - places[np.maximum.accumulate(np.where(apart, np.arange(len(places)), 0))]) // PIECE_WORDS
-                for part in np.split(np.arange(len(places)), np.flatnonzero(np.diff(group)) + 1):
-                    begin = max(0, int(places[part[0]]) - before)
-                    end = min(len(w), int(places[part[-1]]) + behind)
-                    out.append((digest, at, begin, hashes[begin:end].tobytes(), end - begin, [{"place": int(p) - begin, "anchor": int(k)} for p, k in zip(places[part], keys[part], strict=True)]))
+            for part in np.split(np.arange(len(places)), new) if len(places) else ():
+                own = int(owner[part[0]])
+                base, end = int(ends[own] - sizes[own]), int(ends[own])
+                begin, end = max(base, int(places[part[0]]) - before), min(end, int(places[part[-1]]) + behind)
+                named = [{"place": p - begin, "anchor": k} for p, k in zip(places[part].tolist(), keys[part].tolist(), strict=True)]
+                out.append((digests[own], ats[own], begin - base, hashes[begin:end].tobytes(), end - begin, named))
             cols = list(zip(*out, strict=True)) or [()] * 6
             kinds = [pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.list_(pa.struct([("place", pa.int32()), ("anchor", pa.int64())]))]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["digest", "at", "begin", "words", "n", "places"])
@@ -366,22 +430,21 @@ def _cut(rows: DataFrame) -> DataFrame:
 
 
 def _passing(rows: DataFrame, bits) -> DataFrame:
-    """The rows of (digest, at, text) whose key (digest and place) may be in the filter."""
+    """The rows of (digest, at, row_key, text) whose key may be in the filter."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            passed = in_bloom(bits.value, b.column("key").to_numpy().view(np.uint64))
-            yield b.drop_columns(["key"]).filter(pa.array(passed))
+            yield b.filter(pa.array(in_bloom(bits.value, b.column("row_key").to_numpy().view(np.uint64))))
 
-    keyed = rows.withColumn("key", F.xxhash64("digest", "at"))
-    return keyed.mapInArrow(of_batches, rows.schema)
+    return rows.mapInArrow(of_batches, rows.schema).drop("row_key")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(at, id, digest, text); ``at`` orders the rows, null ids last."""
+    """(at, id, digest, text_key, row_key, text); ``at`` orders the rows, null ids last, and the keys are for filters."""
     text = F.col(text_col).cast("string")
     at = F.coalesce(F.col(id_col).cast("long"), F.lit(_LATEST))
-    return docs.select(at.alias("at"), F.col(id_col).alias("id"), F.unhex(F.md5(F.coalesce(text, F.lit("")))).alias("digest"), text.alias("text"))
+    rows = docs.select(at.alias("at"), F.col(id_col).alias("id"), F.unhex(F.md5(F.coalesce(text, F.lit("")))).alias("digest"), text.alias("text"))
+    return rows.select("at", "id", "digest", F.xxhash64("digest").alias("text_key"), F.xxhash64("digest", "at").alias("row_key"), "text")
 
 
 def _removals(keyed: DataFrame, signed: DataFrame, window: int, width: int, block_words: int, task_words: int) -> tuple[DataFrame, DataFrame]:
@@ -390,16 +453,17 @@ def _removals(keyed: DataFrame, signed: DataFrame, window: int, width: int, bloc
     copies = signed.groupBy("digest").agg(F.min("at").alias("least"), F.max("at").alias("most")).where("least < most")
     copies = settled(copies.select("digest", "least"))
     # Of equal texts the first is parsed: the others lose everything. Rows alike in id and text are parsed alike.
-    leads = keyed.select("digest", "at", "text").join(copies, "digest", "left").where("least IS NULL OR at = least").drop("least")
-    firsts = settled(_anchored(leads, window, width).where("least < most").select("anchor", "least"))
-    pieces = settled(_pieces(leads, context.broadcast(bloom(firsts, "anchor")), window, width).dropDuplicates(["digest", "at", "begin"]))
+    leading = _leads(signed, copies)
+    rows = keyed.select("digest", "at", "text_key", "row_key", "text")
+    firsts = settled(_anchored(rows, leading, window, width).where("least < most").select("anchor", "least"))
+    pieces = settled(_pieces(rows, leading, context.broadcast(bloom(firsts, "anchor")), window, width).dropDuplicates(["digest", "at", "begin"]))
     blocks = max(1, -(-(pieces.agg(F.sum("n")).first()[0] or 0) // block_words))
     routed = settled(_routed(pieces, firsts, blocks, window, width))
     found = settled(_parsed(routed, window, task_words))
     spans = found.select("digest", "at", F.inline("spans")).unionByName(_left_over(found, window))
     spans = settled(spans.groupBy("digest", "at").agg(F.collect_set(F.struct("begin", "end")).alias("spans")))
     bits = context.broadcast(bloom(spans.select(F.xxhash64("digest", "at").alias("key")), "key"))
-    texts = _passing(keyed.select("digest", "at", "text"), bits)
+    texts = _passing(keyed.select("digest", "at", "row_key", "text"), bits)
     return copies, _cut(texts.join(spans, ["digest", "at"]).dropDuplicates(["digest", "at"]))
 
 

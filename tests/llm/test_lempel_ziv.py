@@ -83,11 +83,10 @@ def test_passages_in_every_position(spark, monkeypatch, window, width, block, ta
 def test_a_window_that_the_first_holder_of_its_anchor_lacks(spark):
     """Documents 1 and 2 share a passage; document 0 has each of its anchors, but among other words."""
     rng = random.Random(4)
-    passage = [w.encode() for w in prose(rng, 30, 10**6)]
-    known = lz._Hashes()
-    hashes = np.array([known[w] for w in passage], np.uint64)
-    scattered = [prose(rng, 15, 10**6) + [w.decode() for w in passage[p : p + lz.ANCHOR]] for p in lz.anchors(hashes, 13, 7)[0]]
-    text = b" ".join(passage).decode()
+    passage = prose(rng, 30, 10**6)
+    hashes, _ = lz.hashed_words([" ".join(passage)])
+    scattered = [prose(rng, 15, 10**6) + passage[p : p + lz.ANCHOR] for p in lz.anchors(hashes, 13, 7)[0]]
+    text = " ".join(passage)
     rows = [(0, " ".join(w for s in scattered for w in s)), (1, " ".join(prose(rng, 40, 10**6)) + " " + text), (2, text + " " + " ".join(prose(rng, 40, 10**6)))]
     got = {r.doc_id: r for r in lz.parsed(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert [(got[k].n_removed, got[k].spans) for k in (0, 1)] == [(0, None), (0, None)]
@@ -95,6 +94,31 @@ def test_a_window_that_the_first_holder_of_its_anchor_lacks(spark):
     assert result(lz.parsed(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
 
 
+@pytest.mark.parametrize("at_once", [1 << 21, 20, 1])
+def test_hashes_of_words(monkeypatch, at_once):
+    monkeypatch.setattr(lz, "BYTES_AT_ONCE", at_once)
+    rng = random.Random(at_once)
+    texts = [None, "", " \n", "one", " two  words\t"] + ["".join(rng.choice("aé b\n🙂") for _ in range(rng.randrange(60))) for _ in range(200)]
+    words = [(t or "").encode().split() for t in texts]
+    hashes, sizes = lz.hashed_words(texts)
+    assert sizes.tolist() == [len(w) for w in words] and len(hashes) == sum(sizes)
+    by_word = {}
+    for w, h in zip((x for own in words for x in own), hashes.tolist(), strict=True):
+        assert by_word.setdefault(w, h) == h
+    assert len(set(by_word.values())) == len(by_word)
+
+
+def test_anchors_of_many_texts_are_those_of_each():
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 9, n, np.uint64) for n in (0, 3, 6, 40, 5, 0, 100, 7)]
+    at, keys = lz.anchors(np.concatenate(texts), 6, 3, np.array([len(t) for t in texts]))
+    want, base = [], 0
+    for t in texts:
+        want += [(base + p, h) for p, h in zip(*(x.tolist() for x in lz.anchors(t, 6, 3)), strict=True)]
+        base += len(t)
+    assert list(zip(at.tolist(), keys.tolist(), strict=True)) == want
+
+
 def test_equal_windows_have_equal_anchors():
     rng = np.random.default_rng(2)
     words = rng.integers(0, 4, 400, np.uint64)
