@@ -10,8 +10,9 @@ letter there, and the pair that skips nothing for the word itself:
 A join on these integer pairs is exact and compares no strings. A word that repeats a letter gives the same
 rest for each of them, so only the first of equal neighbours counts as deleted.
 
-Nodes are numbered without a table of nodes: in sorted words a beginning is new where it differs from the word
-before. Words are dealt by their first ``SHALLOW`` letters, and the few nodes above are numbered by their letters.
+Nodes are numbered without a table of nodes. The first letters of a word are a number as they are, with as many
+digits as 62 bits hold for the letters in use. Words are dealt by one letter more; among those that share it, sorted,
+a longer beginning is new where it differs from the word before, and gets a running number.
 
 Pairs of words are never listed. The rows of a node pair are at most one per letter of the alphabet and one per
 word, and a window over them gives each row the number of its partners and the most frequent one.
@@ -39,8 +40,8 @@ MIN_COUNT = 3
 TIMES = 2
 #: One run of a document in so many loses a letter, decided by a checksum.
 ONE_IN = 97
-#: Letters whose nodes are numbered by the letters themselves; 21 bits hold a code point.
-SHALLOW = 3
+#: Bits of a node that is numbered by its letters.
+NODE_BITS = 62
 WORDS_PER_BUCKET = 500_000
 #: Words that a task counts before it sends them on, letters in a batch of numbered words.
 WORDS_HELD = 200_000
@@ -96,14 +97,22 @@ def _shared(a: str, b: str) -> int:
     return low
 
 
-def _with_nodes(words: DataFrame, name: str, backwards: bool) -> DataFrame:
+def alphabet(words: DataFrame) -> dict[str, int]:
+    """The different letters of all words, numbered from 1; at most as many as there are code points."""
+    letters = words.select(F.explode(F.array_distinct(F.split("word", ""))).alias("letter")).distinct()
+    return {r.letter: k for k, r in enumerate(letters.orderBy("letter").collect(), 1)}
+
+
+def _with_nodes(words: DataFrame, name: str, backwards: bool, letters: dict[str, int]) -> DataFrame:
     """``words`` (column word) with an array ``name``: entry k is the node of the first k letters.
 
-    Backwards: of the letters from k to the end. Nodes of more than ``SHALLOW`` letters have negative numbers, made of
-    the partition and a running number; words that share such a node share a partition and lie together in it.
+    Backwards: of the letters from k to the end. Nodes of more letters than ``NODE_BITS`` hold have negative numbers, made
+    of the partition and a running number; words that share such a node share a partition and lie together in it.
     """
+    bits = max(1, len(letters).bit_length())
+    shallow = NODE_BITS // bits
     spelt = F.reverse("word") if backwards else F.col("word")
-    dealt = words.withColumn("spelt", spelt).repartition(F.substring("spelt", 1, SHALLOW + 1)).sortWithinPartitions("spelt")
+    dealt = words.withColumn("spelt", spelt).repartition(F.substring("spelt", 1, shallow + 1)).sortWithinPartitions("spelt")
     schema = T.StructType([*words.schema.fields, T.StructField(name, T.ArrayType(T.LongType()))])
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,21 +120,21 @@ def _with_nodes(words: DataFrame, name: str, backwards: bool) -> DataFrame:
         last, stack = "", [0]
         for b in batches:
             spelt = b.column("spelt").to_pylist()
-            at, nodes, letters = 0, [], 0
+            at, nodes, size = 0, [], 0
             for k, word in enumerate(spelt):
                 del stack[_shared(last, word) + 1 :]
                 for depth in range(len(stack), len(word) + 1):
-                    if depth <= SHALLOW:
-                        stack.append(stack[-1] << 21 | ord(word[depth - 1]) + 1)
+                    if depth <= shallow:
+                        stack.append(stack[-1] << bits | letters[word[depth - 1]])
                     else:
                         stack.append(new)
                         new -= 1
                 last = word
                 nodes.append(stack[::-1] if backwards else stack[:])
-                letters += len(word)
-                if letters >= LETTERS_AT_ONCE or k == len(spelt) - 1:
+                size += len(word)
+                if size >= LETTERS_AT_ONCE or k == len(spelt) - 1:
                     yield _extended(b.slice(at, len(nodes)), nodes, schema.names)
-                    at, nodes, letters = at + len(nodes), [], 0
+                    at, nodes, size = at + len(nodes), [], 0
 
     return dealt.mapInArrow(of_batches, schema)
 
@@ -140,11 +149,12 @@ def _near(words: DataFrame) -> DataFrame:
 
     Words without a near one may be missing.
     """
-    numbered = _with_nodes(_with_nodes(words, "heads", False), "tails", True)
-    same_as_before = F.expr("transform(sequence(0, length(word) - 1), i -> if(i > 0, letters[i] = letters[i - 1], false))")
+    letters = alphabet(words)
+    numbered = _with_nodes(_with_nodes(words, "heads", False, letters), "tails", True, letters)
+    same_as_before = F.expr("transform(sequence(0, length(word) - 1), i -> if(i > 0, spelt[i] = spelt[i - 1], false))")
     entry = "named_struct('head', heads[i], 'tail', tails[i + 1], 'gap', true, 'first', not twice[i])"
     whole = "named_struct('head', heads[i], 'tail', tails[i], 'gap', false, 'first', false)"
-    rows = numbered.withColumn("letters", F.split("word", "")).withColumn("twice", same_as_before)
+    rows = numbered.withColumn("spelt", F.split("word", "")).withColumn("twice", same_as_before)
     rows = rows.select("place", F.inline(F.expr(f"concat(transform(sequence(0, length(word) - 1), i -> {entry}), transform(sequence(0, length(word)), i -> {whole}))")))
     pair = Window.partitionBy("head", "tail")
     ranked = pair.orderBy(F.col("gap").desc(), "place")
