@@ -1067,6 +1067,63 @@ STATEMENTS["published_invalid_rows"] = " UNION ALL ".join(
 STATEMENTS["payments_from_csv"] = "SELECT * FROM clean_payments"
 STATEMENTS["reviews_from_csv"] = "SELECT * FROM clean_reviews"
 
+STATEMENTS["reviews_from_one_csv"] = "SELECT * FROM clean_reviews"
+
+# Payment lines of which some lack their last field and some have one too many.
+_FIELDS = [f"coalesce({c}, '')" for c in _PAYMENT_COLUMNS.split(", ")]
+TABLES["raw_payment_lines"] = f"""
+SELECT CASE WHEN source_row % 29 = 0 THEN concat_ws(',', {", ".join(_FIELDS[:-1])})
+            ELSE concat_ws(',', {", ".join(_FIELDS)}, 'surplus') END AS malformed_line
+FROM raw_order_payments WHERE source_row % 29 = 0 OR source_row % 31 = 0"""
+_PLACED = "source_row % 29 <> 0 AND source_row % 31 <> 0"
+TABLES["all_placed_payments"] = f"SELECT * FROM shaped_payments WHERE {_PLACED}"
+STATEMENTS["malformed_payments_invalid_rows"] = (
+    STATEMENTS["invalid_rows_order_payments"].replace("FROM shaped_payments", "FROM all_placed_payments")
+    + " UNION ALL SELECT 'order_payments', 'line', 'line is well formed', malformed_line FROM raw_payment_lines"
+)
+_REJECTED_PLACED = REJECTED["order_payments"].replace("FROM shaped_payments", "FROM all_placed_payments")
+_NAMED = ", ".join(
+    f"CASE WHEN {bad} THEN '{name}' END"
+    for name, (_, bad) in {
+        **_required(*_PAYMENT_COLUMNS.split(", ")),
+        "installments not negative": _unless("payment_installments", "payment_installments >= 0"),
+        "sequence starts at one": _unless("payment_sequential", "payment_sequential >= 1"),
+        "value not negative": _unless("payment_value", "payment_value >= 0"),
+        "order id has full length": _unless("order_id", "length(order_id) = 32"),
+        "payment type is known": _unless("payment_type", f"payment_type IN ({TYPES})"),
+    }.items()
+)
+STATEMENTS["malformed_payments_quarantine"] = (
+    f"SELECT {_PAYMENT_COLUMNS}, list_filter([{_NAMED}], lambda x: x IS NOT NULL) AS rules FROM ({_REJECTED_PLACED}) "
+    "UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, ['line is well formed'] FROM raw_payment_lines"
+)
+STATEMENTS["malformed_payments_tally"] = f"""
+SELECT (SELECT count(*) FROM raw_order_payments) AS silver_before,
+  (SELECT count(*) FROM ({_clean_payments(TYPES).replace("FROM shaped_payments", "FROM all_placed_payments")})) AS silver_after,
+  (SELECT count(*) FROM raw_payment_lines) + (SELECT count(*) FROM ({_REJECTED_PLACED})) AS invalid_rows"""
+
+# Dimensions of which the natural keys without a 7 were loaded first and keep their keys.
+for _table, _key, _natural in (("dim_seller", "seller_key", "seller_id"), ("dim_customer", "customer_key", "customer_unique_id")):
+    STATEMENTS[f"{_table}_reloaded"] = (
+        f"SELECT * REPLACE (CAST(row_number() OVER (ORDER BY contains({_natural}, '7'), {_natural}) AS INTEGER) AS {_key}) FROM {_table}"
+    )
+
+# Orders after new files for each March: some are cancelled, and the 15th is gone.
+_MARCH = "month(order_purchase_timestamp) = 3"
+_DAY = "day(order_purchase_timestamp)"
+TABLES["raw_later_orders"] = f"""
+SELECT * REPLACE (CASE WHEN {_MARCH} AND {_DAY} <= 10 AND order_status = 'SHIPPED' THEN 'canceled'
+                       ELSE order_status END AS order_status)
+FROM raw_orders WHERE NOT ({_MARCH} AND {_DAY} = 15)"""
+STATEMENTS["incremental_orders"] = TABLES["clean_orders"].replace("FROM raw_orders", "FROM raw_later_orders")
+STATEMENTS["incremental_orders_days"] = f"""
+SELECT DISTINCT CAST(1 AS INTEGER) AS run, 'written' AS action, strftime(order_purchase_timestamp, '%Y-%m-%d') AS load_day
+FROM raw_orders
+UNION ALL
+SELECT DISTINCT CAST(3 AS INTEGER), CASE WHEN {_DAY} = 15 THEN 'removed' ELSE 'written' END,
+       strftime(order_purchase_timestamp, '%Y-%m-%d')
+FROM raw_orders WHERE {_MARCH} AND ({_DAY} = 15 OR {_DAY} <= 10 AND order_status = 'SHIPPED')"""
+
 # Subqueries that only serve others.
 _HELPERS = {
     n for n in TABLES

@@ -3,6 +3,11 @@
 Used where an order has to be known across the whole table (dense keys, medians)
 without sending the table through one task.  The split values are literals in the
 plan, so a recomputed partition always lands in the same buckets.
+
+They come from a sketch that one job makes: keys are dealt to slots by their hash, and
+each slot keeps the key with the smallest hash.  That is a sample of the *different*
+keys, however often one of them occurs, and the smallest hashes tell how many there
+are.  Sketches of tasks merge slot by slot, so keys are never exchanged.
 """
 
 from __future__ import annotations
@@ -13,13 +18,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLES_PER_BUCKET = 32
+# What a task sends on and the driver gets is at most a key for each slot; with more than
+# SLOTS / 4 buckets, these hold more keys each instead.
+SLOT_BITS = 16
+SLOTS = 1 << SLOT_BITS
 
 
 class RangeBuckets:
-    """Split values for an ordered list of columns, taken from a hash sample.
+    """Split values for an ordered list of columns, taken from a sketch of the keys.
 
-    The number of buckets follows the number of different keys, counted here, and is
+    The number of buckets follows the number of different keys, estimated here, and is
     two at least; `keys_per_bucket` is what one bucket should hold.
     """
 
@@ -27,10 +35,23 @@ class RangeBuckets:
         self.columns = tuple(columns)
         keys = df.select(*self.columns)
         self._types = [field.dataType for field in keys.schema.fields]
-        keys = keys.where(F.col(self.columns[0]).isNotNull()).distinct()
-        self.keys = keys.count()
-        self.wanted = max(2, -(-self.keys // keys_per_bucket))
-        self._splits = _split_rows(keys, self.keys, self.wanted)
+        present = keys.where(F.col(self.columns[0]).isNotNull())
+        hashed = present.select(F.struct(*self.columns).alias("key"), F.xxhash64(*self.columns).alias("hash"))
+        # The low bits of the hash name the slot, the others order the keys in it.
+        rank = F.shiftrightunsigned("hash", SLOT_BITS)
+        slots = hashed.groupBy(F.col("hash").bitwiseAND(SLOTS - 1).alias("slot")).agg(
+            F.min(F.struct(rank.alias("rank"), "key")).alias("least")
+        )
+        found = slots.agg(
+            F.sum(F.col("least.rank") / 2.0 ** (64 - SLOT_BITS)).alias("ranks"),
+            F.array_sort(F.collect_list("least.key")).alias("keys"),
+        ).first()
+        sample = [tuple(row) for row in found["keys"]]
+        self.keys = _different(len(sample), found["ranks"] or 0.0)
+        self.wanted = min(max(2, -(-self.keys // keys_per_bucket)), SLOTS // 4)
+        cuts = [sample[len(sample) * i // self.wanted] for i in range(1, self.wanted)] if sample else []
+        # A cut at the smallest key would leave the first bucket empty.
+        self._splits = [cut for cut in dict.fromkeys(cuts) if cut != sample[0]]
 
     def __len__(self) -> int:
         return len(self._splits) + 1
@@ -66,16 +87,9 @@ class RangeBuckets:
         ).otherwise(F.lit(0))
 
 
-def _split_rows(keys: DataFrame, different: int, buckets: int) -> list[tuple]:
-    """At most `buckets - 1` ascending, different keys that cut the key set evenly.
-
-    `keys` are distinct, and so is the sampling rate: how often a key occurs has no
-    influence on it.  About `buckets * SAMPLES_PER_BUCKET` short rows reach the driver.
-    """
-    one_in = max(1, different // (buckets * SAMPLES_PER_BUCKET))
-    sampled = keys.where(F.pmod(F.xxhash64(*keys.columns), F.lit(one_in)) == 0)
-    found = [tuple(row) for row in sampled.orderBy(*keys.columns).toLocalIterator()]
-    step = len(found) / buckets
-    cuts = [found[int(step * i)] for i in range(1, buckets)] if found else []
-    # A cut at the smallest key would leave the first bucket empty.
-    return [c for c in dict.fromkeys(cuts) if c != found[0]]
+def _different(filled: int, ranks: float) -> int:
+    """Estimated number of different keys: from the filled slots, or, if most are, from
+    the smallest hash in each, which is the smaller the more keys a slot has got."""
+    if filled < 0.9 * SLOTS:
+        return round(-SLOTS * math.log(1 - filled / SLOTS))
+    return round(SLOTS * (SLOTS - 1) / (ranks + SLOTS - filled))

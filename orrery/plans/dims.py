@@ -9,7 +9,7 @@ from orrery import fixed
 from orrery.functions import casting, text
 from orrery.functions.days import black_friday, calendar_attributes
 from orrery.operators.headers import renamed
-from orrery.operators.keys import dense_key
+from orrery.operators.keys import dense_key, kept_keys
 from orrery.operators.medians import median_per_key
 from orrery.operators.survivors import first_per_key
 
@@ -63,6 +63,17 @@ def period_report(dim_date: DataFrame) -> DataFrame:
     return dim_date.groupBy(*columns).count().orderBy("event_period_sort")
 
 
+# ----------------------------------------------------------------------- keys
+def _keyed(
+    df: DataFrame, natural_key: str, name: str, key_table: str | None, **key_options
+) -> DataFrame:
+    """`df` with a surrogate key: 1..N in this load, or the one kept in `key_table`."""
+    if key_table is None:
+        return dense_key(df, natural_key, name, **key_options)
+    options = {k: v for k, v in key_options.items() if k != "tie_breakers"}
+    return kept_keys(df, natural_key, name, key_table, **options)
+
+
 # ------------------------------------------------------------------ customers
 def clean_customers_gold(df: DataFrame) -> DataFrame:
     """Customers with an id and a first purchase that is not in the future."""
@@ -83,12 +94,17 @@ def customer_people(customers: DataFrame) -> DataFrame:
 
 
 def build_dim_customer(
-    customers: DataFrame, orders: DataFrame, customer_ids_unique: bool = False, **key_options
+    customers: DataFrame,
+    orders: DataFrame,
+    customer_ids_unique: bool = False,
+    key_table: str | None = None,
+    **key_options,
 ) -> DataFrame:
     """One keyed row per person, described by the person's lowest customer_id.
 
     `customer_ids_unique` saves an exchange where the Silver rules have already
-    shown that customer_id is unique; `key_options` go to `dense_key`.
+    shown that customer_id is unique; `key_options` go to `dense_key`.  With `key_table`
+    persons keep the keys that this table holds, and new ones are added to it.
     """
     people = customers.select(
         "customer_id", "customer_unique_id", "customer_state", "customer_city"
@@ -117,12 +133,11 @@ def build_dim_customer(
         )
         .select("customer_unique_id", "first_order_date", "lowest.state", "lowest.city")
     )
-    return dense_key(
-        persons,
-        "customer_unique_id",
-        "customer_key",
+    keyed = _keyed(
+        persons, "customer_unique_id", "customer_key", key_table,
         **{"size_from": known, **key_options},
-    ).select(*fixed.DIM_CUSTOMER_COLUMNS)
+    )
+    return keyed.select(*fixed.DIM_CUSTOMER_COLUMNS)
 
 
 # ------------------------------------------------------------------- products
@@ -175,22 +190,21 @@ def build_dim_product_gold(
     items: DataFrame,
     orders: DataFrame,
     study_year: int = fixed.STUDY_YEAR,
+    key_table: str | None = None,
     **key_options,
 ) -> DataFrame:
     """Every product, keyed, with its English category and its baseline price.
 
     Keys are given to the narrow product rows before anything is joined.
     `key_options` go to `dense_key`; pass `size_from` where counting `products` means
-    computing them.
+    computing them.  With `key_table` products keep the keys that this table holds;
+    rows of one product_id then share a key, so the rules have to show that there are none.
     """
     measures = ["product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"]
     columns = ["product_id", "product_category_name", *measures]
-    keyed = dense_key(
-        products.select(*columns),
-        "product_id",
-        "product_key",
-        tie_breakers=columns[1:],
-        **key_options,
+    keyed = _keyed(
+        products.select(*columns), "product_id", "product_key", key_table,
+        tie_breakers=columns[1:], **key_options,
     )
     short = {m: m.removeprefix("product_") for m in measures}
     names = dict(zip(fixed.CATEGORY_COLUMNS, ("category_pt", "category_en")))
@@ -205,8 +219,13 @@ build_dim_product = build_dim_product_gold
 
 
 # -------------------------------------------------------------------- sellers
-def clean_dim_seller_gold(df: DataFrame, **key_options) -> DataFrame:
-    """Keyed sellers with an id and a zip code in range."""
+def clean_dim_seller_gold(
+    df: DataFrame, key_table: str | None = None, **key_options
+) -> DataFrame:
+    """Keyed sellers with an id and a zip code in range.
+
+    With `key_table` sellers keep the keys that this table holds, and new ones are added to it.
+    """
     accepted = df.where(
         F.col("seller_id").isNotNull()
         & F.col("seller_zip_code_prefix").between(*fixed.ZIP_RANGE)
@@ -215,9 +234,9 @@ def clean_dim_seller_gold(df: DataFrame, **key_options) -> DataFrame:
         text.uppered("seller_state").alias("seller_state"),
         text.lowered("seller_city").alias("seller_city"),
     )
-    keyed = dense_key(
-        accepted, "seller_id", "seller_key", tie_breakers=["seller_state", "seller_city"],
-        **key_options,
+    keyed = _keyed(
+        accepted, "seller_id", "seller_key", key_table,
+        tie_breakers=["seller_state", "seller_city"], **key_options,
     )
     return keyed.select(*fixed.DIM_SELLER_COLUMNS)
 

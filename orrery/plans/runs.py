@@ -42,7 +42,7 @@ def run_silver(
     Observed metrics would be free, but they count a partition twice when a lost
     executor's work is repeated, and these numbers decide whether a load passes.
     """
-    accepted = clean(raw)
+    accepted = clean(silver.well_formed(raw))
     if dataset in silver.SHAPES:
         kept, rejected = silver.quarantine(dataset, raw)
         if dataset in SPLIT_BY_RULES:
@@ -119,15 +119,27 @@ def run_dim_date(
     return publish_table(built, GOLD["dim_date"], check, fmt)
 
 
-def run_dim_customer(spark: SparkSession, fmt: str = "parquet") -> DataFrame:
+def key_table(name: str, stable_keys: bool) -> str | None:
+    """Where a dimension's keys are kept, if they are to outlive a load."""
+    return f"{GOLD[name]}__keys" if stable_keys else None
+
+
+def run_dim_customer(
+    spark: SparkSession, fmt: str = "parquet", stable_keys: bool = False
+) -> DataFrame:
     built = dims.build_dim_customer(
-        read_table(spark, SILVER["customers"]), read_table(spark, SILVER["orders"])
+        read_table(spark, SILVER["customers"]),
+        read_table(spark, SILVER["orders"]),
+        key_table=key_table("dim_customer", stable_keys),
     )
     return publish_table(built, GOLD["dim_customer"], fmt=fmt)
 
 
 def run_dim_product(
-    spark: SparkSession, fmt: str = "parquet", study_year: int = fixed.STUDY_YEAR
+    spark: SparkSession,
+    fmt: str = "parquet",
+    study_year: int = fixed.STUDY_YEAR,
+    stable_keys: bool = False,
 ) -> DataFrame:
     built = dims.build_dim_product_gold(
         read_table(spark, SILVER["products"]),
@@ -135,12 +147,16 @@ def run_dim_product(
         read_table(spark, SILVER["order_items"]),
         read_table(spark, SILVER["orders"]),
         study_year,
+        key_table("dim_product", stable_keys),
     )
     return publish_table(built, GOLD["dim_product"], fmt=fmt)
 
 
-def run_dim_seller(spark: SparkSession, fmt: str = "parquet") -> DataFrame:
-    built = dims.clean_dim_seller_gold(read_table(spark, SILVER["sellers"]))
+def run_dim_seller(
+    spark: SparkSession, fmt: str = "parquet", stable_keys: bool = False
+) -> DataFrame:
+    sellers = read_table(spark, SILVER["sellers"])
+    built = dims.clean_dim_seller_gold(sellers, key_table("dim_seller", stable_keys))
     return publish_table(built, GOLD["dim_seller"], checks.validate_dim_seller_gold, fmt)
 
 
@@ -233,13 +249,17 @@ def run_all_gold(
     orphans: str = facts.RAISE,
     calendar: tuple[str, str] = (fixed.CALENDAR_START, fixed.CALENDAR_END),
     study_year: int = fixed.STUDY_YEAR,
+    stable_keys: bool = False,
 ) -> dict[str, DataFrame]:
-    """All Gold tables, dimensions before the facts that need them."""
+    """All Gold tables, dimensions before the facts that need them.
+
+    With `stable_keys` customers, products and sellers keep their keys from load to load.
+    """
     return {
         "dim_date": run_dim_date(spark, fmt, *calendar, study_year),
-        "dim_customer": run_dim_customer(spark, fmt),
-        "dim_product": run_dim_product(spark, fmt, study_year),
-        "dim_seller": run_dim_seller(spark, fmt),
+        "dim_customer": run_dim_customer(spark, fmt, stable_keys),
+        "dim_product": run_dim_product(spark, fmt, study_year, stable_keys),
+        "dim_seller": run_dim_seller(spark, fmt, stable_keys),
         "fact_order": run_fact_order(spark, fmt),
         "fact_order_item": run_fact_order_item(spark, fmt, orphans),
         "fact_review": run_fact_review(spark, fmt, orphans),

@@ -170,6 +170,7 @@ def clean_order_payments(
     Without it file and line count, for rows read from files and not shuffled since;
     other rows need `order_by`.
     """
+    df = well_formed(df)
     position = _source_order(df, order_by).alias(_SOURCE_ORDER)
     df = require_columns(standard_headers(df.withColumn(_SOURCE_ORDER, position)), fixed.PAYMENT_COLUMNS, "order_payments")
     shaped = shape_payments(df, F.col(_SOURCE_ORDER))
@@ -350,17 +351,48 @@ def quarantine_rules(dataset: str) -> RuleSet:
     return replace(rules, rules=[*rules.rules, one_of(state, fixed.STATE_CODES, f"{state}.unknown")])
 
 
+#: The column in which a CSV reader leaves lines that it cannot place, where it is asked to.
+MALFORMED_LINE = "malformed_line"
+
+
+def well_formed(raw: DataFrame) -> DataFrame:
+    """The rows that a reader could place, without the column of those that it could not."""
+    if MALFORMED_LINE not in raw.columns:
+        return raw
+    return raw.where(F.col(MALFORMED_LINE).isNull()).drop(MALFORMED_LINE)
+
+
+def _malformed(raw: DataFrame) -> DataFrame:
+    """One entry (column_name, rule, invalid_value) for each line that has no place."""
+    return raw.where(F.col(MALFORMED_LINE).isNotNull()).select(
+        F.lit("line").alias("column_name"),
+        F.lit("line is well formed").alias("rule"),
+        F.col(MALFORMED_LINE).alias("invalid_value"),
+    )
+
+
 def quarantine(dataset: str, raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected) rows of one raw table, before duplicates are dropped."""
-    return quarantine_rules(dataset).split(SHAPES[dataset][0](standard_headers(raw)))
+    """(accepted, rejected) rows of one raw table, before duplicates are dropped.
+
+    Lines that the reader could not place (see `MALFORMED_LINE`) are rejected whole: their
+    columns are null, as nothing says which field is which, and the reason holds the line.
+    """
+    accepted, rejected = quarantine_rules(dataset).split(
+        SHAPES[dataset][0](standard_headers(well_formed(raw)))
+    )
+    if MALFORMED_LINE in raw.columns:
+        whole = _malformed(raw).select(F.array(F.struct("*")).alias("broken_rules"))
+        rejected = rejected.unionByName(whole, allowMissingColumns=True)
+    return accepted, rejected
 
 
 def rejected_values(dataset: str, raw: DataFrame) -> DataFrame:
-    """The log rows of `quarantine`: one per broken acceptance rule."""
+    """The log rows of `quarantine`: one per broken acceptance rule, one per malformed line."""
     shape, rules = SHAPES[dataset]
-    return rules().invalid_rows(shape(standard_headers(raw)))
-
-
+    found = rules().invalid_rows(shape(standard_headers(well_formed(raw))))
+    if MALFORMED_LINE not in raw.columns:
+        return found
+    return found.unionByName(_malformed(raw).select(F.lit(rules().dataset).alias("dataset"), "*"))
 
 
 # Keys by which rows of a table are counted: those of its key rule or its survivors.
@@ -377,7 +409,17 @@ def tally(dataset: str, raw: DataFrame) -> DataFrame:
 
     Rows are counted, not broken rules.  Tables with a key are folded to it inside the
     tasks first.  Only products are read twice: their exact copies go before the rules.
+    Malformed lines are counted by a scan of their own: they came in and are invalid.
     """
+    counted = _tally(dataset, well_formed(raw))
+    if MALFORMED_LINE not in raw.columns:
+        return counted
+    lines, none = F.count(MALFORMED_LINE), F.lit(0).cast("bigint")
+    both = counted.unionByName(raw.agg(*_tallied(lines, none, lines)))
+    return both.agg(*(F.sum(c).alias(c) for c in counted.columns))
+
+
+def _tally(dataset: str, raw: DataFrame) -> DataFrame:
     shape, rule_set = SHAPES[dataset]
     rules = rule_set()
     shaped = shape(standard_headers(raw))

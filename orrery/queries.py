@@ -11,13 +11,13 @@ import hashlib
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orrery import fixed
 from orrery.operators import quality_log, reconcile
 from orrery.operators.rules import RuleSet
-from orrery.plans import checks, dims, facts, runs, silver
+from orrery.plans import checks, dims, facts, increments, runs, silver
 from orrery.session import scratch
 from orrery.sources import files, inventory, tables, trade
 from orrery.sources.spoiled import spoiled
@@ -321,6 +321,87 @@ def _reviews_from_csv(spark: SparkSession, folder: str) -> DataFrame:
     return silver.clean_reviews(files.load_reviews(spark, path))
 
 
+def _reviews_from_one_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The same reviews in files of any size, each read in parts."""
+    path = scratch(spark, "reviews")
+    raw = trade.raw_order_reviews(spark, folder)
+    raw.write.options(header=True, quote='"', escape='"').csv(path)
+    return silver.clean_reviews(files.load_reviews(spark, path, splittable=True))
+
+
+def _broken_payment_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Payments as read from lines of which some lack a field and some have one too many.
+
+    The lines are written as the one column of a CSV file without quotes, whose name is the header.
+    """
+    path = scratch(spark, "payments")
+    raw, row = trade.raw_order_payments(spark, folder), F.col("source_row")
+    filled = [F.coalesce(c, F.lit("")) for c in fixed.PAYMENT_COLUMNS]
+    line = F.concat_ws(",", *filled)
+    broken = (
+        F.when(row % 29 == 0, F.concat_ws(",", *filled[:-1]))
+        .when(row % 31 == 0, F.concat(line, F.lit(",surplus")))
+        .otherwise(line)
+    )
+    plain = {"quote": "", "sep": "\x01", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines = raw.select(broken.alias(",".join(fixed.PAYMENT_COLUMNS)))
+    lines.write.options(header=True, **plain).csv(path)
+    return files.read_raw_order_payments(spark, path, malformed=silver.MALFORMED_LINE)
+
+
+def _orders_by_day(spark: SparkSession, folder: str) -> tuple[str, list[increments.Increment]]:
+    """Clean orders by day, brought up to date three times: at first, with the same files, and
+    after new files for each March, in which some orders are cancelled and the 15th is gone."""
+    source, target = scratch(spark, "orders"), scratch(spark, "orders-by-day")
+    bought = F.col("order_purchase_timestamp")
+    raw = trade.raw_orders(spark, folder).withColumn("month", F.date_format(bought, "yyyy-MM"))
+    day = F.dayofmonth(bought)
+    cancelled = F.when((day <= 10) & (F.col("order_status") == "SHIPPED"), F.lit("canceled"))
+    later = raw.where(F.col("month").endswith("-03") & (day != 15)).withColumn(
+        "order_status", cancelled.otherwise(F.col("order_status"))
+    )
+    read = increments.parquet_files(spark, raw.drop("month").schema)
+    steps = []
+    for delivered in (raw, None, later):
+        if delivered is not None:
+            files = delivered.repartition("month").write.partitionBy("month").mode("overwrite")
+            files.option("partitionOverwriteMode", "dynamic").parquet(source)
+        steps.append(increments.run_increment(
+            spark, source, target, read, bought, silver.clean_orders
+        ))
+    return target, steps
+
+
+def _incremental_orders(spark: SparkSession, folder: str) -> DataFrame:
+    target, _ = _orders_by_day(spark, folder)
+    return spark.read.parquet(target).drop(increments.DAY)
+
+
+def _incremental_days(spark: SparkSession, folder: str) -> DataFrame:
+    """What each of the three runs did to which day."""
+    rows = [
+        (run, action, day)
+        for run, step in enumerate(_orders_by_day(spark, folder)[1], 1)
+        for action, days in (("written", step.days_written), ("removed", step.days_removed))
+        for day in days
+    ]
+    return spark.createDataFrame(rows, "run int, action string, load_day string")
+
+
+def _reloaded(table: str, natural_key: str, build: Callable[[Silver, str, Column], DataFrame]) -> Query:
+    """A dimension whose keys were kept from a load of the natural keys without a 7, then of all."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        key_table = f"{_database(spark, folder, 'keys')}.{table}"
+        spark.sql(f"DROP TABLE IF EXISTS {key_table}")
+        s = Silver(spark, folder)
+        first = build(s, key_table, ~F.contains(F.col(natural_key), F.lit("7")))
+        first.write.format("noop").mode("overwrite").save()
+        return build(s, key_table, F.lit(True))
+
+    return query
+
+
 def _database(spark: SparkSession, folder: str, purpose: str) -> str:
     """A database of its own, whose tables lie in the shared folder."""
     mark = hashlib.md5(f"{spark.sparkContext.applicationId}{folder}".encode()).hexdigest()[:12]
@@ -522,6 +603,28 @@ def all_queries() -> dict[str, Query]:
         ),
         "payments_from_csv": _payments_from_csv,
         "reviews_from_csv": _result(_reviews_from_csv),
+        "reviews_from_one_csv": _result(_reviews_from_one_csv),
+        "dim_seller_reloaded": _reloaded(
+            "dim_seller", "seller_id",
+            lambda t, keys, part: dims.clean_dim_seller_gold(t.sellers().where(part), keys),
+        ),
+        "dim_customer_reloaded": _reloaded(
+            "dim_customer", "customer_unique_id",
+            lambda t, keys, part: dims.build_dim_customer(
+                t.customers().where(part), t.orders(), customer_ids_unique=True, key_table=keys
+            ),
+        ),
+        "incremental_orders": _result(_incremental_orders),
+        "incremental_orders_days": _incremental_days,
+        "malformed_payments_invalid_rows": lambda spark, folder: silver.rejected_values(
+            "order_payments", _broken_payment_lines(spark, folder)
+        ),
+        "malformed_payments_quarantine": lambda spark, folder: silver.quarantine(
+            "order_payments", _broken_payment_lines(spark, folder)
+        )[1].select(*fixed.PAYMENT_COLUMNS, F.transform("broken_rules", lambda r: r["rule"]).alias("rules")),
+        "malformed_payments_tally": lambda spark, folder: silver.tally(
+            "order_payments", _broken_payment_lines(spark, folder)
+        ),
     }
     queries |= _rule_queries()
     for name in silver.SHAPES:

@@ -110,3 +110,44 @@ def test_reconcile_both_directions(table):
         ("a", "missing"), ("b", "matched"), ("c", "extra"), ("d", "extra"),
     }
     assert tuple(reconcile_summary(left, right, "p").first()) == (2, 3, 1, 2)
+
+
+def test_kept_keys_survive_reloads(spark, table):
+    spark.sql("DROP TABLE IF EXISTS kept")
+    load = lambda *ids: {r.id: r.k for r in keys.kept_keys(table("id string, v int", *((i, 1) for i in ids)), "id", "k", "kept").collect()}
+    assert load("m", "c", "x") == {"c": 1, "m": 2, "x": 3}
+    # Adding one renumbers nobody, wherever it stands in the order.
+    assert load("m", "a", "c", "x") == {"c": 1, "m": 2, "x": 3, "a": 4}
+    assert load("x", "x", "d", None) == {"x": 3, "d": 5}
+    assert load("m", "b", "z") == {"m": 2, "b": 6, "z": 7}
+    assert load() == {} and spark.table("kept").count() == 7
+    assert dict(spark.table("kept").dtypes)["k"] == "int"
+    spark.sql("DROP TABLE kept")
+
+
+def test_kept_keys_stop_at_their_type(spark, table, monkeypatch):
+    spark.sql("DROP TABLE IF EXISTS kept")
+    keys.kept_keys(table("id string", ("a",), ("b",)), "id", "k", "kept")
+    monkeypatch.setitem(keys._LARGEST, "int", 2)
+    with pytest.raises(Exception, match="does not fit into int"):
+        keys.kept_keys(table("id string", ("c",)), "id", "k", "kept")
+    assert spark.table("kept").count() == 2
+    spark.sql("DROP TABLE kept")
+
+
+def test_sketch_counts_different_keys(spark):
+    for n in (0, 1, 300, 70_000, 1_000_000):
+        df = spark.range(n).select(F.col("id").cast("string").alias("k")).unionByName(spark.range(5000).select(F.lit("hot").alias("k")))
+        assert RangeBuckets(df, ["k"], 1000).keys == pytest.approx(n + 1, rel=0.02, abs=1)
+
+
+def test_sketch_is_one_job_without_an_exchange_of_keys(spark):
+    df = spark.range(300_000, numPartitions=4).select((F.col("id") % 50_000).alias("v"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("sketch", "split values")
+    buckets = RangeBuckets(df, ["v"], keys_per_bucket=5000)
+    jobs = tracker.getJobIdsForGroup("sketch")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 3  # the stages of one query, which AQE starts one by one
+    sizes = [r["count"] for r in df.groupBy(buckets.number().alias("b")).count().collect()]
+    assert len(sizes) == buckets.wanted == 10 and max(sizes) < 2 * min(sizes)
