@@ -1102,6 +1102,10 @@ SELECT (SELECT count(*) FROM raw_order_payments) AS silver_before,
   (SELECT count(*) FROM ({_clean_payments(TYPES).replace("FROM shaped_payments", "FROM all_placed_payments")})) AS silver_after,
   (SELECT count(*) FROM raw_payment_lines) + (SELECT count(*) FROM ({_REJECTED_PLACED})) AS invalid_rows"""
 
+STATEMENTS["reconcile_orders_unique"] = """
+SELECT o_orderkey AS order_key, CASE WHEN o_orderkey % 900 = 0 OR o_orderkey % 1100 = 0 THEN 'missing' ELSE 'matched' END AS status FROM orders
+UNION ALL SELECT -o_orderkey, 'extra' FROM orders WHERE o_orderkey % 900 <> 0 AND o_orderkey % 1100 = 0"""
+
 # Dimensions of which the natural keys without a 7 were loaded first and keep their keys.
 for _table, _key, _natural in (("dim_seller", "seller_key", "seller_id"), ("dim_customer", "customer_key", "customer_unique_id")):
     STATEMENTS[f"{_table}_reloaded"] = (

@@ -482,6 +482,14 @@ def _order_keys(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
     )
 
 
+def _reconcile_unique(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders against a copy that lacks every 900th and has keys of its own for every 1100th."""
+    orders, _ = _order_keys(spark, folder)
+    key = F.col("order_key")
+    copy = orders.where(key % 900 != 0).select(F.when(key % 1100 == 0, -key).otherwise(key).alias("order_key"))
+    return reconcile.reconcile_unique(orders, copy, "order_key")
+
+
 def _page_paths(spark: SparkSession, folder: str) -> DataFrame:
     """Page addresses reduced to what follows the language segment."""
     from orrery.functions.text import after_marker
@@ -581,6 +589,7 @@ def all_queries() -> dict[str, Query]:
         "reconcile_summary": lambda spark, folder: reconcile.reconcile_summary(
             *_order_keys(spark, folder), "order_key"
         ),
+        "reconcile_orders_unique": _reconcile_unique,
         "page_paths": _page_paths,
         "table_profile": _profile,
         "export_profile": _exported,

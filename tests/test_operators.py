@@ -10,7 +10,7 @@ from orrery.operators import keys
 from orrery.operators.keys import dense_key
 from orrery.operators.medians import median_per_key
 from orrery.operators.ranges import RangeBuckets
-from orrery.operators.reconcile import reconcile, reconcile_summary
+from orrery.operators.reconcile import reconcile, reconcile_summary, reconcile_unique
 from orrery.operators.survivors import distinct_rows, first_per_key
 
 
@@ -151,3 +151,15 @@ def test_sketch_is_one_job_without_an_exchange_of_keys(spark):
     assert len(jobs) <= 3  # the stages of one query, which AQE starts one by one
     sizes = [r["count"] for r in df.groupBy(buckets.number().alias("b")).count().collect()]
     assert len(sizes) == buckets.wanted == 10 and max(sizes) < 2 * min(sizes)
+
+
+def test_reconcile_by_digests(spark, table):
+    left = spark.range(5000).select((F.col("id") * 7).alias("k"))
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    right = left.where("k % 500 <> 0").unionByName(table("k bigint", (-1,), (-2,), (None,)))
+    assert rows(reconcile_unique(left, right, "k")) == rows(reconcile(left, right, "k"))
+    assert rows(reconcile_unique(left, left, "k")) == [(7 * k, "matched") for k in range(5000)]
+    assert rows(reconcile_unique(left.limit(0), right, "k")) == rows(reconcile(left.limit(0), right, "k"))
+    # Between equal sets no bucket is open: the plan's exchange has nothing to move.
+    physical = plan_of(reconcile_unique(left, left, "k")).split("Physical Plan")[1]
+    assert "Exchange" not in physical
