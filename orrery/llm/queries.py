@@ -36,6 +36,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_stratified_shards": sharding.OP4_SQL,
         "op5_backoff_scores": ngram_lm.OP5_SQL,
         "op8_chat_grammar": chat.OP8_SQL,
+        "op11_trie_pairs": spelling.OP11_SQL,
         "op12_lempel_ziv": lempel_ziv.OP12_SQL,
         "op13_prefix_crcs": resampling.OP13_SQL,
     }

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orrery.llm.common import settled, table
+from orrery.llm.resampling import CRC_SQL, crc_sql
 from orrery.operators.keys import dense_key
 
 RUN = re.compile(r"[a-zÀ-ÿ]+")
@@ -218,3 +219,20 @@ def variants(counted: DataFrame, word_col: str = "word", n_col: str = "n", times
 def op11(spark, sf_dir: str) -> DataFrame:
     words = word_counts(table(spark, sf_dir, "documents")).where(F.col("n") >= MIN_COUNT)
     return variants(words)
+
+
+OP11_SQL = rf"""
+WITH RECURSIVE {CRC_SQL.strip()},
+runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+hashed AS (SELECT run, c, {crc_sql("doc_id || ':' || run")} AS h FROM (SELECT doc_id, run, count(*) AS c FROM runs GROUP BY ALL), steps),
+spelt AS (SELECT CASE WHEN h % {ONE_IN} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM hashed),
+words AS (SELECT word, sum(c)::BIGINT AS n FROM spelt WHERE length(word) >= {MIN_LETTERS} GROUP BY word HAVING sum(c) >= {MIN_COUNT}),
+gaps AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (SELECT a.word, b.word AS other FROM gaps a JOIN gaps b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT g.word, w.word FROM gaps g JOIN words w ON g.rest = w.word UNION SELECT w.word, g.word FROM gaps g JOIN words w ON g.rest = w.word),
+best AS (SELECT near.word, count(*) OVER (PARTITION BY near.word) AS n_near, other, n AS other_n, row_number() OVER (PARTITION BY near.word ORDER BY n DESC, other) AS k FROM near JOIN words ON other = words.word),
+forms AS (SELECT words.word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= {TIMES} * n THEN other END AS form, CASE WHEN other_n >= {TIMES} * n THEN other_n END AS form_n
+  FROM words LEFT JOIN best ON words.word = best.word AND k = 1),
+chain AS (SELECT word, word AS root, form AS onward FROM forms UNION ALL SELECT chain.word, forms.word, forms.form FROM chain JOIN forms ON chain.onward = forms.word)
+SELECT word, n, n_near, form, form_n, root FROM forms JOIN (SELECT word, root FROM chain WHERE onward IS NULL) USING (word)
+"""

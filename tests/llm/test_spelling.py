@@ -2,6 +2,7 @@ import random
 from collections import Counter
 from zlib import crc32
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,6 +81,13 @@ def test_query_agrees_with_brute_force(spark, sf):
     assert any(r[3] for r in want)
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_sql_agrees_with_brute_force(sf):
+    duckdb.sql(f"CREATE OR REPLACE VIEW documents AS FROM '/root/testdata/{sf}/documents.parquet'")
+    n = brute_counts(duckdb.sql("SELECT doc_id, text FROM documents").fetchall())
+    assert sorted(duckdb.sql(spelling.OP11_SQL).fetchall()) == brute_variants({w: k for w, k in n.items() if k >= 3})
+
+
 def all_pairs(n, times=2):
     """As ``brute_variants``, but every pair of words is compared."""
     return [(w, sum(is_near(w, x) for x in n)) for w in sorted(n)]
