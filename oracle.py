@@ -11,6 +11,7 @@ import re
 
 from orrery.sources.spoiled import NUMBER, SPOILS
 
+# Fixed values, as in orrery/fixed.py.
 STATES = (
     "['AC','AL','AM','AP','BA','CE','DF','ES','GO','MA','MG','MS','MT','PA',"
     "'PB','PE','PI','PR','RJ','RN','RO','RR','RS','SC','SE','SP','TO']"

@@ -35,7 +35,7 @@ def build_dim_date(
     study_year: int = fixed.STUDY_YEAR,
 ) -> DataFrame:
     """One row per day between two fixed dates; `source` only lends its session."""
-    spark = source.sparkSession if isinstance(source, DataFrame) else source
+    spark = getattr(source, "sparkSession", source)
     bounds = spark.range(1).select(
         F.lit(start_date).cast("date").alias("first"), F.lit(end_date).cast("date").alias("last")
     )
