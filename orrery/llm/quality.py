@@ -2,9 +2,11 @@
 
 The sketch is a histogram over logarithmic buckets with five significant bits. Sketches merge by adding
 counts, so they fold inside each task before the shuffle, and a source's sketches add up to its language's.
-A value fails if it lies beyond a fence: a quartile plus ``REACH`` times the distance between quartiles (or
-``LEAST`` of the measure, if the quartiles are closer). A stratum with fewer than ``ENOUGH`` documents is
-judged by the fences of its language, and a language with fewer by those of all documents.
+A value fails if it lies beyond a fence: a high quantile of the measure plus a multiple of its distance from the
+median, both taken at the ends of their buckets, so that no fence is narrower than the sketch can tell. The quantile is the share of documents that a measure is expected to leave alone in any stratum; where
+the fence then lies, the stratum alone decides. The sketch of a stratum is read together with that of its
+language, which weighs as much as ``PRIOR`` documents: it decides for a stratum of a few documents and has
+hardly any influence on one of thousands, without a switch between them.
 """
 
 from __future__ import annotations
@@ -17,14 +19,13 @@ from orrery.llm.common import SPACES, free_name, settled, table
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-REACH = 6
-ENOUGH = 50
-#: Measures (integers), the side that is bad, and the least distance between quartiles.
+PRIOR = 20
+#: Measures (integers): the side that is bad, the quantile in percent, and how often its distance from the median counts.
 MEASURES = {
-    "symbol_share": ("high", 80),
-    "dup_line_share": ("high", 1000),
-    "repeat_share": ("high", 800),
-    "word_length": ("both", 50),
+    "symbol_share": ("high", 90, 3),
+    "dup_line_share": ("high", 99, 2),
+    "repeat_share": ("high", 99, 2),
+    "word_length": ("both", 90, 6),
 }
 
 
@@ -101,36 +102,34 @@ def sketches(measures: DataFrame, lang_col: str, source_col: str) -> DataFrame:
     return measures.select(F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), each.alias("e")).groupBy("lang", "source", F.col("e.measure").alias("measure"), F.col("e.bucket").alias("bucket")).agg(F.count("*").alias("n"))
 
 
-def _fences(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """Per ``by``: the number of documents, and low and high fences of each measure as two maps."""
-    merged = sketch.groupBy(*by, "measure", "bucket").agg(F.sum("n").alias("n"))
-    own = Window.partitionBy(*by, "measure")
-    ranked = merged.withColumn("upto", F.sum("n").over(own.orderBy("bucket"))).withColumn("docs", F.sum("n").over(own))
-    quarter = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("docs") * q, lower_end(F.col("bucket"))))
-    ends = ranked.groupBy(*by, "measure").agg(F.max("docs").alias("docs"), quarter(1).alias("q1"), quarter(3).alias("q3"))
-    least = F.create_map(*[F.lit(x) for m, (_, d) in MEASURES.items() for x in (m, d)])
-    gap = F.greatest(F.col("q3") - F.col("q1"), F.element_at(least, F.col("measure"))) * REACH
-    ends = ends.select(*by, "measure", "docs", (F.col("q1") - gap).alias("low"), (F.col("q3") + gap).alias("high"))
-    pick = lambda m, end: F.max(F.when(F.col("measure") == m, F.col(end))).alias(f"{m}_{end}")
-    return ends.groupBy(*by).agg(F.max("docs").alias("docs"), *[pick(m, end) for m in MEASURES for end in ("low", "high")])
+def upper_end(b: Column) -> Column:
+    """Largest integer of a bucket."""
+    return lower_end(b + 1) - 1
 
 
 def fences(sketch: DataFrame) -> DataFrame:
-    """(lang, source, fence) for each stratum of the sketch, from the first level with enough documents.
-
-    ``sketch`` should be a written table: it is read for each level, and the level of all documents, one row
-    whatever the input, becomes constants of the plan.
-    """
-    ends = [f"{m}_{end}" for m in MEASURES for end in ("low", "high")]
-    own, lang = _fences(sketch, ["lang", "source"]), _fences(sketch, ["lang"])
-    whole = _fences(sketch, []).first()
-    of_all = F.struct(*[F.lit(whole[e] if whole else None).cast("double").alias(e) for e in ends])
-    fence = F.struct(*[F.col(e).cast("double").alias(e) for e in ends])
-    own = own.select("lang", "source", F.col("docs").alias("n"), fence.alias("own"))
-    lang = lang.select(F.col("lang").alias("lang2"), F.col("docs").alias("n2"), fence.alias("of_lang"))
-    joined = own.join(lang, F.col("lang").eqNullSafe(F.col("lang2")))
-    used = F.when(F.col("n") >= ENOUGH, F.col("own")).when(F.col("n2") >= ENOUGH, F.col("of_lang")).otherwise(of_all)
-    return joined.select("lang", "source", used.alias("fence"))
+    """(lang, source, fence) for each stratum of the sketch; ``sketch`` should be a written table, as it is read three times."""
+    by = ["lang", "source", "measure"]
+    of_lang = sketch.groupBy("lang", "measure", "bucket").agg(F.sum("n").alias("n"))
+    docs = of_lang.groupBy("lang", "measure").agg(F.sum("n").alias("docs"))
+    named = lambda df: df.withColumnsRenamed({"lang": "lang_", "measure": "measure_"})
+    same = F.col("lang").eqNullSafe(F.col("lang_")) & (F.col("measure") == F.col("measure_"))
+    weight = lambda c: c.cast("decimal(19,0)")
+    # Both sides in whole numbers: n of the stratum and PRIOR times the share of the language's documents.
+    own = sketch.join(named(docs), same).select(*by, "bucket", (weight(F.col("n")) * weight(F.col("docs"))).alias("w"))
+    prior = sketch.select(*by).distinct().join(named(of_lang), same).select(*by, "bucket", (weight(F.col("n")) * F.lit(PRIOR)).alias("w"))
+    merged = own.unionByName(prior.withColumn("w", F.col("w").cast(own.schema["w"].dataType))).groupBy(*by, "bucket").agg(F.sum("w").alias("w"))
+    stratum = Window.partitionBy(*by)
+    ranked = merged.withColumn("upto", F.sum("w").over(stratum.orderBy("bucket"))).withColumn("all", F.sum("w").over(stratum))
+    level = F.element_at(F.create_map(*[F.lit(x) for m, (_, p, _) in MEASURES.items() for x in (m, p)]), F.col("measure"))
+    reach = F.element_at(F.create_map(*[F.lit(x) for m, (_, _, r) in MEASURES.items() for x in (m, r)]), F.col("measure"))
+    at = lambda percent: F.min(F.when(F.col("upto") * 100 >= F.col("all") * percent, F.col("bucket")))
+    ends = ranked.withColumn("level", level).groupBy(*by).agg(at(F.lit(50)).alias("middle"), at(F.col("level")).alias("top"), at(100 - F.col("level")).alias("bottom"))
+    top, bottom = upper_end(F.col("top")), lower_end(F.col("bottom"))
+    below, above = lower_end(F.col("middle")), upper_end(F.col("middle"))
+    ends = ends.select(*by, (bottom - (above - bottom) * reach).alias("low"), (top + (top - below) * reach).alias("high"))
+    pick = lambda m, end: F.max(F.when(F.col("measure") == m, F.col(end))).cast("double").alias(f"{m}_{end}")
+    return ends.groupBy("lang", "source").agg(F.struct(*[pick(m, end) for m in MEASURES for end in ("low", "high")]).alias("fence"))
 
 
 def base_failed(m: Column) -> Column:
@@ -155,7 +154,7 @@ def with_verdict(found: DataFrame, limits: DataFrame, measures_col: str, verdict
     limits = limits.select(F.col("lang").alias(names["lang_"]), F.col("source").alias(names["source_"]), F.col("fence").alias(names["fence"]))
     joined = found.join(limits, F.col(lang_col).eqNullSafe(F.col(names["lang_"])) & F.col(source_col).eqNullSafe(F.col(names["source_"])), "left")
     failed = base_failed(m)
-    over = {k: (m[k] > fence[f"{k}_high"]) | (m[k] < fence[f"{k}_low"] if side == "both" else F.lit(False)) for k, (side, _) in MEASURES.items()}
+    over = {k: (m[k] > fence[f"{k}_high"]) | (m[k] < fence[f"{k}_low"] if side == "both" else F.lit(False)) for k, (side, _, _) in MEASURES.items()}
     which = F.when(failed, F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in over.items()])))
     verdict = F.struct(failed.alias("base_failed"), which.alias("failed"), (~failed & (F.size(which) == 0)).alias("kept"))
     return joined.withColumn(verdict_col, verdict).drop(*names.values())
@@ -167,10 +166,10 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sour
     Null text is empty and fails the base rule. Null languages and sources are strata of their own. Repeated
     rows are judged alike. Documents that fail the base rule do not enter the sketches. Columns of ``docs``
     keep their names and values; a new one whose name is taken gets an underscore. An empty table gives an
-    empty result. The texts are measured twice, for the sketches and for the verdict, and never shuffled.
+    empty result. Rows are written once beside their measures, and texts are never shuffled.
     """
     measures, verdict = free_name(docs, "measures"), free_name(docs, "verdict")
-    found = measured(docs, text_col)
+    found = settled(measured(docs, text_col))
     limits = limits_of(found, measures, lang_col, source_col)
     return with_verdict(found, limits, measures, verdict, lang_col, source_col)
 
@@ -191,16 +190,9 @@ def op2(spark, sf_dir: str) -> DataFrame:
 
 def _op2_sql() -> str:
     rows = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, {m} AS x FROM m WHERE NOT base_failed" for m in MEASURES)
-    gaps = "CASE measure " + " ".join(f"WHEN '{m}' THEN {d}" for m, (_, d) in MEASURES.items()) + " END"
-    level = lambda by: f"""
-      SELECT {by}measure, docs, q1 - {REACH} * greatest(q3 - q1, {gaps}) AS low, q3 + {REACH} * greatest(q3 - q1, {gaps}) AS high FROM (
-        SELECT {by}measure, max(docs) AS docs, min(least_x) FILTER (upto * 4 >= docs) AS q1, min(least_x) FILTER (upto * 4 >= docs * 3) AS q3 FROM (
-          SELECT {by}measure, bucket, CASE WHEN bucket < 64 THEN bucket ELSE (bucket % 32 + 32) << (bucket // 32 - 1)::INT END AS least_x,
-            sum(n) OVER (PARTITION BY {by}measure ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {by}measure) AS docs
-          FROM (SELECT {by}measure, bucket, count(*) AS n FROM s GROUP BY ALL)
-        ) GROUP BY {by}measure
-      )"""
-    over = {m: f"m.{m} > f.high" + (f" OR m.{m} < f.low" if side == "both" else "") for m, (side, _) in MEASURES.items()}
+    case = lambda k: "CASE measure " + " ".join(f"WHEN '{m}' THEN {v[k]}" for m, v in MEASURES.items()) + " END"
+    low = lambda b: f"CASE WHEN {b} < 64 THEN {b} ELSE (({b}) % 32 + 32) << (({b}) // 32 - 1)::INT END"
+    over = {m: f"m.{m} > f.high" + (f" OR m.{m} < f.low" if side == "both" else "") for m, (side, _, _) in MEASURES.items()}
     beyond = " ".join(f"WHEN '{m}' THEN {c}" for m, c in over.items())
     order = "CASE f.measure " + " ".join(f"WHEN '{m}' THEN {k}" for k, m in enumerate(MEASURES)) + " END"
     return rf"""
@@ -216,11 +208,16 @@ m AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERC
   n_symbols * 10000 // greatest(word_chars, 1) AS symbol_share, n_dup_lines * 10000 // greatest(n_lines, 1) AS dup_line_share,
   n_repeat_words * 10000 // greatest(n_words, 1) AS repeat_share, word_chars * 100 // greatest(n_words, 1) AS word_length FROM b),
 s AS (SELECT lang, source, measure, CASE WHEN x < 64 THEN x ELSE (length(bin(x)) - 6) * 32 + (x >> (length(bin(x)) - 6)::INT) END AS bucket FROM ({rows})),
-own AS ({level("lang, source, ")}), of_lang AS ({level("lang, ")}), of_all AS ({level("")}),
-f AS (SELECT own.lang, own.source, own.measure,
-  CASE WHEN own.docs >= {ENOUGH} THEN own.low WHEN l.docs >= {ENOUGH} THEN l.low ELSE a.low END AS low,
-  CASE WHEN own.docs >= {ENOUGH} THEN own.high WHEN l.docs >= {ENOUGH} THEN l.high ELSE a.high END AS high
-  FROM own JOIN of_lang l ON own.lang IS NOT DISTINCT FROM l.lang AND own.measure = l.measure JOIN of_all a ON own.measure = a.measure),
+n AS (SELECT lang, source, measure, bucket, count(*)::HUGEINT AS n FROM s GROUP BY ALL),
+l AS (SELECT lang, measure, bucket, sum(n) AS n FROM n GROUP BY ALL), t AS (SELECT lang, measure, sum(n) AS docs FROM n GROUP BY ALL),
+u AS (SELECT n.lang, n.source, n.measure, n.bucket, n.n * t.docs AS w FROM n JOIN t ON n.lang IS NOT DISTINCT FROM t.lang AND n.measure = t.measure
+  UNION ALL SELECT k.lang, k.source, k.measure, l.bucket, l.n * {PRIOR} FROM (SELECT DISTINCT lang, source, measure FROM n) k JOIN l ON k.lang IS NOT DISTINCT FROM l.lang AND k.measure = l.measure),
+r2 AS (SELECT *, sum(w) OVER (PARTITION BY lang, source, measure ORDER BY bucket) AS upto, sum(w) OVER (PARTITION BY lang, source, measure) AS total
+  FROM (SELECT lang, source, measure, bucket, sum(w) AS w FROM u GROUP BY ALL)),
+q AS (SELECT lang, source, measure, min(bucket) FILTER (upto * 100 >= total * 50) AS middle, min(bucket) FILTER (upto * 100 >= total * ({case(1)})) AS top,
+  min(bucket) FILTER (upto * 100 >= total * (100 - ({case(1)}))) AS bottom FROM r2 GROUP BY ALL),
+e AS (SELECT lang, source, measure, {low("middle")} AS below, {low("middle + 1")} - 1 AS above, {low("top + 1")} - 1 AS top, {low("bottom")} AS bottom FROM q),
+f AS (SELECT lang, source, measure, bottom - (above - bottom) * ({case(2)}) AS low, top + (top - below) * ({case(2)}) AS high FROM e),
 v AS (SELECT m.rid, string_agg(f.measure, ',' ORDER BY {order}) AS failed FROM m JOIN f ON m.lang IS NOT DISTINCT FROM f.lang AND m.source IS NOT DISTINCT FROM f.source
   WHERE NOT base_failed AND CASE f.measure {beyond} END GROUP BY m.rid)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND v.failed IS NULL AS kept, coalesce(v.failed, '') AS failed

@@ -1,10 +1,12 @@
 import re
 from collections import Counter
+from fractions import Fraction
 
 from pyspark.sql import functions as F
 
 from llm_fixtures import docs, none  # noqa: F401
 from orrery.llm import quality
+from orrery.llm.common import settled
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -47,16 +49,64 @@ def test_outliers_go_and_the_rest_stays(spark):
     assert [i for i in range(400) if not found[i].kept] == []
     assert all(found[1000 + i].failed == ["symbol_share", "word_length"] or "symbol_share" in found[1000 + i].failed for i in range(3))
     assert found[2000].base_failed and found[2001].base_failed and found[2002].base_failed
-    assert found[2003].kept  # its own stratum is small: judged by the pooled sketch
+    assert found[2003].kept  # alone in its language: nothing to be beyond
 
 
 def test_fences_follow_the_stratum(spark):
-    plain = [(i, " ".join(f"w{(i + k * 13) % 501}" for k in range(90)), "en", "prose") for i in range(80)]
-    code = [(500 + i, " ".join(f"w{(i + k * 13) % 501}<{'&' * (k % 2)}" for k in range(90)), "en", "code") for i in range(80)]
-    odd = [(900, code[0][1], "en", "prose")]
+    """One value, two verdicts: symbols are common in code and unheard of in prose."""
+    plain = [(i, " ".join(f"w{(i + k * 13) % 501}" for k in range(90)), "en", "prose") for i in range(400)]
+    code = [(500 + i, " ".join(f"w{(i + k * 13) % 501}<{'&' * (k % 2)}" for k in range(90)), "en", "code") for i in range(400)]
+    odd = [(1000, code[0][1], "en", "prose")]
     df = spark.createDataFrame(plain + code + odd, "doc_id long, text string, lang string, source string")
-    kept = {r.doc_id for r in quality.keep_good(df).collect()}
-    assert kept == {r[0] for r in plain + code}
+    found = {r.doc_id: r.verdict for r in quality.judged(df).collect()}
+    assert all(found[r[0]].kept for r in plain + code)
+    assert "symbol_share" in found[1000].failed and found[500].kept
+
+
+def brute_fences(rows):
+    """(lang, source) to measure to (low, high) of (lang, source, measures): quantiles of expanded lists, in fractions."""
+
+    def ends(x):
+        shift = max(0, x.bit_length() - 6)
+        return x >> shift << shift, ((x >> shift) + 1 << shift) - 1
+
+    out = {}
+    for lang, source in {r[:2] for r in rows}:
+        for m, (_, level, reach) in quality.MEASURES.items():
+            mass = Counter()
+            of_lang = [ends(r[2][m]) for r in rows if r[0] == lang]
+            for x in of_lang:
+                mass[x] += Fraction(quality.PRIOR, len(of_lang))
+            for r in rows:
+                mass[ends(r[2][m])] += r[:2] == (lang, source)
+            total, upto, at = sum(mass.values()), 0, {}
+            for x in sorted(mass):
+                upto += mass[x]
+                for p in (50, level, 100 - level):
+                    if 100 * upto >= p * total:
+                        at.setdefault(p, x)
+            (below, above), top, bottom = at[50], at[level][1], at[100 - level][0]
+            out.setdefault((lang, source), {})[m] = bottom - (above - bottom) * reach, top + (top - below) * reach
+    return out
+
+
+def test_fences_agree_with_a_loop_and_come_from_the_data(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang", "source")
+    found = settled(quality.measured(docs).drop("text"))
+    limits = {(r["lang"], r["source"]): r.fence for r in quality.limits_of(found, "measures", "lang", "source").collect()}
+    rows = [(r["lang"], r["source"], r.measures) for r in found.where(~quality.base_failed(F.col("measures"))).collect()]
+    want = brute_fences(rows)
+    assert limits.keys() == want.keys()
+    for key, fence in limits.items():
+        assert {m: (fence[f"{m}_low"], fence[f"{m}_high"]) for m in quality.MEASURES} == want[key], key
+    # Strata differ, and the fences of three measures lie where the data are, not at a constant.
+    assert all(len({f[m][1] for f in want.values()}) > 3 for m in ("dup_line_share", "repeat_share", "word_length"))
+
+
+def test_every_fence_of_a_share_decides_somewhere(spark):
+    found = quality.op2(spark, "/root/testdata/sf0.1").where("NOT base_failed AND NOT kept")
+    failed = {m for r in found.select("failed").distinct().collect() for m in r.failed.split(",")}
+    assert failed >= {"symbol_share", "repeat_share", "word_length"}
 
 
 def test_own_columns_survive_and_empty_tables_pass(docs, none, spark):
