@@ -2,9 +2,13 @@
 
 For every character class, candidate strings are maximal runs of its characters. A window slides over each
 candidate; moving it by one character changes two counts, and the Shannon entropy of the window changes by
-table values of the old and the new counts, kept as integers. A candidate with a window at or above the
-class's threshold is a span, from the start of the first such window to the end of the last, unless the
-allow-list knows it or a span of a fixed pattern covers it.
+table values of the old and the new counts, kept as integers. A class's threshold lies ``MARGIN`` bits below the
+mean entropy of random windows of its alphabet. A candidate with a window at or above it holds a span, from the
+start of the first such window to the end of the last, unless the allow-list knows the candidate or that part
+of it, or another span covers it that begins earlier, is longer or of a kind listed before.
+
+Positions come from running sums, formed in as many rounds as the logarithm of their number, so a text with
+ten thousand spans takes ten times as long as one with a thousand.
 """
 
 from __future__ import annotations
@@ -23,18 +27,52 @@ BASE = {
     "access": (r"AKIA[A-Z0-9]{16,}", 20, 0),
     "hex": (r"[0-9a-f]{24,}", 24, 0),
 }
-#: Character classes: alphabet, its pattern, window, threshold in bits.
+WINDOW = 16
+MARGIN = 0.4
+
+
+def expected_bits(letters: int, window: int) -> float:
+    """Mean entropy of ``window`` random characters of an alphabet."""
+    of_count = lambda c: math.comb(window, c) * letters**-c * (1 - 1 / letters) ** (window - c) * c * math.log2(c)
+    return math.log2(window) - letters / window * sum(of_count(c) for c in range(2, window + 1))
+
+
+def _class(alphabet: str, pattern: str, letters: int | None = None) -> tuple[str, str, int, float]:
+    return alphabet, pattern, WINDOW, round(expected_bits(letters or len(alphabet), WINDOW) - MARGIN, 4)
+
+
+_UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+#: Character classes: alphabet, its pattern, window, threshold in bits. Keys in hexadecimal digits use 16 letters in
+#: one case, those in capitals 32 (base 32).
 CLASSES = {
-    "entropy_hex": ("0123456789abcdefABCDEF", "[0-9a-fA-F]", 20, 3.0),
-    "entropy_base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-", "[A-Za-z0-9+/_-]", 20, 4.0),
+    "entropy_hex": _class(_DIGITS + "abcdefABCDEF", "[0-9a-fA-F]", 16),
+    "entropy_lower": _class(_LOWER + _DIGITS, "[a-z0-9]"),
+    "entropy_upper": _class(_UPPER + _DIGITS, "[A-Z0-9]", 32),
+    "entropy_base64": _class(_UPPER + _LOWER + _DIGITS + "+/_-", "[A-Za-z0-9+/_-]", 64),
 }
-#: Candidates that match one of these as a whole are not secrets: UUIDs, lower-case paths and slugs, placeholders.
+#: Candidates, or evenly mixed parts of them, that match one of these as a whole are not secrets: UUIDs; words, paths and
+#: slugs, capitalised or not, with a short number; words in capitals; numbers; placeholders with little around them.
 ALLOWED = (
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
-    r"[A-Z]?[a-z/_+-]+[0-9]{0,4}/?",
-    r"(?i).*(example|placeholder|changeme|xxxxxx).*",
+    r"([A-Z][a-z]|[a-z/_+-])+[0-9]{0,4}/?",
+    r"[A-Z/_+-]+[0-9]{0,4}",
+    r"[0-9/_+-]+",
+    r"(?i)[a-z0-9_-]{0,16}(example|placeholder|changeme|xxxxxx)[a-z0-9_-]{0,16}",
 )
 _UNIT = 1 << 20
+#: Characters of a block of text that is cut on its own.
+_BLOCK = 1024
+
+
+def _running(values: Column, merge) -> Column:
+    """Running totals of an array under ``merge``, in about log2 of its size rounds."""
+    rounds = F.filter(F.sequence(F.lit(0), F.lit(30)), lambda j: F.pow(F.lit(2), j) < F.size(values))
+
+    def doubled(acc: Column, j: Column) -> Column:
+        back = F.pow(F.lit(2), j).cast("int")
+        return F.transform(acc, lambda x, i: F.when(i >= back, merge(F.get(acc, i - back), x)).otherwise(x))
+
+    return F.aggregate(rounds, values, doubled)
 
 
 def _spans(text: Column, pattern: str, group: int, least: int) -> Column:
@@ -45,14 +83,9 @@ def _spans(text: Column, pattern: str, group: int, least: int) -> Column:
     hit = F.lit(pattern)
 
     def placed(m: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,v:string,g:string>>").alias("out"))
-
-        def step(acc: Column, i: Column) -> Column:
-            s = acc["at"] + F.length(F.get(m["gaps"], i))
-            e = s + F.length(F.get(m["all"], i))
-            return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), F.get(m["all"], i).alias("v"), F.get(m["group"], i).alias("g")))).alias("out"))
-
-        found = F.aggregate(F.sequence(F.lit(0), F.size(m["all"]) - 1), start, step)["out"]
+        steps = F.transform(m["all"], lambda x, i: F.length(F.get(m["gaps"], i)) + F.length(x))
+        ends = _running(steps, lambda a, b: a + b)
+        found = F.transform(ends, lambda e, i: F.struct((e - F.length(F.get(m["all"], i))).alias("s"), e.alias("e"), F.get(m["all"], i).alias("v"), F.get(m["group"], i).alias("g")))
         return F.transform(F.filter(found, lambda x: F.length(x["g"]) >= least), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["v"].alias("v")))
 
     parts = F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, hit, F.lit(0)).alias("all"), F.regexp_extract_all(text, hit, F.lit(group)).alias("group"))
@@ -63,13 +96,13 @@ def _weights(window: int) -> list[int]:
     return [0] + [round(_UNIT * c * math.log2(c)) for c in range(1, window + 1)]
 
 
-def even_stretch(candidate: Column, alphabet: str, window: int, bits: float) -> Column:
+def even_stretch(candidate: Column, window: int, bits: float) -> Column:
     """struct<s, e> of the stretch from the first to the last window with at least ``bits`` of entropy; null without one."""
     table_ = F.array(*[F.lit(x) for x in _weights(window)])
     most = math.floor(_UNIT * window * (math.log2(window) - bits))
 
     def scanned(codes: Column) -> Column:
-        zero = F.struct(F.array_repeat(F.lit(0), len(alphabet)).alias("counts"), F.lit(0).alias("sum"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
+        zero = F.struct(F.array_repeat(F.lit(0), F.array_max(codes) + 1).alias("counts"), F.lit(0).alias("sum"), F.lit(-1).alias("first"), F.lit(-1).alias("last"))
 
         def move(acc: Column, i: Column) -> Column:
             new, old = F.get(codes, i), F.coalesce(F.get(codes, i - window), F.lit(-1))
@@ -84,8 +117,11 @@ def even_stretch(candidate: Column, alphabet: str, window: int, bits: float) ->
         return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), zero, move, lambda acc: F.when(acc["first"] >= 0, F.struct(acc["first"].alias("s"), acc["last"].alias("e"))))
 
     # A window of n different characters has log2(n) bits at most, so fewer than 2**bits rule a candidate out.
-    codes = lambda c: F.transform(c, lambda x: F.instr(F.lit(alphabet), x) - 1)
-    return let(F.split(candidate, ""), lambda c: F.when(F.size(F.array_distinct(c)) >= math.ceil(2**bits - 1e-9), let(codes(c), scanned)))
+    def of(m: Column) -> Column:
+        codes = F.transform(m["chars"], lambda x: F.array_position(m["letters"], x).cast("int") - 1)
+        return F.when(F.size(m["letters"]) >= math.ceil(2**bits - 1e-9), let(codes, scanned))
+
+    return let(F.split(candidate, ""), lambda c: let(F.struct(c.alias("chars"), F.array_distinct(c).alias("letters")), of))
 
 
 def _with_kind(spans: Column, kind: str) -> Column:
@@ -93,17 +129,43 @@ def _with_kind(spans: Column, kind: str) -> Column:
     return F.transform(spans, lambda x: F.struct(x["s"].alias("s"), F.lit(rank).alias("rank"), x["e"].alias("e"), F.lit(kind).alias("kind"), x["v"].alias("v")))
 
 
-def _by_entropy(text: Column, kind: str, allowed: tuple[str, ...]) -> Column:
-    alphabet, pattern, window, bits = CLASSES[kind]
-    candidates = _spans(text, f"{pattern}{{{window},}}", 0, window)
-    if allowed:
-        known = "^(?:" + "|".join(f"(?:{a})" for a in allowed) + ")$"
-        candidates = F.filter(candidates, lambda x: ~x["v"].rlike(known))
+def _candidates(text: Column, kind: str, known: str | None) -> Column:
+    """Maximal runs of a class's characters that hold a window, other than those that the allow-list knows."""
+    _, pattern, window, _ = CLASSES[kind]
+    found = _spans(text, f"{pattern}{{{window},}}", 0, window)
+    return _with_kind(F.filter(found, lambda x: ~x["v"].rlike(known)) if known else found, kind)
+
+
+def _in_order(spans: Column) -> Column:
+    """Spans by start, longer ones first: one is covered if some span before it ends with it or later."""
+    return F.sort_array(F.transform(spans, lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("back"), x["rank"].alias("rank"), x.alias("x"))))
+
+
+def _uncovered(spans: Column, by_base_only: bool) -> Column:
+    """Base spans, and the others that none before them in order (or no base span) covers."""
 
-    def hit(x: Column) -> Column:
-        return let(even_stretch(x["v"], alphabet, window, bits), lambda h: F.when(h.isNotNull(), F.struct((x["s"] + h["s"]).alias("s"), (x["s"] + h["e"]).alias("e"), F.substring(x["v"], h["s"] + 1, h["e"] - h["s"]).alias("v"))))
+    def of(a: Column) -> Column:
+        counted = lambda x: F.when(x["rank"] < len(BASE), -x["back"]).otherwise(F.lit(-1)) if by_base_only else -x["back"]
+        ends = _running(F.transform(a, counted), F.greatest)
+        free = lambda e: F.filter(a, lambda x, i: (x["rank"] < len(BASE)) | (i == 0) | (-x["back"] > F.get(e, i - 1)))
+        return F.transform(let(ends, free), lambda x: x["x"])
 
-    return F.array_compact(F.transform(candidates, hit))
+    return let(_in_order(spans), of)
+
+
+def _even_part(x: Column, known: str | None) -> Column:
+    """A base span as it is; the evenly mixed part of a candidate, null if there is none or the allow-list knows it."""
+    ranks = list(enumerate(CLASSES.values(), len(BASE)))
+    stretch = F.when(x["rank"] == ranks[0][0], even_stretch(x["v"], *ranks[0][1][2:]))
+    for rank, (_, _, window, bits) in ranks[1:]:
+        stretch = stretch.when(x["rank"] == rank, even_stretch(x["v"], window, bits))
+
+    def part(h: Column) -> Column:
+        v = F.substring(x["v"], h["s"] + 1, h["e"] - h["s"])
+        found = F.struct((x["s"] + h["s"]).alias("s"), x["rank"].alias("rank"), (x["s"] + h["e"]).alias("e"), x["kind"].alias("kind"), v.alias("v"))
+        return F.when(h.isNotNull() & (~v.rlike(known) if known else F.lit(True)), found)
+
+    return F.when(x["rank"] < len(BASE), x).otherwise(let(stretch, part))
 
 
 def scanned(docs: DataFrame, text_col: str = "text", allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
@@ -115,15 +177,17 @@ def scanned(docs: DataFrame, text_col: str = "text", allowed: tuple[str, ...] =
     """
     base, spans = free_name(docs, "base"), free_name(docs, "spans")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    fixed = F.array_sort(F.concat(*[_with_kind(_spans(text, p, g, n), kind) for kind, (p, n, g) in BASE.items()]))
-    mixed = F.concat(*[_with_kind(_by_entropy(text, kind, allowed), kind) for kind in CLASSES])
+    known = "^(?:" + "|".join(f"(?:{a})" for a in allowed) + ")$" if allowed else None
+    fixed = [_with_kind(_spans(text, p, g, n), kind) for kind, (p, n, g) in BASE.items()]
+    # What a base span covers needs no window.
+    free = _uncovered(F.concat(*fixed, *[_candidates(text, kind, known) for kind in CLASSES]), True)
+    parts = F.array_compact(F.transform(free, lambda x: _even_part(x, known)))
 
-    def joined(b: Column) -> Column:
-        new = F.filter(mixed, lambda x: ~F.exists(b, lambda y: (y["s"] <= x["s"]) & (y["e"] >= x["e"])))
-        return F.struct(b.alias("base"), F.sort_array(F.concat(b, new)).alias("spans"))
+    def joined(a: Column) -> Column:
+        return F.struct(F.filter(a, lambda x: x["rank"] < len(BASE)).alias("base"), a.alias("spans"))
 
     both = free_name(docs, "both")
-    found = docs.withColumn(both, let(fixed, joined))
+    found = docs.withColumn(both, let(F.sort_array(let(parts, lambda a: _uncovered(a, False))), joined))
     return found.select(*[F.col(f"`{c}`") for c in docs.columns], F.col(f"{both}.base").alias(base), F.col(f"{both}.spans").alias(spans))
 
 
@@ -141,14 +205,24 @@ def masked(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", allo
     spans = F.col(f"`{free_name(docs, 'spans')}`")
     text = F.col(f"`{text_col}`")
 
-    def step(acc: Column, x: Column) -> Column:
-        fresh = x["s"] >= acc["at"]
-        piece = F.concat(F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), F.lit(mark))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(fresh, F.concat(acc["out"], F.array(piece))).otherwise(acc["out"]).alias("out"))
+    size = F.length(text)
+
+    def piece(blocks: Column, a: Column, n: Column) -> Column:
+        """n characters from position a; looks at the blocks that hold them only."""
+        first = F.floor(a / _BLOCK).cast("int")
+        held = F.slice(blocks, first + 1, F.floor((a + n - 1) / _BLOCK).cast("int") - first + 1)
+        return F.when(n > 0, F.substring(F.array_join(held, ""), a - first * _BLOCK + 1, n)).otherwise(F.lit(""))
+
+    def cut(m: Column) -> Column:
+        before = lambda i: F.when(i > 0, F.get(m["ends"], i - 1)).otherwise(F.lit(0))
+        # Nothing is written for a span that begins inside those before it.
+        parts = F.transform(m["spans"], lambda x, i: F.when((i == 0) | (x["s"] >= before(i)), F.concat(piece(m["blocks"], before(i), x["s"] - before(i)), F.lit(mark))).otherwise(F.lit("")))
+        last = F.element_at(m["ends"], -1)
+        return F.concat(F.array_join(parts, ""), piece(m["blocks"], last, size - last))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    ended = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text) - acc["at"]))
-    new = F.when(F.size(spans) > 0, F.aggregate(spans, start, step, ended)).otherwise(text)
+    ends = _running(F.transform(spans, lambda x: x["e"]), F.greatest)
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0))
+    new = F.when(F.size(spans) > 0, let(F.struct(spans.alias("spans"), ends.alias("ends"), blocks.alias("blocks")), cut)).otherwise(text)
     out = found.withColumn(text_col, new)
     if count_col:
         out = out.withColumn(count_col, F.when(F.size(spans) > 0, F.length(text).cast(docs.schema[count_col].dataType)).otherwise(F.col(f"`{count_col}`")))
@@ -176,11 +250,12 @@ def _op3_sql() -> str:
     more = []
     for k, (kind, (_, one, window, bits)) in enumerate(CLASSES.items(), len(BASE)):
         hits = f"list_filter(range(1, length(v) - {window} + 2), lambda i: list_entropy(string_split(substr(v, i, {window}), '')) >= {bits} - 1e-5)"
-        more.append(f"SELECT rid, s + h[1] - 1 AS s, {k} AS rank, s + h[-1] + {window - 1} AS e, '{kind}' AS kind FROM (SELECT rid, s, {hits} AS h FROM ({found(f'{one}{{{window},}}', 0, window)}) WHERE NOT regexp_full_match(v, {known})) WHERE len(h) > 0")
+        more.append(f"SELECT rid, s + h[1] - 1 AS s, {k} AS rank, s + h[-1] + {window - 1} AS e, '{kind}' AS kind FROM (SELECT rid, s, {hits} AS h FROM ({found(f'{one}{{{window},}}', 0, window)}) c WHERE NOT regexp_full_match(v, {known}) AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = c.rid AND b.s <= c.s AND b.e >= c.s + length(c.v))) WHERE len(h) > 0 AND NOT regexp_full_match(substr(v, h[1], h[-1] + {window} - h[1]), {known})")
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 base AS ({base}), mixed AS ({' UNION ALL '.join(more)}),
-spans AS (SELECT * FROM base UNION ALL SELECT * FROM mixed m WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = m.rid AND b.s <= m.s AND b.e >= m.e)),
+every AS (SELECT *, max(e) OVER (PARTITION BY rid ORDER BY s, e DESC, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM (SELECT * FROM base UNION ALL SELECT * FROM mixed)),
+spans AS (SELECT * FROM every WHERE rank < {len(BASE)} OR before IS NULL OR e > before),
 b AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e) AS joined FROM base GROUP BY rid),
 a AS (SELECT rid, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e) AS joined FROM spans GROUP BY rid)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(b.joined, '')) AS base_sha256, coalesce(a.joined, '') AS spans
