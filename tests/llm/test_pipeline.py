@@ -4,6 +4,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from llm_fixtures import docs, none  # noqa: F401
+from test_jaccard import brute_survivors
 import corpus_pipeline
 from orrery.llm import decontaminate, quality, secrets, simhash
 from orrery.llm.common import table
@@ -13,7 +14,8 @@ DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def brute_quality(docs):
-    """Rules from first principles: the base rule, and six quartile distances per measure over all documents."""
+    """Rules from first principles: the base rule, and the fences of each language and source."""
+    from test_quality import brute_fences
     import re
     from collections import Counter
 
@@ -31,45 +33,14 @@ def brute_quality(docs):
                 "repeat_share": repeats * 10000 // len(words), "word_length": chars * 100 // len(words),
             }))
 
-    def floor(x):
-        shift = max(0, x.bit_length() - 6)
-        return x >> shift << shift
-
-    def quartiles(values):
-        values = sorted(values)
-        at = lambda q: floor(values[-(-len(values) * q // 4) - 1])
-        return at(1), at(3)
-
-    fences = {}
-    for d, _ in rows:
-        for level in ((d.lang, d.source), (d.lang,), ()):
-            if level in fences:
-                continue
-            own = [m for x, m in rows if (x.lang, x.source)[: len(level)] == level]
-            fences[level] = len(own), {k: quartiles([m[k] for m in own]) for k in quality.MEASURES}
+    fences = brute_fences([(d.lang, d.source, m) for d, m in rows])
     for d, m in rows:
-        level = next((v for v in ((d.lang, d.source), (d.lang,)) if fences[v][0] >= quality.ENOUGH), ())
-        ok = True
-        for k, (side, least) in quality.MEASURES.items():
-            q1, q3 = fences[level][1][k]
-            gap = quality.REACH * max(q3 - q1, least)
-            ok &= m[k] <= q3 + gap and (side == "high" or m[k] >= q1 - gap)
-        if ok:
+        limits = fences[d.lang, d.source]
+        if all(m[k] <= limits[k][1] and (side == "high" or m[k] >= limits[k][0]) for k, (side, _, _) in quality.MEASURES.items()):
             kept[d.doc_id] = d.text
     return kept
 
 
-def brute_near_duplicates(texts):
-    from test_simhash import brute_components, brute_fingerprint
-
-    fps = {i: brute_fingerprint(t) for i, t in texts.items()}
-    label = brute_components(set(fps.values()))
-    first = {}
-    for i in sorted(texts):
-        first.setdefault(label[fps[i]], i)
-    return {i: texts[i] for i in first.values()}
-
-
 def brute_contaminated(text, items):
     known = decontaminate._Hashes()
     doc = decontaminate.tokens_of(text, known)
@@ -100,7 +71,8 @@ def test_stages_agree_with_brute_force(spark, steps):
     got = {name: {r.doc_id: r for r in df.collect()} for name, df in steps.items()}
     texts = lambda name: {i: r.text for i, r in got[name].items()}
     assert texts("quality_rules") == want and 0 < len(want) < len(docs)
-    want = brute_near_duplicates(want)
+    survivors = brute_survivors(want)  # similarity 0.8 of five-word shingles
+    want = {i: t for i, t in want.items() if i in survivors}
     assert texts("near_duplicates") == want
     items = [r.text for r in table(spark, SF, "benchmark").collect()]
     want = {i: t for i, t in want.items() if not brute_contaminated(t, items)}
