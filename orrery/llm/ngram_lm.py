@@ -25,7 +25,7 @@ from orrery.llm.quality import words_of
 
 BACKOFF = 0.4
 WORDS_PER_BLOCK = 200_000
-NGRAMS_PER_BUCKET = 4_000_000
+NGRAMS_PER_BUCKET = 1_000_000
 
 
 class _Hashes(dict):
