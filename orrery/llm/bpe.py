@@ -15,6 +15,7 @@ vain and then encoded from the text that travels with it.
 from __future__ import annotations
 
 import os
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,17 +31,34 @@ from orrery.llm.common import settled, table
 ROLL = 32
 MEAN_CHUNK = 1024
 FILTER_BITS = 25
-#: Bytes of output after which a batch goes back to Spark; words whose ids a worker remembers.
-OUT_BYTES = 4 << 20
-WORDS_KNOWN = 300_000
+#: Bytes of output after which a batch goes back to Spark; words after which a worker begins to forget older ones.
+OUT_BYTES = 1 << 20
+WORDS_KNOWN = 400_000
+JOINS_KNOWN = 300_000
 _GEAR = np.array([xxhash.xxh32_intdigest(bytes([i]), 7) for i in range(256)], np.uint32)
 
 
-class Encoder:
-    """Ids of texts by the tokenizers library, word by word: ASCII white space never lies inside a token.
+class _Known(dict):
+    """Word to (ids, decoded). Words not asked for while ``WORDS_KNOWN`` others were are forgotten."""
+
+    def __init__(self, library):
+        self.library, self.old = library, {}
+
+    def __missing__(self, word: bytes) -> tuple[bytes, str]:
+        if len(self) >= WORDS_KNOWN:
+            self.old = self.copy()
+            self.clear()
+        found = self.old.get(word)
+        if found is None:
+            e = self.library.encode(word.decode(), add_special_tokens=False)
+            ids = e.ids
+            found = struct.pack(f"<{len(ids)}I", *ids), " ".join(e.tokens)
+        self[word] = found
+        return found
 
-    ``known`` keeps (ids, decoded) of words met before.
-    """
+
+class Encoder:
+    """Ids of texts by the tokenizers library, word by word: ASCII white space never lies inside a token."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -49,27 +67,16 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[bytes, tuple[bytes, str]] = {}
-
-    def learn(self, texts: list[bytes]) -> list[list[bytes]]:
-        """Words of each text, all of them known afterwards."""
-        if len(self.known) > WORDS_KNOWN:
-            self.known.clear()
-        words = [t.split() for t in texts]
-        new = list({w for x in words for w in x if w not in self.known})
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for word, e in zip(part, self.library.encode_batch([w.decode() for w in part], add_special_tokens=False), strict=True):
-                self.known[word] = (np.array(e.ids, "<u4").tobytes(), " ".join(map(self.library.id_to_token, e.ids)))
-        return words
-
-    def texts(self, texts: list[bytes]) -> list[tuple[bytes, str]]:
-        """(ids, decoded) of each text."""
-        out = []
-        for words in self.learn(texts):
-            found = [self.known[w] for w in words]
-            out.append((b"".join([x[0] for x in found]), " ".join([x[1] for x in found if x[0]])))
-        return out
+        self.known = _Known(self.library)
+        self.tokens = [self.library.id_to_token(i) for i in range(self.library.get_vocab_size())]
+
+    def decoded(self, ids: bytes) -> str:
+        return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+    def text(self, text: bytes) -> tuple[bytes, str]:
+        """(ids, decoded) of a text."""
+        found = list(map(self.known.__getitem__, text.split()))
+        return b"".join([x[0] for x in found]), " ".join([x[1] for x in found if x[0]])
 
     def whole(self, text: bytes) -> bytes:
         """Ids of a piece given to the library as it is."""
@@ -82,9 +89,8 @@ class Encoder:
         while True:
             x, y = b" ".join(a[-n:]) + space, b" ".join(b[:n])
             if (x, y) not in kept:
-                self.learn([x, y])
-                apart = b"".join([self.known[w][0] for w in (*x.split(), *y.split())])
-                if len(kept) > WORDS_KNOWN:
+                apart = self.text(x)[0] + self.text(y)[0]
+                if len(kept) > JOINS_KNOWN:
                     kept.clear()
                 kept[x, y] = self.whole(x + y) == apart
             if kept[x, y]:
@@ -213,7 +219,7 @@ def _shared_ids(texts: DataFrame, words, path: str) -> DataFrame:
             last = keys[-1] if keys else last
             for at in range(0, len(new), 500):
                 part = new[at : at + 500]
-                ids = [x[0] for x in own.texts([chunks[k] for k in part])]
+                ids = [own.text(chunks[k])[0] for k in part]
                 yield pa.RecordBatch.from_arrays([pa.array([keys[k] for k in part], pa.binary()), pa.array(ids, pa.binary())], ["key", "shared_ids"])
 
     picked = texts.select("text").mapInArrow(pick, "key binary, chunk binary")
@@ -247,7 +253,7 @@ def encoded(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: s
             for first, part in _texts(b.column("text")):
                 _, _, hit = split(part)
                 rows = [k for k in range(len(part)) if not hit[k].any()]
-                found = own.texts([part[k] for k in rows])
+                found = [own.text(part[k]) for k in rows]
                 where = pa.array([first + k for k in rows], pa.int64())
                 yield pa.RecordBatch.from_arrays([b.column("id").take(where), pa.array([x[0] for x in found], pa.binary()), pa.array([x[1] for x in found], pa.string())], ["id", "ids", "decoded"])
 
@@ -290,10 +296,9 @@ def encoded(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: s
             parts, copies, n = [], 0, 0
             for seq, ids, chunk in held:  # rows of copies of the same document lie together
                 if seq == len(parts):
-                    parts.append(ids if ids is not None else own.texts([chunk])[0][0])
+                    parts.append((ids, own.decoded(ids)) if ids is not None else own.text(chunk))
                 copies += seq == 0
-            ids = b"".join(parts)
-            text = " ".join(map(own.library.id_to_token, np.frombuffer(ids, "<u4").tolist()))
+            ids, text = b"".join([x[0] for x in parts]), " ".join([x[1] for x in parts if x[0]])
             for _ in range(copies):
                 done.append((key[0], ids, text))
                 n += len(ids) + len(text)
