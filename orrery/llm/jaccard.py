@@ -1,12 +1,14 @@
 """Near copies by exact similarity: texts whose sets of five-word shingles overlap by 80 % or more of their union.
 
-Candidates come from MinHash: ``BANDS`` keys per text, each of ``PER_BAND`` minima. A pair at a similarity of
-0.8 shares no key with a probability of (1 - 0.8**6)**50 = 3e-7, and one above it with less; nothing else
-decides by estimate, since every candidate pair is checked on the whole sets of shingle hashes.
-
-Only different texts enter. The texts of a key are first compared with one of them, another for each key, so
-a group of near copies costs one pair per text and key and not its square. Texts that those links have not joined
-and that still share a key meet over their rarest shingles, in an exact prefix and position filter.
+The first candidates are those of ``simhash``: fingerprints of the shingle sets, linked by a walk over pairs of trie
+nodes. At a similarity of 0.8 some ten of the 64 bits differ, so that the tries' budget of three leaves pairs out. The
+rest comes from MinHash: ``BANDS`` keys per text, each of ``PER_BAND`` minima. A pair at a similarity of 0.8 shares no
+key with a probability of (1 - 0.8**6)**50 = 3e-7, and one above it with less; nothing else decides by estimate, since
+every candidate pair is checked on the whole sets of shingle hashes.
+
+Only different texts enter. Texts of a key that the tries have not joined are first compared with one of them, another
+for each key, so a group of near copies costs one pair per text and key and not its square. Texts that those links have
+not joined and that still share a key meet over their rarest shingles, in an exact prefix and position filter.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import types as T
 
 from orrery.llm.common import free_name, settled
 from orrery.llm.components import components
-from orrery.llm.simhash import first_of_each, shingles
+from orrery.llm.simhash import first_of_each, links, majority_bits, shingles
 
 WIDTH = 5
 PERCENT = 80
@@ -58,19 +60,21 @@ def band_keys(hashes: np.ndarray, factors: np.ndarray, shifts: np.ndarray, mixer
 
 
 def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text_hash, n, keys): the number of different shingles and the band keys of each row's whole text."""
-    schema = T.StructType([docs.schema[id_col], T.StructField("text_hash", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+    """(id, text_hash, n, fp, keys): the number of different shingles, their SimHash and the band keys of each row's whole text."""
+    schema = T.StructType([docs.schema[id_col], T.StructField("text_hash", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("fp", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
     names = schema.names
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         constants = _constants()
         for b in batches:
-            sizes, keys = [], []
+            sizes, fps, keys = [], [], []
             for text in b.column(2).to_pylist():
                 found = shingle_hashes(text)
                 sizes.append(len(found))
+                fps.append(majority_bits(found, np.array([len(found)])))
                 keys.append(band_keys(found, *constants) if len(found) else [])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))], names)
+            fp = np.concatenate([np.zeros(0, np.uint64), *fps]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes, pa.int32()), pa.array(fp), pa.array(keys, pa.list_(pa.int64()))], names)
 
     return docs.select(F.col(id_col), F.xxhash64(text_col), F.col(text_col).cast("string")).mapInArrow(of_batches, schema)
 
@@ -136,17 +140,38 @@ def meeting(apart: DataFrame) -> DataFrame:
     return found.select(*_ordered("node", "node2")).distinct()
 
 
+def walked(marked: DataFrame) -> DataFrame:
+    """(u, v): pairs of different texts that join all whose fingerprints the tries link, of (text_hash, n, fp, ...)."""
+    lead = lambda name: F.min("node").alias(name)
+    nodes = settled(marked.where("n > 0").select(F.col("text_hash").alias("node"), "fp").distinct())
+    found = links(nodes.select("fp").distinct())
+    found = found.join(nodes.groupBy(F.col("fp").alias("u")).agg(lead("at")), "u").join(nodes.groupBy(F.col("fp").alias("v")).agg(lead("to")), "v")
+    alike = nodes.join(nodes.groupBy("fp").agg(lead("to")), "fp").where("node <> to")
+    return found.select(*_ordered("at", "to")).unionByName(alike.select(*_ordered("node", "to"))).distinct()
+
+
+def _not_joined(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (u, v) that do not lie in one component of ``roots`` (node, root)."""
+    of = lambda node, name: roots.select(F.col("node").alias(node), F.col("root").alias(name))
+    both = pairs.join(of("u", "a"), "u", "left").join(of("v", "b"), "v", "left")
+    return both.where("a is null or b is null or a <> b").select("u", "v")
+
+
 def _edges(marked: DataFrame, texts: DataFrame) -> DataFrame:
     """(u, v): pairs of similar nodes that join all similar nodes. ``texts``: (node, text), copies included."""
     rows = marked.where("n > 0").groupBy(F.col("text_hash").alias("node")).agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
     rows = settled(rows.select("node", "n", F.explode("keys").alias("key")))
     crowds = rows.groupBy("key").agg(F.count("*").alias("crowd"), F.min(F.struct(F.xxhash64("key", "node").alias("at"), "node", "n")).alias("lead")).where("crowd > 1")
     rows = settled(rows.join(crowds, "key").select("key", "node", "n", F.col("lead.node").alias("lead"), F.col("lead.n").alias("lead_n")))
-    named = rows.select("node").distinct()
+    near = settled(walked(marked))
+    ends = [near.select(F.col(end).alias("node")) for end in ("u", "v")]
+    named = rows.select("node").unionByName(ends[0]).unionByName(ends[1]).distinct()
     sets = settled(_sets(texts.join(named, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))))
 
-    tried = settled(rows.where((F.col("node") != F.col("lead")) & _sizes_fit("n", "lead_n")).select(*_ordered("node", "lead")).distinct())
-    by_lead = settled(similar(tried, sets))
+    by_trie = settled(similar(near, sets))
+    others = rows.where((F.col("node") != F.col("lead")) & _sizes_fit("n", "lead_n")).select(*_ordered("node", "lead")).distinct()
+    tried = settled(_not_joined(others, settled(components(by_trie))))
+    by_lead = settled(by_trie.unionByName(similar(tried, sets)))
     roots = components(by_lead).select("node", "root")
     rows = rows.select("key", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rows = settled(rows)

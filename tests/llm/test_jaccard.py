@@ -66,6 +66,27 @@ def test_a_chain_is_one_group(spark):
     assert got == brute_survivors(texts) == {0}
 
 
+def test_tries_give_the_first_candidates(spark):
+    rng = random.Random(6)
+    rows = []
+    for k in range(30):
+        base = wordy(rng, 400)
+        rows += [(4 * k + j, " ".join(base[: 400 - j])) for j in range(3)]  # a few end words gone
+        rows.append((4 * k + 3, " ".join(base[:390] + wordy(rng, 10))))
+    marked = jaccard._signed(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    fps = {r.text_hash: r.fp for r in marked.collect()}
+    near = [(a, b) for a in fps for b in fps if a < b and ((fps[a] ^ fps[b]) & (2**64 - 1)).bit_count() <= 3]
+
+    def groups(pairs):
+        label = {i: i for i in fps}
+        for _ in fps:
+            for u, v in pairs:
+                label[u] = label[v] = min(label[u], label[v])
+        return label
+
+    assert len(near) > 60 and groups(jaccard.walked(marked).collect()) == groups(near)
+
+
 def test_edge_cases(docs, none):
     kept = jaccard.drop_near_copies(docs.withColumn("node", F.lit(1)).withColumn("keys", F.lit("x")))
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id) == [1, 4, 5, 6, 8]
