@@ -31,8 +31,10 @@ def median_per_key(
     """
     number = F.col(value).cast("double").alias(value)
     values = (df if size_from is None else size_from).select(number)
+    # Without the filter on the key Spark adds it to one of the two branches below, and then
+    # computes the folded rows twice instead of reusing their exchange.
     folded = (
-        df.where(F.col(value).isNotNull())
+        df.where(F.col(value).isNotNull() & F.col(key).isNotNull())
         .groupBy(key, number)
         .agg(F.count(F.lit(1)).alias(_COUNT))
     )

@@ -64,8 +64,8 @@ class RangeBuckets:
     def number(self) -> Column:
         """How many split values are <= the row's key: 0 .. len(self) - 1.
 
-        Two short searches, first over blocks and then inside one block, keep the
-        work per row at about twice the square root of the number of splits.
+        A binary search: halving steps, so the work per row is the logarithm of the
+        number of splits.
         """
         if not self._splits:
             return F.lit(0)
@@ -74,17 +74,15 @@ class RangeBuckets:
             self._key([F.lit(v).cast(t) for v, t in zip(row, self._types)])
             for row in self._splits
         ]
-        width = math.isqrt(len(literals) - 1) + 1
-        blocks = [literals[i : i + width] for i in range(0, len(literals), width)]
+        splits = F.array(*literals)
+        steps = F.array(*(F.lit(1 << k) for k in reversed(range(len(literals).bit_length()))))
 
-        def reached(values: Column) -> Column:
-            return F.size(F.filter(values, lambda split: split <= key))
+        def further(reached: Column, step: Column) -> Column:
+            # Beyond the last split there is NULL, which is not reached.
+            split = F.get(splits, reached + step - 1)
+            return F.when(split <= key, reached + step).otherwise(reached)
 
-        block_number = reached(F.array(*(block[0] for block in blocks)))
-        inside = F.get(F.array(*(F.array(*block) for block in blocks)), block_number - 1)
-        return F.when(
-            block_number > 0, (block_number - 1) * width + reached(inside)
-        ).otherwise(F.lit(0))
+        return F.coalesce(F.reduce(steps, F.lit(0), further), F.lit(0))
 
 
 def _different(filled: int, ranks: float) -> int:

@@ -1,3 +1,4 @@
+import bisect
 import random
 import statistics
 
@@ -163,3 +164,26 @@ def test_reconcile_by_digests(spark, table):
     # Between equal sets no bucket is open: the plan's exchange has nothing to move.
     physical = plan_of(reconcile_unique(left, left, "k")).split("Physical Plan")[1]
     assert "Exchange" not in physical
+
+
+def test_buckets_are_found_by_halving(spark):
+    keys = spark.range(5000).select(F.when(F.col("id") % 50 > 0, F.col("id") * 3 % 7919).alias("k"))
+    buckets = RangeBuckets(keys, ["k"], 20)
+    splits = sorted(s[0] for s in buckets._splits)
+    assert len(splits) > 200
+    for n in (1, 2, 3, 64, 127, len(splits)):  # any number of splits
+        buckets._splits = [(x,) for x in splits[:n]]
+        rows = keys.withColumn("b", buckets.number())
+        assert all(r.b == (0 if r.k is None else bisect.bisect_right(splits[:n], r.k)) for r in rows.collect())
+    # One look-up a step, instead of filters over blocks of splits.
+    plan = rows._jdf.queryExecution().analyzed().toString()
+    assert "reduce(" in plan and "filter(" not in plan
+
+
+def test_median_computes_the_folded_rows_once(spark):
+    rows = spark.range(2000).select((F.col("id") % 7).cast("string").alias("k"), (F.col("id") * 37 % 101).cast("double").alias("v"))
+    kept = spark.range(2000).select((F.col("id") % 5).cast("string").alias("k"))
+    found = median_per_key(rows.join(kept.distinct(), "k"), "k", "v", "m", values_per_bucket=10)
+    plan = found._jdf.queryExecution().executedPlan()
+    found.collect()
+    assert "ReusedExchange" in plan.toString()
