@@ -342,9 +342,7 @@ class RuleSet:
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(accepted, rejected): every input row is in exactly one of the two."""
-        annotated = self.annotate(df)
-        clean = F.size(_BROKEN) == 0
-        return annotated.where(clean).drop(_BROKEN), annotated.where(~clean)
+        return halves(self.annotate(df))
 
     def invalid_rows(self, df: DataFrame) -> DataFrame:
         """(dataset, column_name, rule, invalid_value), one row per broken rule."""
@@ -364,6 +362,12 @@ class RuleSet:
         )
 
 
+def halves(annotated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) rows of what `RuleSet.annotate` gives."""
+    clean = F.size(_BROKEN) == 0
+    return annotated.where(clean).drop(_BROKEN), annotated.where(~clean)
+
+
 def _flagged(
     df: DataFrame, marks: DataFrame, keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 from functools import partial, reduce
 from operator import or_
 
@@ -16,6 +16,7 @@ from orrery.operators.quality_log import (
     log_invalid_summary,
     log_row_count,
 )
+from orrery.operators.rules import halves
 from orrery.plans import checks, dims, facts, silver
 from orrery.sources.files import read_raw_order_payments
 from orrery.sources.tables import publish_table, read_table, write_path
@@ -36,7 +37,8 @@ def run_silver(
     Rows that break a rule are kept out of Silver, so that Gold is built on accepted
     rows only: most tables are split by their rules, payments and reviews drop such
     rows as they are cleaned.  The rejected rows go to a quarantine table
-    with their reasons, and the logs are written from there.
+    with their reasons, and the logs are written from there.  Where both halves come from
+    the rules, the judged rows are written once and both are read from that.
 
     The counts are plain counts, which a column store answers from its metadata.
     Observed metrics would be free, but they count a partition twice when a lost
@@ -44,13 +46,17 @@ def run_silver(
     """
     accepted = clean(silver.well_formed(raw))
     if dataset in silver.SHAPES:
-        kept, rejected = silver.quarantine(dataset, raw)
+        judged, both = silver.judged(dataset, raw), f"{SILVER[dataset]}__judged"
         if dataset in SPLIT_BY_RULES:
-            accepted = kept
+            judged = publish_table(judged, both, fmt=fmt)
+            accepted, _ = halves(judged)
+        _, rejected = halves(judged)
         held = publish_table(rejected, quarantine_name(dataset), fmt=fmt)
         log_invalid_rows(dataset, held.select(F.inline("broken_rules")), fmt=fmt)
         log_invalid_summary(spark, dataset, quarantine_name(dataset), fmt=fmt)
     table = publish_table(accepted, SILVER[dataset], fmt=fmt)
+    if dataset in SPLIT_BY_RULES:
+        spark.sql(f"DROP TABLE IF EXISTS `{both}`")
     log_row_count(spark, dataset, fixed.STAGE_BEFORE, raw.count(), fmt=fmt)
     log_row_count(spark, dataset, fixed.STAGE_AFTER, table.count(), fmt=fmt)
     return table
@@ -243,6 +249,23 @@ def run_fact_review(
     return publish_table(built, GOLD["fact_review"], checks.validate_fact_review_gold, fmt)
 
 
+#: The tables that each Gold table is made from.
+MADE_FROM = {
+    "dim_date": (),
+    "dim_customer": ("customers", "orders"),
+    "dim_product": ("products", "product_category", "order_items", "orders"),
+    "dim_seller": ("sellers",),
+    "fact_order": ("orders", "order_items", "order_payments", "customers", "dim_customer", "dim_date"),
+    "fact_order_item": ("order_items", "fact_order", "dim_product", "dim_seller"),
+    "fact_review": ("order_reviews", "fact_order"),
+}
+
+
+def behind(dataset: str) -> set[str]:
+    """A table and all that it is made from, directly or not."""
+    return {dataset}.union(*map(behind, MADE_FROM.get(dataset, ())))
+
+
 def run_all_gold(
     spark: SparkSession,
     fmt: str = "parquet",
@@ -250,20 +273,22 @@ def run_all_gold(
     calendar: tuple[str, str] = (fixed.CALENDAR_START, fixed.CALENDAR_END),
     study_year: int = fixed.STUDY_YEAR,
     stable_keys: bool = False,
+    only: Collection[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """All Gold tables, dimensions before the facts that need them.
+    """All Gold tables, or those in `only`, dimensions before the facts that need them.
 
     With `stable_keys` customers, products and sellers keep their keys from load to load.
     """
-    return {
-        "dim_date": run_dim_date(spark, fmt, *calendar, study_year),
-        "dim_customer": run_dim_customer(spark, fmt, stable_keys),
-        "dim_product": run_dim_product(spark, fmt, study_year, stable_keys),
-        "dim_seller": run_dim_seller(spark, fmt, stable_keys),
-        "fact_order": run_fact_order(spark, fmt),
-        "fact_order_item": run_fact_order_item(spark, fmt, orphans),
-        "fact_review": run_fact_review(spark, fmt, orphans),
+    steps = {
+        "dim_date": partial(run_dim_date, spark, fmt, *calendar, study_year),
+        "dim_customer": partial(run_dim_customer, spark, fmt, stable_keys),
+        "dim_product": partial(run_dim_product, spark, fmt, study_year, stable_keys),
+        "dim_seller": partial(run_dim_seller, spark, fmt, stable_keys),
+        "fact_order": partial(run_fact_order, spark, fmt),
+        "fact_order_item": partial(run_fact_order_item, spark, fmt, orphans),
+        "fact_review": partial(run_fact_review, spark, fmt, orphans),
     }
+    return {name: run() for name, run in steps.items() if only is None or name in only}
 
 
 def run_summary(spark: SparkSession, fmt: str = "parquet") -> DataFrame:

@@ -24,7 +24,7 @@ from orrery.operators.headers import (
     standard_headers,
     without_bom,
 )
-from orrery.operators.rules import RowRule, RuleSet, UniqueRule, must, one_of
+from orrery.operators.rules import RowRule, RuleSet, UniqueRule, halves, must, one_of
 from orrery.operators.survivors import distinct_rows, first_per_key
 from orrery.plans import checks
 
@@ -372,18 +372,21 @@ def _malformed(raw: DataFrame) -> DataFrame:
 
 
 def quarantine(dataset: str, raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected) rows of one raw table, before duplicates are dropped.
+    """(accepted, rejected) rows of one raw table, before duplicates are dropped."""
+    return halves(judged(dataset, raw))
+
+
+def judged(dataset: str, raw: DataFrame) -> DataFrame:
+    """The rows of one raw table with `broken_rules`, which is empty for accepted ones.
 
     Lines that the reader could not place (see `MALFORMED_LINE`) are rejected whole: their
     columns are null, as nothing says which field is which, and the reason holds the line.
     """
-    accepted, rejected = quarantine_rules(dataset).split(
-        SHAPES[dataset][0](standard_headers(well_formed(raw)))
-    )
+    rows = quarantine_rules(dataset).annotate(SHAPES[dataset][0](standard_headers(well_formed(raw))))
     if MALFORMED_LINE in raw.columns:
         whole = _malformed(raw).select(F.array(F.struct("*")).alias("broken_rules"))
-        rejected = rejected.unionByName(whole, allowMissingColumns=True)
-    return accepted, rejected
+        rows = rows.unionByName(whole, allowMissingColumns=True)
+    return rows
 
 
 def rejected_values(dataset: str, raw: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 import oracle
-from orrery.queries import all_queries
+from orrery.queries import _database, all_queries
 from orrery.sources.trade import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -51,3 +51,41 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
+
+
+def test_payment_files_grow_in_number(spark, tmp_path):
+    """With more partitions the payments lie in more files; no file holds all first payments."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        df = QUERIES["payments_from_csv"](spark, SF)
+        assert len(df.inputFiles()) > 8
+        want = QUERIES["clean_payments"](spark, SF)
+        assert comparable(df.collect(), df.columns) == comparable(want.collect(), want.columns)
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", ["rule_counts_fact_order_item", "rule_counts_fact_order_item_spoiled"])
+def test_rules_of_the_item_fact_read_it_written(spark, name):
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "price_vs_baseline_pct" in plan and "baseline_price_med" not in plan
+
+
+def test_published_tables_take_the_steps_that_they_are_made_from(spark, tmp_path):
+    import shutil
+
+    folder = str(tmp_path / "sf")
+    shutil.copytree(SF, folder)
+    database = _database(spark, folder, "run")
+    tables = lambda: {t.name for t in spark.catalog.listTables(database)}
+    logs = QUERIES["published_invalid_counts"](spark, folder).collect()
+    assert not any(t.startswith("gold_") for t in tables()) and len(logs) == 7
+    first = QUERIES["published_fact_review"](spark, folder).count()
+    assert {"gold_fact_order", "gold_fact_review"} <= tables() and not {"gold_dim_product", "gold_fact_order_item"} & tables()
+    assert QUERIES["published_fact_order_item"](spark, folder).count() > 0
+    assert QUERIES["published_invalid_counts"](spark, folder).count() == len(logs)
+    assert QUERIES["published_fact_review"](spark, folder).count() == first
+    assert not any(t.endswith("__judged") for t in tables())
