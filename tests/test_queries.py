@@ -9,6 +9,9 @@ import pytest
 
 import __spark_entry__ as entry_module
 import oracle
+from orrery import fixed
+from orrery.operators.rules import RuleViolation
+from orrery.plans import runs
 from orrery.queries import _database, all_queries
 from orrery.sources.trade import TABLES
 
@@ -74,6 +77,15 @@ def test_rules_of_the_item_fact_read_it_written(spark, name):
     assert "price_vs_baseline_pct" in plan and "baseline_price_med" not in plan
 
 
+def test_a_check_stops_any_run(spark, tmp_path):
+    for name in TABLES:
+        rows = spark.read.parquet(f"{SF}/{name}.parquet")
+        (rows.union(rows) if name == "supplier" else rows).write.parquet(str(tmp_path / f"{name}.parquet"))
+    for name in ("published_fact_review", "published_summary"):
+        with pytest.raises(RuleViolation, match="seller_id.repeated"):
+            QUERIES[name](spark, str(tmp_path))
+
+
 def test_published_tables_take_the_steps_that_they_are_made_from(spark, tmp_path):
     import shutil
 
@@ -82,9 +94,10 @@ def test_published_tables_take_the_steps_that_they_are_made_from(spark, tmp_path
     database = _database(spark, folder, "run")
     tables = lambda: {t.name for t in spark.catalog.listTables(database)}
     logs = QUERIES["published_invalid_counts"](spark, folder).collect()
-    assert not any(t.startswith("gold_") for t in tables()) and len(logs) == 7
+    assert len(logs) == 7 and not {"gold_dim_product", "gold_fact_order_item"} & tables()
+    assert {fixed.GOLD_TABLES[name] for name in runs.CHECKED} <= tables()
     first = QUERIES["published_fact_review"](spark, folder).count()
-    assert {"gold_fact_order", "gold_fact_review"} <= tables() and not {"gold_dim_product", "gold_fact_order_item"} & tables()
+    assert first > 0 and not {"gold_dim_product", "gold_fact_order_item"} & tables()
     assert QUERIES["published_fact_order_item"](spark, folder).count() > 0
     assert QUERIES["published_invalid_counts"](spark, folder).count() == len(logs)
     assert QUERIES["published_fact_review"](spark, folder).count() == first
