@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 
 _RANK = "__survivor_rank"
 
+# Slots that keys are counted in, and the rows from which the keys of a slot are crowded.
+SLOTS = 1 << 16
+ROWS_PER_SLOT = 1_000_000
+
 
 def first_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = ()
@@ -36,3 +40,26 @@ def first_per_key(
 def distinct_rows(df: DataFrame) -> DataFrame:
     """Exact duplicates collapse; duplicates within a task go before the shuffle."""
     return df.distinct()
+
+
+def distinct_by_key(
+    df: DataFrame,
+    key: str,
+    size_from: DataFrame | None = None,
+    rows_per_slot: int = ROWS_PER_SLOT,
+) -> list[DataFrame]:
+    """`distinct_rows` in one or two parts, for a join on `key` that follows on each of them.
+
+    The first part is dealt by `key` alone, so the join needs no exchange of its own, and
+    no task folds rows that have no copies.  Keys with very many rows would land in one
+    task that way: they make up the second part, where copies go before the shuffle and
+    the join deals the rows, so that it can split them.  Which keys these are is counted
+    by hash slot in one job on `size_from`, a cheap frame with every value of the key.
+    """
+    slot = F.xxhash64(key).bitwiseAND(SLOTS - 1)
+    counts = (df if size_from is None else size_from).groupBy(slot.alias("slot")).count()
+    crowded = [row["slot"] for row in counts.where(F.col("count") > rows_per_slot).collect()]
+    if not crowded:
+        return [df.repartition(key).distinct()]
+    hot = slot.isin(crowded)
+    return [df.where(~hot).repartition(key).distinct(), distinct_rows(df.where(hot))]

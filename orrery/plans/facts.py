@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from orrery import fixed
 from orrery.functions import casting, measures, text
 from orrery.operators.headers import require_columns, standard_headers
 from orrery.operators.rules import RuleSet, UniqueRule, must
-from orrery.operators.survivors import distinct_rows, first_per_key
+from orrery.operators.survivors import distinct_by_key, distinct_rows, first_per_key
 from orrery.plans.dims import customer_people
 
 RAISE, KEEP, DROP = "raise", "keep", "drop"
@@ -197,17 +198,23 @@ def resolve_item_keys(
     """Clean items with the keys of order, product and seller; NULL where unknown.
 
     Plain left joins: Spark broadcasts a dimension that proves small and splits the
-    partitions of a hot order, product or seller otherwise.
+    partitions of a hot order, product or seller otherwise.  Items are cleared of copies
+    and joined to their orders in one exchange.
     """
     orders = fact_orders.select("order_id", "date_key", "customer_key")
     if not fact_orders_unique:
         orders = first_per_key(orders, ["order_id"])
+    shaped = _shape_items(items)
+    parts = distinct_by_key(
+        item_acceptance().accept(shaped), "order_id", size_from=shaped.select("order_id")
+    )
+    ordered = (p.select(*fixed.ITEM_COLUMNS).join(orders, "order_id", "left") for p in parts)
     return (
-        clean_fact_order_item(items)
-        .join(orders, "order_id", "left")
+        reduce(DataFrame.unionByName, ordered)
+        # Sellers first: they are few, and their keys are short in the next exchange.
+        .join(dim_seller.select("seller_id", "seller_key"), "seller_id", "left")
         .join(dim_product.select("product_id", "product_key", "baseline_price_med"),
               "product_id", "left")
-        .join(dim_seller.select("seller_id", "seller_key"), "seller_id", "left")
     )
 
 
